@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.functions.text import loghost_from_path, squeeze_spaces
+from loglake.functions.text import loghost_from_path, split_spaces
 from loglake.functions.times import date_from_path
 from loglake.schema import OPS_CSV
 
-# Fixed values of the line layout: width of the leading time stamp, endings that tell the
-# line types apart, and the token positions of the fields.
-STAMP_WIDTH = 16
+# Fixed values of the line layout: endings of the marker token that tell the line types apart,
+# and the token positions of the fields.
 FPAR_END, FEVT_END, FLOG_END, ERR_MARK = ">", ">-", ">/", "ERR_"
-MARKER = 6
+DAEMON, MARKER = 4, 6
 ENV, MODULE, PROCNAME, PROCID, ERRLOCATION = 7, 8, 9, 10, 11
 LOG_TEXT, ERRSTACK, ERRSTACKIDX, ERRSEVERITY, ERR_TEXT = 12, 13, 14, 15, 17
 BRACKETED = r"\[.*\]"
@@ -39,47 +38,39 @@ def read_ws_table(
 ) -> DataFrame:
     """Whitespace-delimited latin-1 lines as columns ``0``..``21``; short rows end in nulls."""
     text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    cells = F.split(squeeze_spaces(text), " ")
+    cells = split_spaces(text)
     lines = read_raw_logs(spark, paths).where(F.trim("value") != "")
     return lines.select(*[F.get(cells, F.lit(i)).alias(str(i)) for i in columns])
 
 
-def raw_type(after_stamp: Column, value: Column) -> Column:
+def raw_type(marker: Column, value: Column) -> Column:
     """Line type from the marker token, else from an error code in the text."""
-    marker = F.get(after_stamp, F.lit(3))
-    rest = F.substring(value, STAMP_WIDTH + 1, 2**31 - 1)
     return (
         F.when(marker.endswith(FPAR_END), "FPAR")
         .when(marker.endswith(FEVT_END), "FEVT")
         .when(marker.endswith(FLOG_END), "FLOG")
-        .when(rest.contains(ERR_MARK), "ERR")
+        .when(value.contains(ERR_MARK), "ERR")
         .otherwise("LOG")
     )
 
 
 def raw_types_only(lines: DataFrame) -> DataFrame:
-    """Only the type of each line; malformed lines (no marker token) are left out."""
-    rest = F.substring("value", STAMP_WIDTH + 1, 2**31 - 1)
-    split = lines.select("value", F.split(squeeze_spaces(rest), " ").alias("after"))
-    return split.where(F.size("after") >= 4).select(
-        raw_type(F.col("after"), F.col("value")).alias("typelog")
+    """Only the type of each line; lines without a marker token are left out."""
+    marked = lines.select("value", F.get(split_spaces(F.col("value")), F.lit(MARKER)).alias("marker"))
+    return marked.where(F.col("marker").isNotNull()).select(
+        raw_type(F.col("marker"), F.col("value")).alias("typelog")
     )
 
 
-def _from(tokens: Column, start: int | Column) -> Column:
-    """Tokens from a 0-based position on."""
-    return F.slice(tokens, F.lit(start) + 1, F.greatest(F.size(tokens) - start, F.lit(0)))
-
-
 def _between(tokens: Column, start: int | Column, end: Column) -> Column:
     """Tokens from ``start`` to before ``end``, both 0-based."""
-    return F.slice(tokens, F.lit(start) + 1, F.greatest(end - start, F.lit(0)))
+    start = F.lit(start) if isinstance(start, int) else start
+    return F.slice(tokens, start + 1, F.greatest(end - start, F.lit(0)))
 
 
 def _find(tokens: Column, mark: str, start: int | Column) -> Column:
-    """0-based position of the first ``mark`` at or after ``start``; -1 if there is none."""
-    offset = F.array_position(_from(tokens, start), mark).cast("int")
-    return F.when(offset > 0, offset - 1 + start).otherwise(F.lit(-1))
+    """0-based position of the first ``mark`` at or after ``start``; ``start - 1`` if there is none."""
+    return F.array_position(_between(tokens, start, F.size(tokens)), mark).cast("int") - 1 + start
 
 
 def parse_raw_logs(lines: DataFrame, year: int | None = None) -> DataFrame:
@@ -89,95 +80,90 @@ def parse_raw_logs(lines: DataFrame, year: int | None = None) -> DataFrame:
     tokens its type needs keeps its text in ``_malformed`` and has no other field.
     """
     path_year = date_from_path(F.col("file_path"), whole_word=False)["year"]
+    if year is not None:
+        year_text = F.lit(str(year))
+    else:
+        year_text = F.when(path_year != "", path_year).otherwise(DEFAULT_YEAR)
+    tok, size, kind, good = F.col("tok"), F.col("size"), F.col("typelog"), F.col("good")
+
+    def at(position: int) -> Column:
+        return F.get(tok, F.lit(position))
+
     split = lines.select(
         "value",
         loghost_from_path(F.col("file_path")).alias("loghost"),
-        (F.lit(str(year)) if year is not None
-         else F.when(path_year != "", path_year).otherwise(DEFAULT_YEAR)).alias("year"),
-        F.split(squeeze_spaces(F.col("value")), " ").alias("tok"),
-        F.split(squeeze_spaces(F.substring("value", STAMP_WIDTH + 1, 2**31 - 1)), " ").alias("after"),
+        year_text.alias("year"),
+        split_spaces(F.col("value")).alias("tok"),
     )
-    tok, after = F.col("tok"), F.col("after")
-    typed = split.withColumns({
-        "typelog": raw_type(after, F.col("value")),
+    marks = split.withColumns({
         "size": F.size(tok),
-        "marker": F.get(tok, F.lit(MARKER)),
+        "typelog": raw_type(at(MARKER), F.col("value")),
         "eq": _find(tok, "=", ENV + 1),
-        "any_slash": F.array_position(tok, "/").cast("int") - 1,
-    })
-    marks = typed.withColumns({
-        "value_end": F.when(F.col("eq") >= 0, _find(tok, "/", F.col("eq") + 1)).otherwise(-1),
+    }).withColumns({
+        "value_end": _find(tok, "/", F.col("eq") + 1),
         "event_end": _find(tok, "/", ENV),
         "tm": F.try_to_timestamp(
-            F.concat_ws(" ", "year", F.get(tok, F.lit(0)), F.get(tok, F.lit(1)),
-                        F.substring("marker", 1, 8)),
+            F.concat_ws(" ", "year", at(0), at(1), F.substring(at(MARKER), 1, 8)),
             F.lit("yyyy MMM d HH:mm:ss"),
         ),
     })
-
-    kind = F.col("typelog")
-    coded = kind.isin("ERR", "LOG")
-    size = F.col("size")
-    well_formed = (
-        (size > MARKER) & (F.size(after) >= 4) & F.col("tm").isNotNull()
-        & F.when(kind == "FPAR", (F.col("eq") >= 0) & (F.col("value_end") > F.col("eq") + 1))
-        .when(kind == "FEVT", F.col("event_end") >= 0)
+    well_formed = (size > MARKER) & F.col("tm").isNotNull() & (
+        F.when(kind == "FPAR", (F.col("eq") > ENV) & (F.col("value_end") > F.col("eq") + 1))
+        .when(kind == "FEVT", F.col("event_end") >= ENV)
         .when(kind == "ERR", size > ERRSEVERITY)
         .when(kind == "LOG", size > PROCID)
         .otherwise(True)
     )
-    checked = marks.withColumn("good", F.coalesce(well_formed, F.lit(False)))
-
-    def at(position: int) -> Column:
-        return F.get(tok, F.lit(position))
+    # Fields come in two generated rows per line rather than in one projection: a filter above,
+    # such as a number test on keyv, then reads the finished field instead of repeating its
+    # expression, and each step stays small enough for the JVM to compile.
+    kept = ("value", "loghost", "tok", "size", "typelog", "eq", "value_end", "event_end", "tm")
+    checked = marks.select(F.inline(F.array(F.struct(*kept, well_formed.alias("good")))))
 
-    def only(kinds: Column, c: Column, other: object = "") -> Column:
-        return F.when(kinds, c).otherwise(F.lit(other))
-
-    in_brackets = F.regexp_extract("value", BRACKETED, 0)
-    last = F.regexp_replace(F.get(tok, size - 1), BRACKETED, "")
-    flog_head = F.regexp_replace("marker", ".*>/", "")
-    flog_text = F.when(size == MARKER + 1, flog_head).otherwise(
-        F.array_join(
-            F.concat(F.array(flog_head), _between(tok, ENV, size - 1), F.array(last)), " "
-        )
+    coded = kind.isin("ERR", "LOG")
+    error = kind == "ERR"
+    slash = F.array_position(tok, "/").cast("int")
+    key_end = F.when(kind == "FPAR", F.col("eq")).when(kind == "FEVT", F.col("event_end")).otherwise(ENV)
+    text_start = (
+        F.when(kind.isin("FPAR", "FEVT"), slash).when(kind == "FLOG", ENV)
+        .when(error, ERR_TEXT).otherwise(LOG_TEXT)
     )
-    after_slash = F.regexp_replace(
-        F.array_join(_from(tok, F.col("any_slash") + 1), " "), BRACKETED, ""
+    text_end = F.when(kind == "FLOG", size - 1).otherwise(size)
+    pieces = checked.withColumns({
+        "key": F.array_join(_between(tok, ENV, key_end), "."),
+        "text": F.array_join(_between(tok, text_start, text_end), " "),
+    })
+    # A free-text line starts inside its marker token; only its last token loses the brackets.
+    flog_head = F.regexp_replace(at(MARKER), ".*>/", "")
+    flog_last = F.when(size > MARKER + 1, F.regexp_replace(F.get(tok, size - 1), BRACKETED, ""))
+    texts = F.struct(
+        F.when(F.col("value").rlike(BRACKETED),
+               F.translate(F.regexp_extract("value", BRACKETED, 0), "[]", ""))
+        .when(coded, at(ENV)).otherwise(F.col("loghost")).alias("env"),
+        F.when((kind == "FEVT") & (F.col("key") != ""), F.concat(F.lit("."), "key"))
+        .otherwise(F.col("key")).alias("keyw"),
+        F.when(kind == "FPAR", F.translate(
+            F.array_join(_between(tok, F.col("eq") + 1, F.col("value_end")), "."), "'", ""))
+        .otherwise("").alias("keyv"),
+        F.when(kind.isin("FPAR", "FEVT"), F.regexp_replace("text", BRACKETED, ""))
+        .when(kind == "FLOG", F.concat_ws(" ", flog_head, F.nullif("text", F.lit("")), flog_last))
+        .otherwise(F.col("text")).alias("logtext"),
     )
-    fields = {
-        "typelog": kind,
-        "tm": F.col("tm"),
-        "loghost": F.col("loghost"),
-        "env": F.when(F.col("value").rlike(BRACKETED), F.translate(in_brackets, "[]", ""))
-        .when(coded, at(ENV)).otherwise(F.col("loghost")),
-        "procname": F.when(coded, at(PROCNAME))
-        .otherwise(F.translate(F.get(after, F.lit(1)), ":", "")),
-        "procid": only(coded, at(PROCID).try_cast("bigint"), 0),
-        "module": only(coded, at(MODULE)),
-        "keyw": F.when(kind == "FPAR", F.array_join(_between(tok, ENV, F.col("eq")), "."))
-        .when((kind == "FEVT") & (F.col("event_end") > ENV),
-              F.concat(F.lit("."), F.array_join(_between(tok, ENV, F.col("event_end")), ".")))
-        .otherwise(""),
-        "keyv": only(kind == "FPAR", F.translate(
-            F.array_join(_between(tok, F.col("eq") + 1, F.col("value_end")), "."), "'", "")),
-        "logtext": F.when(kind.isin("FPAR", "FEVT"), after_slash)
-        .when(kind == "FLOG", flog_text)
-        .when(kind == "ERR", F.array_join(_from(tok, ERR_TEXT), " "))
-        .otherwise(F.array_join(_from(tok, LOG_TEXT), " ")),
-        "errstack": only(kind == "ERR", at(ERRSTACK)),
-        "errstackidx": only(kind == "ERR", at(ERRSTACKIDX).try_cast("bigint"), 0),
-        "errlocation": only(kind == "ERR", at(ERRLOCATION)),
-        "errseverity": only(kind == "ERR", at(ERRSEVERITY)),
+    codes = {
+        "procname": F.when(coded, at(PROCNAME)).otherwise(F.translate(at(DAEMON), ":", "")),
+        "procid": F.when(coded, at(PROCID).try_cast("bigint")).otherwise(0),
+        "module": F.when(coded, at(MODULE)).otherwise(""),
+        "errstack": F.when(error, at(ERRSTACK)).otherwise(""),
+        "errstackidx": F.when(error, at(ERRSTACKIDX).try_cast("bigint")).otherwise(0),
+        "errlocation": F.when(error, at(ERRLOCATION)).otherwise(""),
+        "errseverity": F.when(error, at(ERRSEVERITY)).otherwise(""),
     }
-    good = F.col("good")
-    record = F.struct(
-        *[F.when(good, fields[f.name]).cast(f.dataType).alias(f.name) for f in OPS_CSV.fields],
+    named = {"typelog": kind, "tm": F.col("tm"), "loghost": F.col("loghost"), **codes}
+    return pieces.select("*", F.inline(F.array(F.when(good, texts)))).select(
+        *[(F.when(good, named[f.name]) if f.name in named else F.col(f.name))
+          .cast(f.dataType).alias(f.name) for f in OPS_CSV.fields],
         F.when(~good, F.col("value")).alias("_malformed"),
     )
-    # One generated row per line rather than a projection: a filter above, such as the number
-    # test on keyv, then reads the finished field and does not repeat its whole expression.
-    return checked.select(F.inline(F.array(record)))
 
 
 def well_formed(parsed: DataFrame) -> DataFrame:
