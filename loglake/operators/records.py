@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglake.functions.numbers import finite_only, is_nonzero_metric, is_numeric_value
+from loglake.functions.numbers import (
+    finite_only, fix_exponent, is_nonzero_metric, is_numeric_value,
+)
 from loglake.functions.text import clean_name
-from loglake.functions.numbers import fix_exponent
 from loglake.schema import time_literal_type
 
 
@@ -70,6 +71,11 @@ def match_all() -> Column:
     return F.lit(True)
 
 
+def head_rows(df: DataFrame, *order: str | Column, n: int = 60) -> DataFrame:
+    """The first ``n`` rows in a given order."""
+    return df.orderBy(*order).limit(n)
+
+
 def window_counts(df: DataFrame, step: str = "100 seconds", column: str = "timestamp") -> DataFrame:
     """Rows per tumbling window, with its bounds."""
     return df.groupBy(F.window(column, step).alias("w")).agg(F.count(F.lit(1)).alias("n")).select(

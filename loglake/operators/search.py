@@ -64,32 +64,41 @@ def bm25_scores(docs: DataFrame, query: str, column: str = "logtext") -> DataFra
     aggregation that returns a single row, used as a scalar subquery.
     """
     terms = _query_terms(docs, query)
-    words = tokens(F.col(column))
     if not terms:
         return docs.where(F.lit(False)).withColumn("score", F.lit(0.0))
 
-    length = F.size(words)
+    words = split_tokens(F.coalesce(F.col(column), F.lit("")))
     corpus = docs.select(words.alias("w")).agg(
         F.struct(
             F.count(F.lit(1)).cast("double").alias("n"),
-            F.avg(F.size("w")).alias("mean"),
+            F.avg(_length(F.col("w"))).alias("mean"),
             F.array(*[F.count_if(F.array_contains("w", t)).cast("double") for t in terms]).alias("df"),
         ).alias("corpus")
     )
-    matched = docs.where(match_text(F.col(column), query)).withColumns({
-        "_corpus": corpus.scalar(), "_words": words,
-    })
+    # The tokens are generated rather than projected, so that the filter does not split again.
+    split = docs.select("*", F.inline(F.array(F.struct(words.alias("_words")))))
+    matched = split.where(F.arrays_overlap("_words", F.array(*map(F.lit, terms)))).withColumn(
+        "_corpus", corpus.scalar()
+    )
     n, mean = F.col("_corpus.n"), F.col("_corpus.mean")
-    length = F.size("_words")
+    size = F.size("_words")
+    norm = K1 * (1 - B + B * _length(F.col("_words")) / mean)
     score = F.lit(0.0)
     for i, term in enumerate(terms):
-        tf = (length - F.size(F.array_remove("_words", term))).cast("double")
+        tf = (size - F.size(F.array_remove("_words", term))).cast("double")
         df = F.get(F.col("_corpus.df"), F.lit(i))
         idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+        score = score + idf * tf * (K1 + 1) / (tf + norm)
     return matched.withColumn("score", score).drop("_corpus", "_words")
 
 
+def _length(words: Column) -> Column:
+    """Number of tokens in a split text, which can have an empty string at either end."""
+    first = F.when(F.get(words, F.lit(0)) == "", 1).otherwise(0)
+    last = F.when((F.size(words) > 1) & (F.get(words, F.size(words) - 1) == ""), 1).otherwise(0)
+    return F.size(words) - first - last
+
+
 def search_topk(
     docs: DataFrame, query: str, k: int = TOP_HITS, column: str = "logtext", tie: str = "_id",
     **filters: object,

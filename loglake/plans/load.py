@@ -72,19 +72,30 @@ def load_both(
             records.unpersist()
 
 
-def _load_window(
+def load_window(
     records: DataFrame, lake: Lake, collector: str, past: datetime, present: datetime,
-    piglet: datetime, now: datetime, spec: LoadSpec, persist: bool,
+    piglet: datetime, now: datetime, spec: LoadSpec = LoadSpec(), persist: bool = False,
 ) -> Counts:
-    """Load one window, then record progress and the run."""
+    """Load the records of one window, then record progress and the run.
+
+    A load that fails leaves a run record that says so, records no progress, and raises.
+    """
     spark = records.sparkSession
-    counts = load_both(records, lake, now, spec, persist)
+    run = {
+        "collector": collector, "host": spec.host, "past": past, "present": present,
+        "timestamp": now.strftime("%Y-%m-%dT%H:%M:%S.") + f"{now.microsecond // 1000:03d}Z",
+    }
+    try:
+        counts = load_both(records, lake, now, spec, persist)
+    except Exception as error:
+        write_run_log(spark, lake.run_log, {
+            **run, "level": "ERROR", "ok": False,
+            "message": f"period {past} - {present} failed: {type(error).__name__}",
+        })
+        raise
     write_progress(spark, lake.progress, collector, past, present, piglet, now)
     write_run_log(spark, lake.run_log, {
-        "collector": collector, "host": spec.host, "level": "INFO",
-        "message": f"inserted period {past} - {present}", "past": past, "present": present,
-        "ok": True, "timestamp": now.strftime("%Y-%m-%dT%H:%M:%S.") + f"{now.microsecond // 1000:03d}Z",
-        **counts,
+        **run, "level": "INFO", "ok": True, "message": f"inserted period {past} - {present}", **counts,
     })
     return counts
 
@@ -100,7 +111,7 @@ def load_period(
     """
     low, high = min(low, high), max(low, high)
     window = in_period(records, low, high, include_low=include_low)
-    return _load_window(window, lake, collector, low, high, high, now, spec, persist)
+    return load_window(window, lake, collector, low, high, high, now, spec, persist)
 
 
 def load_points_period(
@@ -128,7 +139,7 @@ def load_backwards(
     while start > stop:
         past = stop if step is None else max(stop, start - step)
         window = in_period(records, past, start, include_high=False)
-        done.append(_load_window(window, lake, collector, past, start, past, now, spec, persist))
+        done.append(load_window(window, lake, collector, past, start, past, now, spec, persist))
         start = past
     return done
 
@@ -160,4 +171,4 @@ def load_increment(
     window = in_period(records, past, present, include_low=False)
     if window.isEmpty():
         return None
-    return _load_window(window, lake, collector, past, present, present, now, spec, persist)
+    return load_window(window, lake, collector, past, present, present, now, spec, persist)

@@ -228,7 +228,29 @@ def _append_row(spark: SparkSession, path: str, schema: T.StructType, values: Ma
     row = spark.range(1, numPartitions=1).select(
         *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
-    row.write.mode("append").parquet(path)
+    row.write.mode("append").partitionBy("collector").parquet(path)
+
+
+def compact_control(spark: SparkSession, lake: Lake) -> None:
+    """Fold the one-row files that a collector leaves per window into one file per collector.
+
+    Run it now and then, while the collectors pause. Progress keeps its last reset and, since
+    then, its ends, which is all a resume looks at; the run log keeps every row.
+    """
+    progress = read_progress(spark, lake.progress)
+    resets = progress.where(F.col("past").isNull()).groupBy("collector").agg(
+        F.max("written_at").alias("reset_at"))
+    current = progress.join(resets, "collector", "left").where(
+        F.col("reset_at").isNull() | (F.col("written_at") >= F.col("reset_at")))
+    fields = F.struct(*[c for c in PROGRESS.names if c != "collector"])
+    ends = current.groupBy("collector").agg(
+        F.min_by(fields, "collector_piglet").alias("first"), F.max_by(fields, "collector_piglet").alias("last"),
+        F.max_by(fields, F.when(F.col("past").isNull(), F.col("written_at"))).alias("reset"),
+    )
+    folded = ends.select("collector", F.explode(F.array_distinct(F.array("first", "last", "reset"))).alias("r"))
+    _store(folded.where(F.col("r").isNotNull()).select("collector", "r.*"), lake.progress,
+           ("collector",), ("collector_piglet",), mode="overwrite")
+    _store(read_run_log(spark, lake.run_log), lake.run_log, ("collector",), ("timestamp",), mode="overwrite")
 
 
 def write_progress(

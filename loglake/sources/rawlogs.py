@@ -56,7 +56,9 @@ def raw_type(marker: Column, value: Column) -> Column:
 
 def raw_types_only(lines: DataFrame) -> DataFrame:
     """Only the type of each line; lines without a marker token are left out."""
-    marked = lines.select("value", F.get(split_spaces(F.col("value")), F.lit(MARKER)).alias("marker"))
+    # Generated rather than projected: the filter would otherwise split each line once more.
+    marker = F.struct(F.get(split_spaces(F.col("value")), F.lit(MARKER)).alias("marker"))
+    marked = lines.select("value", F.inline(F.array(marker)))
     return marked.where(F.col("marker").isNotNull()).select(
         raw_type(F.col("marker"), F.col("value")).alias("typelog")
     )
@@ -83,7 +85,7 @@ def parse_raw_logs(lines: DataFrame, year: int | None = None) -> DataFrame:
     if year is not None:
         year_text = F.lit(str(year))
     else:
-        year_text = F.when(path_year != "", path_year).otherwise(DEFAULT_YEAR)
+        year_text = F.coalesce(F.nullif(path_year, F.lit("")), F.lit(DEFAULT_YEAR))
     tok, size, kind, good = F.col("tok"), F.col("size"), F.col("typelog"), F.col("good")
 
     def at(position: int) -> Column:
@@ -137,9 +139,10 @@ def parse_raw_logs(lines: DataFrame, year: int | None = None) -> DataFrame:
     flog_head = F.regexp_replace(at(MARKER), ".*>/", "")
     flog_last = F.when(size > MARKER + 1, F.regexp_replace(F.get(tok, size - 1), BRACKETED, ""))
     texts = F.struct(
-        F.when(F.col("value").rlike(BRACKETED),
-               F.translate(F.regexp_extract("value", BRACKETED, 0), "[]", ""))
-        .when(coded, at(ENV)).otherwise(F.col("loghost")).alias("env"),
+        F.coalesce(
+            F.translate(F.regexp_substr("value", F.lit(BRACKETED)), "[]", ""),
+            F.when(coded, at(ENV)).otherwise(F.col("loghost")),
+        ).alias("env"),
         F.when((kind == "FEVT") & (F.col("key") != ""), F.concat(F.lit("."), "key"))
         .otherwise(F.col("key")).alias("keyw"),
         F.when(kind == "FPAR", F.translate(

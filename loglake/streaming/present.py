@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglake.operators.documents import doc_id
-from loglake.plans.load import POINTS_ONLY, LoadSpec, _load_window, load_increment
+from loglake.plans.load import POINTS_ONLY, LoadSpec, load_increment, load_window
 from loglake.sinks.lake import Lake
 
 Clock = Callable[[], datetime]
@@ -66,8 +66,8 @@ def load_present(
         try:
             bounds = batch.agg(F.min("timestamp").alias("past"), F.max("timestamp").alias("present")).first()
             if bounds["present"] is not None:
-                _load_window(batch, lake, collector, bounds["past"], bounds["present"],
-                             bounds["present"], clock(), spec, persist=False)
+                load_window(batch, lake, collector, bounds["past"], bounds["present"],
+                            bounds["present"], clock(), spec)
         finally:
             batch.unpersist()
 

@@ -88,7 +88,14 @@ def _(spark, sf_dir):
     return records.load_counts(alog(spark, sf_dir))
 
 
-# From the time of each event type's last event on, where do rows begin again?
+@query("head_rows", f"""
+    with {ALOG} select id, {TIME_TEXT.format('timestamp')} as timestamp, keywvalue from alog
+    order by alog.timestamp, id limit 60""")
+def _(spark, sf_dir):
+    return records.head_rows(alog(spark, sf_dir), "timestamp", "id").select("id", "timestamp", "keywvalue")
+
+
+# Twelve hours before the first record: the gap is passed in whole windows.
 @query("widen_gap", f"""
     with {ALOG}, f as (select min(timestamp) as first from alog where timestamp > '2023-12-31 12:00:00')
     select '2023-12-31 12:00:00.000000' as past, strftime(timestamp '2023-12-31 12:00:00'

@@ -319,3 +319,40 @@ def test_polling_a_table(spark, tmp_path, lake):
 def test_spec_is_immutable_and_replaceable():
     spec = replace(load.LoadSpec(), host="h")
     assert (spec.host, spec.targets) == ("h", load.BOTH)
+
+
+def test_control_tables_fold(spark, lake):
+    for i in (3, 9, 5):
+        at = datetime(2024, 1, i)
+        tables.write_progress(spark, lake.progress, "a", at, at, at, at)
+    tables.reset_progress(spark, lake.progress, "b", datetime(2024, 1, 6), datetime(2024, 1, 6))
+    for i in (2, 7, 8):
+        tables.write_progress(spark, lake.progress, "b", NOW, NOW, datetime(2024, 1, i), datetime(2024, 1, 6 + i % 2))
+    tables.write_run_log(spark, lake.run_log, {"collector": "a", "ok": True})
+    tables.write_run_log(spark, lake.run_log, {"collector": "a", "ok": False})
+
+    def ends():
+        progress = tables.read_progress(spark, lake.progress)
+        return [
+            (f(progress, c).first()[0]) for c in ("a", "b")
+            for f in (accounting.latest_progress, accounting.earliest_progress)]
+
+    before = ends()
+    tables.compact_control(spark, lake)
+    assert ends() == before
+    assert tables.read_progress(spark, lake.progress).count() == 5
+    assert tables.read_run_log(spark, lake.run_log).count() == 2
+    assert accounting.load_status(tables.read_run_log(spark, lake.run_log)).first()["ok"] is False
+
+
+def test_a_failed_load_is_logged_and_leaves_no_progress(spark, lake):
+    def fail(*_):
+        raise RuntimeError("store is gone")
+
+    with pytest.raises(RuntimeError):
+        load.load_period(series(spark), START, NOW, lake, NOW, spec=load.LoadSpec(docs_writer=fail))
+    assert tables.read_progress(spark, lake.progress).count() == 0
+    log = tables.read_run_log(spark, lake.run_log).first()
+    assert (log["ok"], log["level"]) == (False, "ERROR")
+    load.load_period(series(spark), START, NOW, lake, NOW)
+    assert len(contents(spark, lake)[0]) == 225
