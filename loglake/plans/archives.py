@@ -8,7 +8,6 @@ from dataclasses import replace
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from loglake.operators.documents import to_docs
 from loglake.operators.files import files_to_load, last_row_per_file
 from loglake.plans.load import BOTH, POINTS_ONLY, Counts, LoadSpec, load_both
 from loglake.schema import NUMERIC_TYPE
-from loglake.sinks.lake import Lake
+from loglake.sinks.lake import Lake, read_docs
 from loglake.sources.archives import normalise_csv, read_ops_csv
 
 
@@ -81,13 +80,8 @@ def new_files(
     The driver lists these paths in any case to plan the read; loaded files are then not opened
     a second time.
     """
-    new = last_row_per_file(records)
-    try:
-        docs = records.sparkSession.read.parquet(lake.docs)
-        new = files_to_load(new, docs, csv_indexes(index, frequency, whole_word))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    docs = read_docs(records.sparkSession, lake.docs, latest=False)
+    new = files_to_load(last_row_per_file(records), docs, csv_indexes(index, frequency, whole_word))
     return [_literal_path(row["file_path"]) for row in new.select("file_path").toLocalIterator()]
 
 

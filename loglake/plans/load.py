@@ -28,6 +28,11 @@ POINTS_ONLY = ("points",)
 Counts = dict[str, int | None]
 
 
+def monthly_docs(records: DataFrame) -> DataFrame:
+    """Documents in monthly indexes, so that no index grows with the whole history."""
+    return to_docs(records, frequency="MONTHLY")
+
+
 @dataclass(frozen=True)
 class LoadSpec:
     """What a load does with its records. Every step can be replaced by the caller.
@@ -39,7 +44,7 @@ class LoadSpec:
     targets: tuple[str, ...] = BOTH
     data_filter: Filter = finite
     data_parser: Transform = point_shape
-    doc_builder: Transform = to_docs
+    doc_builder: Transform = monthly_docs
     points_writer: Callable[[DataFrame, str, datetime], int] = write_points
     docs_writer: Callable[[DataFrame, str, datetime], int] = write_docs
     host: str = ""

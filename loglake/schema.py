@@ -39,9 +39,11 @@ POINT = T.StructType([
     T.StructField("tags", T.MapType(TEXT, TEXT)),
 ])
 
-DOC_FIELDS = (
-    "@timestamp", "loghost", "envname", "procname", "procid", "module", "keywname", "keywvalue",
-    "logtext", "errstack", "errstackidx", "errlocation", "errseverity",
+DOC = _struct(
+    ("_index", TEXT), ("_type", TEXT), ("_id", TEXT), ("@timestamp", TIME), ("loghost", TEXT),
+    ("envname", TEXT), ("procname", TEXT), ("procid", LONG), ("module", TEXT), ("keywname", TEXT),
+    ("keywvalue", TEXT), ("keywvalue_num", DOUBLE), ("logtext", TEXT), ("errstack", TEXT),
+    ("errstackidx", LONG), ("errlocation", TEXT), ("errseverity", TEXT),
 )
 
 PROGRESS = _struct(

@@ -19,12 +19,14 @@ from loglake.operators.documents import DOC_KEY, upsert_docs
 from loglake.operators.points import (
     POINT_COLUMNS, delete_condition, in_absolute_range, upsert_points,
 )
-from loglake.schema import POINT, PROGRESS, RUN_LOG
+from loglake.schema import DOC, POINT, PROGRESS, RUN_LOG
 
 DAY_MS = 86_400_000
+LOAD_TIME = T.StructField("load_time", T.TimestampType())
 STORED_POINT = T.StructType([
-    *POINT.fields, T.StructField("load_time", T.TimestampType()), T.StructField("day", T.DateType()),
+    *POINT.fields, LOAD_TIME, T.StructField("day", T.DateType()),
 ])
+STORED_DOC = T.StructType([*DOC.fields, LOAD_TIME])
 
 
 @dataclass(frozen=True)
@@ -84,13 +86,12 @@ def _store(
     return written.get["n"]
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table that may not exist yet."""
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that may not exist yet. The schema keeps Spark from guessing types of partitions."""
     try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if schema is not None and error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
@@ -195,7 +196,7 @@ def read_docs(
     All copies of a document share its time, so filtering before the fold is exact. Name the
     ``columns`` you need: the fold carries whole rows, and the others are then not even read.
     """
-    docs = spark.read.parquet(path)
+    docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names)
     if columns is not None:
         kept = dict.fromkeys((*DOC_KEY, "@timestamp", *columns, "load_time"))
         docs = docs.select(*kept)
@@ -216,7 +217,7 @@ def compact_docs(
     spark: SparkSession, path: str, index: str | Iterable[str] | None = None
 ) -> None:
     """Fold the copies of each document into one, in the given indexes or all."""
-    docs = spark.read.parquet(path)
+    docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names)
     if index is not None:
         docs = docs.where(F.col("_index").isin([index] if isinstance(index, str) else list(index)))
     _store(upsert_docs(docs), path, ("_index", "_type"), ("@timestamp",), mode="overwrite")
@@ -272,7 +273,7 @@ def reset_progress(
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, PROGRESS)
+    return _read(spark, path, PROGRESS).select(PROGRESS.names)
 
 
 def write_run_log(spark: SparkSession, path: str, record: Mapping) -> None:
@@ -283,4 +284,4 @@ def write_run_log(spark: SparkSession, path: str, record: Mapping) -> None:
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, RUN_LOG)
+    return _read(spark, path, RUN_LOG).select(RUN_LOG.names)

@@ -36,7 +36,7 @@ def _archive(spark, sf_dir):
 
     def write(path):
         rows = _csv_shape(alog_seconds(spark, sf_dir)).withColumn("date", F.date_format("tm", "yyyy-MM-dd"))
-        write_ops_csv(rows.repartition("date"), path, partition_by=["date"])
+        write_ops_csv(rows.hint("rebalance", "date"), path, partition_by=["date"])
 
     return written_once(spark, sf_dir, "archive", write)
 

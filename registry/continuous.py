@@ -12,10 +12,11 @@ from loglake.session import new_path
 from loglake.sinks import lake as tables
 from loglake.streaming import present
 from registry.base import (
-    ALOG, DOCS, EPOCH_MS, FINITE, FOLDED_POINTS, NOW, POINTS, TIME_TEXT, alog, alog_of, query, table,
+    ALOG, DOCS, EPOCH_MS, FINITE, FOLDED_POINTS, NOW, POINTS, TIME_TEXT, alog, alog_of, docs_sql, query, table,
     written_once,
 )
 
+MONTHLY_DOCS = docs_sql(suffix="strftime(timestamp, '%Y.%m')")
 POINT_LIST = "name, timestamp, value, proc, env, loghost, logtext"
 LOW, HIGH = datetime(2024, 1, 5), datetime(2024, 1, 12)
 PERIOD = f"alog as (select * from alog0 where timestamp between '{LOW}' and '{HIGH}')"
@@ -45,7 +46,7 @@ def _(spark, sf_dir):
     return _stores(spark, lake)
 
 
-@query("load_period", f"with {ALOG0}, {PERIOD}, {DOCS} select * from docs")
+@query("load_period", f"with {ALOG0}, {PERIOD}, {MONTHLY_DOCS} select * from docs")
 def _(spark, sf_dir):
     lake = _new_lake(spark)
     load.load_period(alog(spark, sf_dir), LOW, HIGH, lake, NOW)

@@ -69,7 +69,7 @@ def test_reads_skip_other_days_and_columns(spark, lake):
     plan = tables.read_points(spark, lake.points, "TESTER_POINTS", day, day + 1000)
     text = plan_of(plan)
     assert "PartitionFilters: [isnotnull(day" in text
-    slim = tables.read_docs(spark, lake.docs, "opslog", columns=["loghost"])
+    slim = tables.read_docs(spark, lake.docs, "opslog-2024.01", columns=["loghost"])
     schema = plan_of(slim).split("ReadSchema")[1]
     assert "loghost" in schema and "logtext" not in schema
 
@@ -356,3 +356,14 @@ def test_a_failed_load_is_logged_and_leaves_no_progress(spark, lake):
     assert (log["ok"], log["level"]) == (False, "ERROR")
     load.load_period(series(spark), START, NOW, lake, NOW)
     assert len(contents(spark, lake)[0]) == 225
+
+
+def test_an_empty_window_is_a_load_of_nothing(spark, lake):
+    records = series(spark)
+    assert contents(spark, lake) == (set(), set())
+    counts = load.load_period(records, datetime(2020, 1, 1), datetime(2020, 1, 2), lake, NOW)
+    assert counts == {"rows_in": 0, "points_out": 0, "docs_out": 0}
+    assert load.load_period(records.where("1 = 0"), START, NOW, lake, NOW)["docs_out"] == 0
+    assert contents(spark, lake) == (set(), set())
+    load.load_period(records, START, NOW, lake, NOW)
+    assert len(contents(spark, lake)[1]) == 300
