@@ -43,6 +43,13 @@ def read_ws_table(
     return lines.select(*[F.get(cells, F.lit(i)).alias(str(i)) for i in columns])
 
 
+def env_from_cells(cells: DataFrame) -> Column:
+    """Bracketed text in the last filled cell of a ``read_ws_table`` row; '' if there is none."""
+    filled = F.array_compact(F.array(*[F.col(f"`{c}`") for c in cells.columns]))
+    last = F.try_element_at(filled, F.lit(-1))
+    return F.coalesce(F.regexp_substr(last, F.lit(r"(?<=\[)[^\]]*(?=\])")), F.lit(""))
+
+
 def raw_type(marker: Column, value: Column) -> Column:
     """Line type from the marker token, else from an error code in the text."""
     return (

@@ -151,3 +151,12 @@ def _(spark, sf_dir):
     with {SECONDS}, {RENDERED}, cells as (select {CELLS} from lines) select "6", "17" from cells""")
 def _(spark, sf_dir):
     return raw.read_ws_table(spark, _written_lines(spark, sf_dir), (6, 17))
+
+
+# The environment is the last word of a line in three of the five types.
+@query("env_from_cells", f"""
+    with {SECONDS} select case when typelog in ('FPAR', 'FEVT', 'FLOG') then env else '' end as env, count(*) as n
+    from alog group by 1""")
+def _(spark, sf_dir):
+    cells = raw.read_ws_table(spark, _written_lines(spark, sf_dir))
+    return cells.select(raw.env_from_cells(cells).alias("env")).groupBy("env").agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loglake.operators import accounting, files
-from loglake.operators.documents import to_docs
+from loglake.operators.documents import to_docs, upsert_docs
 from loglake.operators.points import to_points
 from loglake.plans import archives, load
 from loglake.schema import CSV_TO_ALOG, OPS_CSV
@@ -367,3 +367,32 @@ def test_an_empty_window_is_a_load_of_nothing(spark, lake):
     assert contents(spark, lake) == (set(), set())
     load.load_period(records, START, NOW, lake, NOW)
     assert len(contents(spark, lake)[1]) == 300
+
+
+def test_a_hot_day_is_written_by_many_tasks(spark, lake, tmp_path):
+    """Nine tenths of all rows fall on one day; its files stay near the advised size."""
+    rows = alog(spark, [record()]).crossJoin(spark.range(200_000).withColumnRenamed("id", "n"))
+    spread = rows.withColumn("keywvalue", F.col("n").cast("string")).withColumn(
+        "logtext", F.sha2(F.col("n").cast("string"), 256)).withColumn(
+        "timestamp", F.when(F.col("n") % 10 == 0, F.date_add("timestamp", (F.col("n") % 7).cast("int")))
+        .otherwise(F.col("timestamp")).cast("timestamp"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        written = tables.write_points(to_points(spread.repartition(8)), lake.points, NOW)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert written == 200_000
+    files_per_day = (
+        spark.read.parquet(lake.points).withColumn("f", F.input_file_name()).groupBy("day")
+        .agg(F.count_distinct("f").alias("files"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).collect())
+    assert files_per_day[0]["n"] > 180_000 and files_per_day[0]["files"] > 4
+    assert tables.read_points(spark, lake.points).count() == 200_000
+
+
+def test_copies_are_combined_before_the_shuffle(spark):
+    copies = to_docs(alog(spark, [record()]).crossJoin(spark.range(100_000).select(F.col("id").alias("copy")))).withColumn(
+        "load_time", F.lit("2024-01-01").cast("timestamp"))
+    folded = upsert_docs(copies)
+    assert folded.count() == 1
+    plan = plan_of(folded)
+    assert plan.index("partial_max_by") > 0 and "Window" not in plan

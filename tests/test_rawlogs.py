@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loglake.schema import OPS_CSV
 from loglake.sources import rawlogs
-from samples import RAW_LINES
+from registry.rawlogs import lines_of
+from samples import RAW_LINES, alog, record
 
 EXPECTED = [
     ("FPAR", "2016-10-01 00:00:12", "wamber", "C. lat3amb", "logManager", 0, "", "TEMP.AMB", "12.5",
@@ -86,3 +91,44 @@ def test_types_only(spark):
     df = spark.createDataFrame([(v, "/w.log") for v in [*RAW_LINES.splitlines(), "short"]],
                                "value string, file_path string")
     assert [r[0] for r in rawlogs.raw_types_only(df).collect()] == ["FPAR", "FEVT", "FLOG", "ERR", "LOG"]
+
+
+def test_env_from_cells(spark, tmp_path):
+    path = tmp_path / "t.log"
+    path.write_text("a b [x]\na [b] c\na []\na\na [b [c] d]\n")
+    cells = rawlogs.read_ws_table(spark, str(path))
+    assert [r[0] for r in cells.select(rawlogs.env_from_cells(cells)).collect()] == ["x", "", "", "", ""]
+
+
+WORD = st.text(alphabet="abcXYZ019_.-", min_size=1, max_size=6)
+WORDS = st.lists(WORD, min_size=1, max_size=4).map(" ".join)
+RECORD = st.builds(
+    dict, typelog=st.sampled_from(["FPAR", "FEVT", "FLOG", "ERR", "LOG"]), loghost=st.just("wat1"), env=WORD,
+    procname=WORD, procid=st.integers(0, 10**9), module=WORD, keywname=WORDS, keywvalue=WORD, logtext=WORDS,
+    errstack=WORD, errstackidx=st.integers(0, 99), errlocation=WORD, errseverity=st.sampled_from("SW"),
+    timestamp=st.integers(0, 300 * 86_400).map(lambda s: datetime(2023, 1, 1) + timedelta(seconds=s)),
+)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(st.lists(RECORD, min_size=20, max_size=60))
+def test_parsing_undoes_rendering(spark, changes):
+    parsed = rawlogs.parse_raw_logs(lines_of(alog(spark, [record(**c) for c in changes]).coalesce(1)))
+    rows = parsed.withColumn("tm", F.date_format("tm", "yyyy-MM-dd HH:mm:ss")).collect()
+    for c, row in zip(changes, rows):
+        kind = c["typelog"]
+        coded, error = kind in ("ERR", "LOG"), kind == "ERR"
+        # Raw lines join the words of a key by dots, and pad the text around its delimiters.
+        key = {"FPAR": "", "FEVT": "."}.get(kind)
+        pad = {"FPAR": "{} ", "FEVT": "{} ", "FLOG": " {} "}.get(kind, "{}")
+        assert row.asDict() == {
+            "typelog": kind, "tm": str(c["timestamp"]), "loghost": "wat1", "env": c["env"],
+            "procname": c["procname"], "procid": c["procid"] if coded else 0,
+            "module": c["module"] if coded else "",
+            "keyw": "" if key is None else key + c["keywname"].replace(" ", "."),
+            "keyv": c["keywvalue"] if kind == "FPAR" else "", "logtext": pad.format(c["logtext"]),
+            "errstack": c["errstack"] if error else "", "errstackidx": c["errstackidx"] if error else 0,
+            "errlocation": c["errlocation"] if error else "", "errseverity": c["errseverity"] if error else "",
+            "_malformed": None,
+        }
