@@ -16,7 +16,8 @@ from loglake.operators.documents import to_docs
 from loglake.operators.files import files_to_load, last_row_per_file
 from loglake.plans.load import BOTH, POINTS_ONLY, Counts, LoadSpec, load_both
 from loglake.schema import NUMERIC_TYPE
-from loglake.sinks.lake import Lake, read_docs
+from loglake.session import new_path
+from loglake.sinks.lake import Lake, first_times, read_docs
 from loglake.sources.archives import normalise_csv, read_ops_csv
 
 
@@ -77,11 +78,22 @@ def new_files(
 ) -> list[str]:
     """Paths of the files whose last record is not among the documents yet.
 
-    The driver lists these paths in any case to plan the read; loaded files are then not opened
-    a second time.
+    The last records, one per file, are written to the shared folder, so the archives are read
+    once; their indexes and times then bound what is read of the documents. The driver lists the
+    paths in any case to plan the load, which opens the new files only.
     """
-    docs = read_docs(records.sparkSession, lake.docs, latest=False)
-    new = files_to_load(last_row_per_file(records), docs, csv_indexes(index, frequency, whole_word))
+    spark = records.sparkSession
+    path = new_path(spark, "last-rows")
+    last_row_per_file(records).write.parquet(path)
+    last = spark.read.parquet(path)
+    indexes = csv_indexes(index, frequency, whole_word)
+    names = [row[0] for row in last.select(F.explode(indexes)).distinct().toLocalIterator()]
+    low, high = first_times(
+        last.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")), "low", "high")
+    docs = read_docs(
+        spark, lake.docs, names, low=low, high=high, latest=False,
+        columns=("_index", "@timestamp", "loghost", "logtext"))
+    new = files_to_load(last, docs, indexes)
     return [_literal_path(row["file_path"]) for row in new.select("file_path").toLocalIterator()]
 
 

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from loglake.operators.accounting import resume
 from loglake.operators.documents import to_docs
 from loglake.operators.points import Filter, Transform, point_shape, to_points
-from loglake.operators.records import finite, in_period
+from loglake.operators.records import finite, in_period, time_literal
 from loglake.sinks.lake import (
-    Lake, moment, read_progress, write_docs, write_points, write_progress, write_run_log,
+    Lake, first_times, read_progress, write_docs, write_points, write_progress, write_run_log,
 )
 
 BOTH = ("points", "docs")
@@ -139,7 +139,7 @@ def load_backwards(
     """
     if start is None:
         progress = read_progress(records.sparkSession, lake.progress)
-        start = resume(progress, now, "backwards", collector).first()["start"]
+        (start,) = first_times(resume(progress, now, "backwards", collector), "start")
     done = []
     while start > stop:
         past = stop if step is None else max(stop, start - step)
@@ -165,10 +165,11 @@ def load_increment(
     passed or no row arrived: the next call then looks at a wider window.
     """
     progress = read_progress(records.sparkSession, lake.progress)
-    past = resume(progress, now, "present", collector).first()["start"]
+    (past,) = first_times(resume(progress, now, "present", collector), "start")
     present = now - timedelta(seconds=delay_s)
     if catch_up_s is not None and present - past > timedelta(seconds=catch_up_s):
-        first = records.where(F.col("timestamp") > moment(past)).agg(F.min("timestamp")).first()[0]
+        ahead = records.where(F.col("timestamp") > time_literal(records, past))
+        (first,) = first_times(ahead.agg(F.min("timestamp").alias("first")), "first")
         if first is not None:
             present = min(present, max(past, first) + timedelta(seconds=catch_up_s))
     if present <= past:

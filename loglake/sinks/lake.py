@@ -57,6 +57,15 @@ def _text(value: datetime | str | None) -> str | None:
     return value.isoformat(sep=" ") if isinstance(value, datetime) else value
 
 
+def first_times(df: DataFrame, *columns: str) -> list[datetime | None]:
+    """Times of a one-row result in the session zone.
+
+    A collected timestamp would come in the zone of the Python process instead.
+    """
+    texts = [F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in columns]
+    return [None if text is None else datetime.fromisoformat(text) for text in df.select(*texts).first()]
+
+
 def moment(value: datetime | str) -> Column:
     return F.lit(_text(value)).cast("timestamp")
 
@@ -140,7 +149,10 @@ def _day_of(ms: int) -> date:
 
 
 def compact_points(spark: SparkSession, path: str, days: Iterable[date] | None = None) -> None:
-    """Fold the copies of each datapoint into one, in the given days or all."""
+    """Fold the copies of each datapoint into one, in the given days or all.
+
+    Like every rewrite, run it on days no load is writing to.
+    """
     stored = _stored_points(spark, path)
     if days is not None:
         stored = stored.where(F.col("day").isin(list(days)))
@@ -162,14 +174,17 @@ def delete_stored_points(
     if end_ms is not None:
         stored = stored.where(F.col("day") <= F.lit(_day_of(end_ms)))
     doomed = delete_condition(list(names), start_ms, end_ms, tags)
-    touched = stored.where(doomed).select("day").distinct()
-    remaining = stored.where(~doomed).join(touched, "day", "left_semi")
-    markers = touched.select(
+    # The days are partitions the driver lists anyway; naming them makes sure no other is read.
+    days = [row["day"] for row in stored.where(doomed).select("day").distinct().toLocalIterator()]
+    if not days:
+        return
+    remaining = stored.where(F.col("day").isin(days) & ~doomed)
+    markers = spark.createDataFrame([(day,) for day in days], "day date").select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in STORED_POINT.fields[:-1]], "day"
     )
     _store(
-        remaining.select(STORED_POINT.names).union(markers.select(STORED_POINT.names)),
-        path, ("day",), ("name", "timestamp"), mode="overwrite",
+        remaining.select(STORED_POINT.names).union(markers), path, ("day",), ("name", "timestamp"),
+        mode="overwrite",
     )
 
 
@@ -216,7 +231,10 @@ def read_docs(
 def compact_docs(
     spark: SparkSession, path: str, index: str | Iterable[str] | None = None
 ) -> None:
-    """Fold the copies of each document into one, in the given indexes or all."""
+    """Fold the copies of each document into one, in the given indexes or all.
+
+    Like every rewrite, run it on indexes no load is writing to.
+    """
     docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names)
     if index is not None:
         docs = docs.where(F.col("_index").isin([index] if isinstance(index, str) else list(index)))

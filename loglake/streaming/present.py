@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loglake.operators.documents import doc_id
 from loglake.plans.load import POINTS_ONLY, LoadSpec, load_increment, load_window
-from loglake.sinks.lake import Lake
+from loglake.sinks.lake import Lake, first_times
 
 Clock = Callable[[], datetime]
 
@@ -64,10 +64,10 @@ def load_present(
     def load(batch: DataFrame, _: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            bounds = batch.agg(F.min("timestamp").alias("past"), F.max("timestamp").alias("present")).first()
-            if bounds["present"] is not None:
-                load_window(batch, lake, collector, bounds["past"], bounds["present"],
-                            bounds["present"], clock(), spec)
+            bounds = batch.agg(F.min("timestamp").alias("past"), F.max("timestamp").alias("present"))
+            past, last = first_times(bounds, "past", "present")
+            if last is not None:
+                load_window(batch, lake, collector, past, last, last, clock(), spec)
         finally:
             batch.unpersist()
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import time
 from dataclasses import replace
 from datetime import date, datetime, timedelta
@@ -396,3 +397,29 @@ def test_copies_are_combined_before_the_shuffle(spark):
     assert folded.count() == 1
     plan = plan_of(folded)
     assert plan.index("partial_max_by") > 0 and "Window" not in plan
+
+
+def test_loads_do_not_depend_on_the_zone_of_python(spark, tmp_path, lake):
+    records = series(spark)
+    stop, now = START + timedelta(days=1), datetime(2024, 1, 4)
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = "America/Santiago"
+    time.tzset()
+    try:
+        load.load_backwards(records, stop, lake, now)
+        load.load_backwards(records, START, lake, now, step=None)
+        tables.reset_progress(spark, lake.progress, "present", START, START)
+        assert load.load_increment(records, lake, now, 0)["rows_in"] == 299
+        other = tables.Lake(new_path(spark, "lake"))
+        present.load_present(stream_of(spark, tmp_path, records), other, new_path(spark, "offsets"),
+                             clock=lambda: now, every=None).awaitTermination()
+        path = csv_file(spark, tmp_path, "a.2016-01-05.csv.gz", [record(logtext="one")])
+        assert archives.load_csv_docs(spark, path, other, NOW)["docs_out"] == 1
+        assert archives.load_csv_docs(spark, path, other, NOW)["docs_out"] == 0
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+    assert len(contents(spark, lake)[1]) == 300
+    ends = tables.read_progress(spark, other.progress).agg(
+        F.date_format(F.max("present"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    assert ends == str(START + timedelta(seconds=299 * 600))
