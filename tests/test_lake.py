@@ -75,7 +75,7 @@ def test_reads_skip_other_days_and_columns(spark, lake):
     assert "loghost" in schema and "logtext" not in schema
 
 
-@settings(max_examples=4, deadline=None,
+@settings(max_examples=2, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 @given(st.integers(0, 180000), st.integers(0, 180000))
 def test_a_period_is_the_sum_of_its_parts(spark, x, y):
