@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat_format, packing, secret_scan
+from loglake.llm import bpe, chat_format, packing, secret_scan, toxicity, winnowing
 from loglake.llm.common import table
 
+#: The score from which a text counts as toxic.
+TOXIC = 0.3
+
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -25,6 +28,21 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chat(conversations.unionByName(probe)))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= TOXIC, 1).otherwise(0).alias("predicted"))
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = winnowing.compare_edited(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id", "n_chars", "edited_sha256", winnowing.spelled(F.col("hashes")).alias("fingerprint"),
+        winnowing.spelled(F.col("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     whole = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -44,7 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op4_chat_format, op7_bpe, op10_secret_scan)}
+    op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op10_secret_scan)}
 
 ORACLE: dict[str, str] = {}
 
