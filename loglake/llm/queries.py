@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat_format, packing, secret_scan, toxicity, winnowing
+from loglake.llm import bpe, chat_format, packing, secret_scan, topk, toxicity, winnowing
 from loglake.llm.common import table
 
 #: The score from which a text counts as toxic.
@@ -51,6 +51,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -62,7 +67,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op10_secret_scan)}
+    op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op10_secret_scan)}
 
 ORACLE: dict[str, str] = {}
 
@@ -85,3 +90,14 @@ select conv_id, count(*) as n_turns,
        cast(sum(upto) filter (role = 'assistant' or pos = n) as bigint) as formatted_chars
 from summed group by conv_id
 """
+
+ORACLE["op8_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x : floor(256 * cast(x as double))) as vector from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, d.vec_id, cast(list_inner_product(q.vector, d.vector) as bigint) as score
+  from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
