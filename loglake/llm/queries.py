@@ -6,12 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat_format, packing, secret_scan, topk, toxicity, winnowing
+from loglake.llm import bpe, chat_format, packing, secret_scan, topk, toxicity, url_filter, winnowing
 from loglake.llm.common import table
 
 #: The score from which a text counts as toxic.
 TOXIC = 0.3
 
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+#: Words of hosts whose pages make the list of op1.
+BAD_HOSTS = r"(^|[.-])(adult|ads|spam|casino|pills|bets)([.-]|$)"
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the canonical URLs of all pages on hosts of ill repute."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = pages.filter(url_filter.url_host(F.col("url")).rlike(BAD_HOSTS))
+    judged = url_filter.judge_urls(pages, bad.select(url_filter.canonical_url(F.col("url")).alias("canonical")), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
+
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -67,7 +79,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op10_secret_scan)}
+    op1_url_filter, op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op10_secret_scan)}
 
 ORACLE: dict[str, str] = {}
 
@@ -101,3 +113,34 @@ scored as (
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+ORACLE["op1_url_filter"] = r"""
+with parts as (
+  select page_id, url,
+         translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path,
+         list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^?#]*[?]([^#]*)', 1), '&'),
+           lambda p : p <> '' and not regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) as params
+  from pages),
+named as (
+  select *, case when regexp_replace(regexp_replace(host, '^www[.]', ''), ':(80|443)$', '') <> '' then
+      regexp_replace(regexp_replace(host, '^www[.]', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+      || case when len(params) > 0 then '?' || array_to_string(params, '&') else '' end end as canonical
+  from parts),
+listed as (
+  select distinct canonical from named
+  where regexp_matches(host, '(^|[.-])(adult|ads|spam|casino|pills|bets)([.-]|$)') and canonical is not null),
+rules(verdict, rule) as (values ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'),
+                                ('allow', 'com/fr/'), ('block', 'com/de/')),
+best as (
+  select page_id, url, arg_max(rule, length(rule)) as rule, arg_max(r.verdict, length(rule)) as verdict
+  from (select distinct page_id, url, host, path from named) n
+  join rules r on (host = split_part(rule, '/', 1) or host like '%.' || split_part(rule, '/', 1))
+   and starts_with(path, substr(rule, strpos(rule, '/')))
+  group by page_id, url)
+select n.page_id, host, path, b.rule as rule,
+       coalesce(b.verdict, case when l.canonical is not null then 'block' else 'allow' end) as verdict,
+       l.canonical is not null as listed
+from named n left join best b on n.page_id = b.page_id and n.url is not distinct from b.url
+left join listed l on n.canonical = l.canonical
+"""
