@@ -31,7 +31,7 @@ class WordIds:
     """
 
     MARK = "0"  # a word of one token; words that hold it are encoded alone
-    REMEMBERED = 200_000
+    REMEMBERED = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -60,26 +60,36 @@ class WordIds:
             out[word] = np.array(whole.ids, "<u4").tobytes()
         return [out[w] for w in words]
 
-    def of(self, words: list[str]) -> list[bytes]:
-        found = [self.new.get(w) or self.old.get(w) for w in words]
-        missing = [i for i, ids in enumerate(found) if ids is None]
+    def of(self, words: list[str], counts: list[int]) -> list[bytes]:
+        """Ids of distinct words; those that recur (here or since lately) are remembered."""
+        found, missing = [self.new.get(w) for w in words], []
+        for i, ids in enumerate(found):
+            if ids is None:
+                ids = found[i] = self.old.get(words[i])
+                if ids is None:
+                    missing.append(i)
+                else:
+                    self.new[words[i]] = ids
         for i, ids in zip(missing, self._encode([words[i] for i in missing])):
             found[i] = ids
-        if len(self.new) + len(words) > self.REMEMBERED:
+            if counts[i] > 1:
+                self.new[words[i]] = ids
+        if len(self.new) > self.REMEMBERED:
             self.old, self.new = self.new, {}
-        self.new.update(zip(words[:self.REMEMBERED], found))
         return found
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, ``end_id`` after each, in one array, and how many each has."""
-        split = pc.ascii_split_whitespace(texts)
+        # A stop or comma after a letter is always a word of its own.
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", r"\1 \2"))
         coded = split.flatten().dictionary_encode()
-        spelled = self.of(coded.dictionary.to_pylist())
+        code = coded.indices.to_numpy()
+        spelled = self.of(coded.dictionary.to_pylist(), np.bincount(code).tolist())
         # One more word, of the end id alone, closes each text.
         flat = np.frombuffer(b"".join(spelled) + np.array([end_id], "<u4").tobytes(), "<u4")
         lengths = np.array([*map(len, spelled), 4], np.int64) // 4
         words = np.diff(split.offsets.to_numpy()).astype(np.int64)
-        code = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(words), len(spelled))
+        code = np.insert(code.astype(np.int64), np.cumsum(words), len(spelled))
         words = words + 1
         each = lengths[code]
         ids = gather(flat, starts_of(lengths)[code], each)
@@ -101,26 +111,27 @@ class Index:
     """A shard's inverted index: per term its documents and their BM25 weights."""
 
     def __init__(self, ids: np.ndarray, counts: np.ndarray, query_terms: int):
-        n = len(counts)
-        key = np.sort(np.repeat(np.arange(n, dtype=np.int64), counts) << 32 | ids.astype(np.int64))
+        n, size = len(counts), int(ids.max()) + 1 if len(ids) else 1
+        key = np.sort(np.repeat(np.arange(n, dtype=np.int64) * size, counts) + ids)
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         tf = np.diff(np.append(edge, len(key)))
-        doc, term = key[edge] >> 32, key[edge] & 0xFFFFFFFF
-        terms, term = np.unique(term, return_inverse=True)
-        df = np.bincount(term, minlength=len(terms))
+        doc, term = np.divmod(key[edge], size)
+        df = np.bincount(term, minlength=size)
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * counts / max(counts.mean(), 1)) if n else counts
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term.astype(np.uint16) if size <= 1 << 16 else term, kind="stable")
         self.docs, self.weights = doc[order], weight[order].astype(np.float32)
         self.starts = np.concatenate([[0], np.cumsum(df)])
         # The query of a document: its own terms of highest weight that another document has.
-        rare = np.where(df[term] > 1, weight, 0)
-        order = np.lexsort((term, -rare, doc))
-        place = np.arange(len(doc)) - np.searchsorted(doc[order], doc[order])
-        keep = (place < query_terms) & (rare[order] > 0)
+        shared = np.flatnonzero(df[term] > 1)
+        doc, term, weight = doc[shared], term[shared], weight[shared].astype(np.float32)
+        falling = (0xFFFFFFFF - weight.view(np.uint32)).astype(np.int64)
+        order = np.argsort(doc << 32 | falling, kind="stable")
+        place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+        keep = place < query_terms
         self.query_terms = term[order][keep]
-        self.query_starts = np.searchsorted(doc[order][keep], np.arange(n + 1))
+        self.query_starts = np.searchsorted(doc[keep], np.arange(n + 1))
         self.scores = np.zeros(n, np.float32)
 
     def score(self, doc: int) -> np.ndarray:
