@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat_format, packing, secret_scan, topk, toxicity, url_filter, winnowing
+from loglake.llm import bpe, chat_format, html_extract, packing, secret_scan, topk, toxicity, url_filter, winnowing
 from loglake.llm.common import table
 
 #: The score from which a text counts as toxic.
@@ -68,6 +68,11 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -79,7 +84,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op10_secret_scan)}
+    op1_url_filter, op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op9_html_extract,
+    op10_secret_scan)}
 
 ORACLE: dict[str, str] = {}
 
