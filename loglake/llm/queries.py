@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat_format, html_extract, packing, secret_scan, topk, toxicity, url_filter, winnowing
+from loglake.llm import bpe, chat_format, html_extract, ngram_join, packing, secret_scan, topk, toxicity, url_filter, winnowing
 from loglake.llm.common import table
 
 #: The score from which a text counts as toxic.
@@ -30,6 +30,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -84,7 +89,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_packing, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op9_html_extract,
+    op1_url_filter, op2_packing, op3_ngram_join, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op9_html_extract,
     op10_secret_scan)}
 
 ORACLE: dict[str, str] = {}

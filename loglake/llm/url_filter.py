@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.llm.bloom import with_possible
 from loglake.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that only tell where a visitor came from.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
-WORDS = 8
 
 
 def url_host(url: Column) -> Column:
@@ -41,39 +41,14 @@ def canonical_url(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")))
 
 
-def _hashes(key: Column, blocks: int) -> tuple[Column, list[Column]]:
-    """A key's block, and the bit it sets in each word."""
-    spot, bits = F.xxhash64(key), F.xxhash64(key, F.lit(1))
-    one = F.lit(1).cast("long")
-    return F.pmod(spot, F.lit(blocks)), [
-        F.call_function("shiftleft", one, F.shiftright(bits, 6 * i).bitwiseAND(63).cast("int")) for i in range(WORDS)]
-
-
-def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
-    """``block, w0 .. w7`` of the ``canonical`` URLs; blocks without any are left out."""
-    block, bits = _hashes(F.col("canonical"), blocks)
-    return listed.select(block.alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(bits)]).groupBy("block").agg(
-        *[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-
-
 def listed_urls(urls: DataFrame, listed: DataFrame, max_blocks: int = 1 << 17) -> DataFrame:
     """``urls`` (with ``canonical``) and ``listed`` boolean: whether the list has it.
 
-    The filter has about twelve bits for each listed URL and ``max_blocks`` blocks (of 64 bytes) at
-    most; a longer list makes more possible hits, never a wrong answer. A null ``canonical`` is not
-    listed. A listed URL that makes up a large part of ``urls`` is split by AQE's skew join.
+    A null ``canonical`` is not listed. A listed URL that makes up a large part of ``urls`` is split
+    by AQE's skew join.
     """
     listed = stored(listed.select("canonical").filter(F.col("canonical").isNotNull()).distinct(), "listed")
-    blocks = min(max_blocks, max(1, listed.count() * 12 // 512 + 1))
-    # max_blocks rows at most, so it fits every task.
-    filter_ = F.broadcast(bloom_filter(listed, blocks))
-    block, bits = _hashes(F.col("canonical"), blocks)
-    tested = urls.withColumn("block", F.when(F.col("canonical").isNotNull(), block)).join(filter_, "block", "left")
-    passes = F.lit(True)
-    for i, bit in enumerate(bits):
-        passes = passes & (F.col(f"w{i}").bitwiseAND(bit) != 0)
-    tested = tested.withColumn("possible", F.coalesce(F.col("canonical").isNotNull() & passes, F.lit(False))).select(
-        *urls.columns, "possible")
+    tested = with_possible(urls, listed, "canonical", max_blocks)
     exact = tested.filter("possible").join(listed.withColumn("listed", F.lit(True)).hint("shuffle_hash"), "canonical", "left")
     return (
         exact.select(*urls.columns, F.coalesce("listed", F.lit(False)).alias("listed"))
