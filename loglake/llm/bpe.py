@@ -199,7 +199,7 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for part in slices(batches, "text", 12 << 20):
+        for part in slices(batches, "text", 5 << 20):
             ids, counts = words.encode(texts_of(part.column("text")))
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
