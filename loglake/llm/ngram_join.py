@@ -39,7 +39,7 @@ def class_ids(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def describe(documents: DataFrame, words: int) -> DataFrame:
-    """Two kinds of rows: each document's ``doc_id, n, cls``, and each task's share of the sketch, ``part, counts``.
+    """Two kinds of rows: each document's ``doc_id, text_hash, n, cls``, and each task's share of the sketch, ``part, counts``.
 
     The sketch counts the shingles of all documents in a fixed number of counters.
     """
@@ -51,17 +51,18 @@ def describe(documents: DataFrame, words: int) -> DataFrame:
             values, counts = shingle_sets(texts_of(piece.column("text")), words)
             sketch += np.bincount((values >> SHIFT).astype(np.int64), minlength=COUNTERS)
             n, ids = len(counts), piece.column("doc_id")
-            schema = pa.schema([("doc_id", ids.type), ("n", pa.int32()), ("cls", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+            schema = pa.schema([("doc_id", ids.type), ("text_hash", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(counts, pa.int32()), pa.array(class_ids(values, counts)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+                [ids, piece.column("text_hash"), pa.array(counts, pa.int32()), pa.array(class_ids(values, counts)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
         if schema is not None:
             rows = sketch.astype("<u4").reshape(PARTS, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PARTS, schema.field("doc_id").type), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()),
+                [pa.nulls(PARTS, schema.field("doc_id").type), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()),
                  pa.array(np.arange(PARTS), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], schema=schema)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInArrow(run, f"doc_id {kind}, n int, cls bigint, part int, counts binary")
+    return documents.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        run, f"doc_id {kind}, text_hash bigint, n int, cls bigint, part int, counts binary")
 
 
 def rarity(described: DataFrame) -> np.ndarray:
@@ -164,7 +165,7 @@ class Join:
         self.documents = documents.select("doc_id", text_or_empty().alias("text"))
         self.words, self.num, self.den = words, num, den
         described = stored(describe(self.documents, words), "described")
-        self.rows = described.filter(F.col("part").isNull()).select("doc_id", "n", "cls")
+        self.rows = described.filter(F.col("part").isNull()).select("doc_id", "text_hash", "n", "cls")
         self.classes = stored(prefixes(self.documents, words, num, den, rarity(described)), "classes")
         each = self.classes.select("cls", "n", F.posexplode("grams").alias("at", "gram")).select(
             "gram", "cls", "n", (F.col("at") + 1).alias("pos"),
@@ -211,24 +212,39 @@ class Join:
 
 
 def ngram_components(documents: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, class_id, component_id``.
+    """One row per document: ``doc_id, text_hash, n_shingles, class_id, group_id, component_id``.
 
     Words are what ``[^\\x20\\x09-\\x0D]+`` finds, A-Z lower-cased. A document with fewer words than a
     shingle has the whole sequence as its one shingle. Two documents are linked if
-    ``den * common >= num * either``; ``component_id`` is the smallest ``doc_id`` that links reach.
+    ``den * common >= num * either``; ``component_id`` is the smallest ``doc_id`` that links reach, and
+    ``group_id`` names the same group by one of its classes. ``text_hash`` tells rows of equal id apart.
 
-    A null or empty text, or one of white space, has no shingles, a null ``class_id``, links with nothing
-    and is its own component. Repeated rows each give a row. A null ``doc_id`` takes part but never
-    names a component; one without any id is named null. Other columns are ignored; an empty table
-    gives no rows.
+    A null or empty text, or one of white space, has no shingles, null ``class_id`` and ``group_id``,
+    links with nothing and is its own component. Repeated rows each give a row. A null ``doc_id``
+    takes part but never names a component; one without any id is named null. Other columns are
+    ignored; an empty table gives no rows.
     """
     join = Join(documents, words, num, den)
     joined = join.joined_classes().withColumnsRenamed({"node": "cls"})
-    least = join.rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least")).join(joined, "cls", "left").withColumn(
-        "root", F.coalesce("root", "cls"))
-    named = least.select("cls", "root").join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("cls", "component_id")
-    some = join.rows.filter("n > 0").join(stored(named, "named"), "cls").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("cls").alias("class_id"), "component_id")
+    least = stored(join.rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least")).join(joined, "cls", "left").withColumn(
+        "root", F.coalesce("root", "cls")), "least")
+    named = stored(least.select("cls", "root").join(
+        least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("cls", "root", "component_id"), "named")
+    shown = ("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"))
+    some = join.rows.filter("n > 0").join(named, "cls").select(
+        *shown, F.col("cls").alias("class_id"), F.col("root").alias("group_id"), "component_id")
+    nothing = F.lit(None).cast("long")
     none = join.rows.filter("n = 0").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("class_id"), F.col("doc_id").alias("component_id"))
+        *shown, nothing.alias("class_id"), nothing.alias("group_id"), F.col("doc_id").alias("component_id"))
     return some.unionByName(none)
+
+
+def superfluous(components: DataFrame) -> DataFrame:
+    """``doc_id, text_hash`` of the rows to leave out so that one document of each group stays.
+
+    The smallest id stays (null last), of equal ids the smallest hash. Documents without shingles stay.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    grouped = components.filter(F.col("group_id").isNotNull()).select("group_id", order.alias("row"))
+    first = grouped.groupBy("group_id").agg(F.min("row").alias("first"))
+    return grouped.join(first, "group_id").filter(F.col("row") != F.col("first")).select("row.doc_id", "row.text_hash").distinct()

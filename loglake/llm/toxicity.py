@@ -153,17 +153,18 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 2000, longes
                sample.column("value").combine_chunks().flatten().to_numpy().astype(np.float64), toxic, weight)
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score`` of each whole text, 0 to 1.
+def score(documents: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``also`` names, and ``score`` of each whole text, 0 to 1.
 
     A null text counts as empty; an empty text has the score of no evidence. Repeated rows stay;
     other columns are ignored; an empty table gives no rows.
     """
+    kept = ["doc_id", *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "scored_text", 1 << 20):
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(model.scores(part.column("text").to_pylist()))], ["doc_id", "score"])
+                [*(part.column(c) for c in kept), pa.array(model.scores(part.column("scored_text").to_pylist()))], [*kept, "score"])
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in kept)
+    return documents.select(*kept, text_or_empty().alias("scored_text")).mapInArrow(run, f"{kinds}, score double")
