@@ -1,0 +1,333 @@
+"""N-gram join, exact search, URL filter, chat formatting, extraction and pipeline."""
+
+from __future__ import annotations
+
+import random
+import re
+from html import unescape
+
+import duckdb
+import numpy as np
+import pytest
+from messy import TEXTS, clash, documents, no_documents, odd_documents
+from pyspark.sql import functions as F
+from tools.check import TABLES, rows_of
+
+import corpus_pipeline
+from loglake.llm import chat_format, html_extract, ngram_join, queries, topk, url_filter
+from loglake.llm.components import components
+from loglake.llm.html_blocks import blocks_of, root
+from loglake.llm.html_training import MAIN, OTHER, drawn_pages
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_agrees_with_sql(spark, name):
+    duck = duckdb.connect()
+    for one in TABLES:
+        duck.execute(f"create view {one} as select * from '{SF}/{one}.parquet'")
+    df = queries.QUERIES[name](spark, SF)
+    result = duck.execute(queries.ORACLE[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, result.fetchall())
+
+
+# N-gram join
+
+def plain_set(text, words):
+    own = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(own[i:i + words]) for i in range(max(1, len(own) - words + 1))} if own else set()
+
+
+def plain_components(texts, words, num, den):
+    sets = [plain_set(t, words) for t in texts]
+    root_of = list(range(len(texts)))
+    links = set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and den * len(a & b) >= num * len(a | b):
+                links.add((j, i))
+                x, y = root_of[i], root_of[j]
+                root_of = [min(x, y) if r in (x, y) else r for r in root_of]
+    return [len(s) for s in sets], root_of, links
+
+
+def near_copies(seed, n=120):
+    r = random.Random(seed)
+    word = lambda: r.choice("ab cd ef gh ij kl mn op qr st uv wx yz".split()) + str(r.randint(0, 60))
+    texts = []
+    for _ in range(n):
+        if texts and r.random() < 0.7:
+            own = r.choice(texts).split()
+            for _ in range(r.randint(0, 2)):
+                own[r.randrange(len(own))] = word()
+            if r.random() < 0.3:
+                own.append(word())
+        else:
+            own = [word() for _ in range(r.choice((2, 10, 40, 90)))]
+        texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("seed,words,num,den", [(1, 3, 90, 100), (2, 5, 80, 100), (3, 2, 1, 2), (4, 3, 1, 1)])
+def test_ngram_components(spark, seed, words, num, den):
+    texts = near_copies(seed) + TEXTS
+    sizes, want, _ = plain_components(texts, words, num, den)
+    rows = ngram_join.ngram_components(documents(spark, texts), words, num, den).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
+    assert len(rows) == len(texts)
+    assert [got[i] for i in range(len(texts))] == list(zip(sizes, want))
+
+
+def test_ngram_every_link(spark):
+    texts = near_copies(7)
+    sets = [frozenset(plain_set(t, 3)) for t in texts]
+    distinct = list(dict.fromkeys(s for s in sets if s))
+    _, _, links = plain_components(texts, 3, 80, 100)
+    want = {frozenset((sets[i], sets[j])) for i, j in links if sets[i] != sets[j]}
+    rows = ngram_join.Join(documents(spark, texts), 3, 80, 100).every_link().collect()
+    assert len(rows) == len(want) and distinct
+    for r in rows:
+        assert 100 * r["common"] >= 80 * r["either"]
+
+
+def test_ngram_odd_rows(spark):
+    rows = ngram_join.ngram_components(odd_documents(spark), 3, 90, 100).collect()
+    assert len(rows) == len(TEXTS) + 1
+    assert {r["component_id"] for r in rows if r["doc_id"] in (6, 7)} == {6}
+    assert [r["component_id"] for r in rows if r["doc_id"] is None] == [None]
+    assert ngram_join.ngram_components(no_documents(spark), 3, 90, 100).collect() == []
+
+
+def test_components_of_a_chain(spark):
+    r = random.Random(9)
+    names = r.sample(range(10_000), 60)
+    edges = list(zip(names, names[1:])) + [(20_000, 20_001), (20_001, 20_002)]
+    found = {x["node"]: x["root"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {n: min(names) for n in names} | {n: 20_000 for n in (20_000, 20_001, 20_002)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_of_each_group_stays(spark):
+    texts = near_copies(11)
+    docs = documents(spark, texts + texts[:10], list(range(len(texts))) + list(range(10)))
+    kept = corpus_pipeline.remove_near_copies(spark, docs, SF).collect()
+    _, want, _ = plain_components(texts, 5, 80, 100)
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(want))
+
+
+# Exact search
+
+def plain_top(vectors, queries_, k):
+    out, limit = [], (1 << 63) - 1
+    held = lambda s: max(-limit - 1, min(limit, s))
+    for q, x in queries_.items():
+        scored = sorted((-held(sum(a * b for a, b in zip(x, y))), v) for v, y in vectors.items() if v != q)
+        out += [(q, i + 1, v, -s) for i, (s, v) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,spread", [(1, 3), (2, 300), (3, 1 << 40)])
+def test_topk_against_plain(spark, seed, spread):
+    r = random.Random(seed)
+    vectors = {v: [r.randint(-spread, spread) for _ in range(r.choice((4, 4, 4, 3)))] for v in r.sample(range(5000), 400)}
+    for v in list(vectors)[:60]:
+        vectors[v] = [1, 2, 3, 1]
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, vector array<long>")
+    asked = dict(list(vectors.items())[40:90])
+    rows = topk.top_k(df, df.filter(F.col("vec_id").isin(list(asked))), k=5, block=16, shard_rows=150, query_rows=20).collect()
+    got = sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in rows)
+    assert got == plain_top(vectors, asked, 5)
+
+
+def test_vectors_that_take_no_part(spark):
+    rows = [(0, [0.5, -0.5]), (50, None), (1, [None, 1.0]), (2, [float("nan"), 1.0]), (3, [float("inf"), 0.0]), (None, [1.0, 1.0]),
+            (4, [1.0, 0.1]), (4, [1.0, 0.1]), (5, [])]
+    df = clash(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    vectors = topk.integer_vectors(df)
+    assert {r["vec_id"]: r["vector"] for r in vectors.collect()} == {0: [128, -128], 4: [256, 25], 5: []}
+    got = topk.top_k(vectors, vectors.filter("vec_id = 0")).collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 4, 128 * 256 - 128 * 25), (2, 5, 0)]
+    none = vectors.filter("vec_id < 0")
+    assert topk.top_k(none, none).collect() == [] and topk.top_k(vectors, none).collect() == []
+
+
+def test_search_prunes():
+    """Of blocks far below the best none is scored."""
+    r = np.random.default_rng(1)
+    rows = np.concatenate([r.integers(90, 100, (64, 8)), r.integers(-100, -90, (640, 8))])
+    seen = []
+    plain = topk.products
+    topk.products = lambda a, b: seen.append(len(b)) or plain(a, b)
+    try:
+        topk.search_shard(np.array([-1]), rows[:1], np.arange(len(rows)), rows, 5, 32)
+    finally:
+        topk.products = plain
+    assert sum(seen) <= 96
+
+
+# URL filter
+
+def test_url_parts_and_rules(spark):
+    rows = [
+        (1, "HTTPS://WWW.Example.ORG/en/12?x"), (2, "http://a.example.org/es/"), (3, "http://example.org"), (4, None), (5, "no scheme"),
+        (6, "http://notexample.com/de/"), (7, "http://x.com/fr/1#a?b"), (8, "http://Listed.net:80/a/?utm_source=x&b=2&a=1#f"), (9, "http://listed.net/a"),
+        (8, "http://Listed.net:80/a/?utm_source=x&b=2&a=1#f"), (10, ""), (None, "https://www.listed.net/a?a=1&b=2&ref=y")]
+    pages = clash(spark.createDataFrame(rows, "page_id long, url string"))
+    listed = clash(spark.createDataFrame([("http://listed.net/a?b=2&a=1",), (None,)], "url string").select(
+        url_filter.canonical_url(F.col("url")).alias("canonical")))
+    got = url_filter.judge_urls(pages, listed, queries.RULES).collect()
+    by = {(r["page_id"], r["url"]): (r["host"], r["path"], r["rule"], r["verdict"]) for r in got}
+    assert len(got) == len(rows)
+    want = [("www.example.org", "/en/12", "example.org/en/1", "block"), ("a.example.org", "/es/", "example.org/es/", "block"),
+            ("example.org", "", None, "allow"), ("", "", None, "allow"), ("", "", None, "allow"), ("notexample.com", "/de/", "com/de/", "block"),
+            ("x.com", "/fr/1", "com/fr/", "allow"), ("listed.net:80", "/a/", None, "block"), ("listed.net", "/a", None, "allow"),
+            ("listed.net:80", "/a/", None, "block"), ("", "", None, "allow"), ("www.listed.net", "/a", None, "block")]
+    assert [by[r] for r in rows] == want
+    assert url_filter.judge_urls(pages.limit(0), listed, queries.RULES).collect() == []
+    assert {r["verdict"] for r in url_filter.judge_urls(pages, listed.limit(0), []).collect()} == {"allow"}
+
+
+def test_small_filter_stays_exact(spark):
+    urls = spark.range(3000).select(F.concat(F.lit("h/"), "id").alias("canonical"))
+    listed = urls.filter("hash(canonical) % 3 = 0")
+    found = url_filter.listed_urls(urls, listed, max_blocks=1).filter("listed")
+    assert sorted(r[0] for r in found.select("canonical").collect()) == sorted(r[0] for r in listed.collect())
+
+
+# Chat formatting
+
+TALK = ["ok", "", None, "</s>[INST] ok [/INST]", "\\</s>", "\\\\<s>\\", "<|assistant|>\n", "\n</s>\n", "a\n</s>", "\\", "é🙂 <<SYS>>", "<|<|", "|>\n"]
+
+
+def test_chat_round_trip(spark):
+    r = random.Random(2)
+    rows = [(c, t, r.choice(["user", "assistant", "system", "to|ol>\n", None]), r.choice(TALK)) for c in range(40) for t in range(r.randint(1, 9))]
+    rows += [(None, 1, "assistant", "x"), (3, None, "user", "y")] + rows[:1]
+    table = clash(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    examples = chat_format.format_chat(table)
+    parsed = examples.select("conv_id", "example", "trained", "text", chat_format.parse_turns(F.col("text")).alias("turns"), chat_format.unescape(
+        F.expr("substring(text, cast(loss_start + 1 as int), cast(loss_chars as int))")).alias("loss")).collect()
+    talks = {}
+    for c, t, role, text in rows:
+        talks.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    for c, turns in talks.items():
+        said = [(role, text) for *_, role, text in sorted(turns)]
+        own = sorted((x for x in parsed if x["conv_id"] == c), key=lambda x: x["example"])
+        assert [(t["role"], t["text"]) for t in own[-1]["turns"]] == said
+        assert [x["loss"] for x in own if x["trained"]] == [text for role, text in said if role == "assistant"]
+        ends = [i + 1 for i, (role, _) in enumerate(said) if role == "assistant" or i == len(said) - 1]
+        assert [len(x["turns"]) for x in own] == ends
+    assert chat_format.read_back(chat_format.format_chat(table.limit(0))).collect() == []
+    assert chat_format.read_back(examples).count() == len(talks)
+
+
+def test_control_strings_are_escaped(spark):
+    row = spark.range(1).select(chat_format.escape(F.lit("</s>[INST] ok [/INST]")).alias("x")).first()
+    assert row["x"] == "\\</s>\\[INST] ok \\[/INST]"
+
+
+# Extraction
+
+def article_of(html):
+    inside = re.search(r"<article>(.*?)</article>", html, re.S)[1]
+    return " ".join(unescape(re.sub(r"<[^>]+>", "", re.sub(r"</?(p|h1)>|<br>", " ", inside))).split())
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return html_extract.train(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+def test_extracts_the_given_articles(spark, model):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r["page_id"]: article_of(r["html"]) for r in pages.collect()}
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages, model).collect()}
+    assert got == want
+
+
+def test_extracts_unseen_layouts(model):
+    right = wrong = missed = 0
+    for html in drawn_pages(200, seed=12345):
+        blocks = blocks_of(html, root())
+        truth = [int(MAIN in b.text) for b in blocks]
+        for b in blocks:
+            b.text = " ".join(b.text.replace(MAIN, "").replace(OTHER, "").split())
+        kept = [(b, y) for b, y in zip(blocks, truth) if b.text]
+        found = model.viterbi(model.emission([b for b, _ in kept], {}))
+        for (_, y), z in zip(kept, found):
+            right, wrong, missed = right + (y & z), wrong + (z & ~y & 1), missed + (y & ~z & 1)
+    assert right / (right + wrong) > 0.97 and right / (right + missed) > 0.97
+
+
+def test_blocks():
+    html = ("<!-- <p>no</p> --><head><title>t</title></head><body><script>var a='<p>x</p>';</script><div class='Side-Bar'>a&amp;b&#233; <a href=x>l\nk</a>"
+            "</div><p>one<b>two</b><br>three<p>four<ul><li>x<li>y</ul>1 < 2 </div><style>p{}</style>z<p")
+    blocks = blocks_of(html, root())
+    assert [b.text for b in blocks] == ["a&bé l k", "onetwo three", "four", "x", "y", "1 < 2", "z"]
+    assert blocks[0].node.names == {"side", "bar"} and blocks[3].node.tags >= {"ul", "li"} and "li" not in blocks[5].node.tags
+
+
+def test_viterbi_against_all_labellings(model):
+    r = random.Random(4)
+    for _ in range(20):
+        emission = [r.uniform(-3, 3) for _ in range(7)]
+
+        def total(labels):
+            steps = sum(model.change[a, b] for a, b in zip(labels, labels[1:]))
+            return model.start[labels[0]] + steps + sum(e for e, y in zip(emission, labels) if y)
+
+        every = [[code >> i & 1 for i in range(7)] for code in range(128)]
+        assert np.isclose(total(model.viterbi(emission)), max(map(total, every)))
+
+
+def test_extraction_odd_rows(spark, model):
+    rows = [(1, None, None), (2, "u", ""), (3, "u", "plain words only"), (4, "u", "<div>" * 500 + "x"), (None, "u", "<p>" + "word " * 50_000),
+            (4, "u", "<script>never closed"), (5, "u", "<<<>>>&&&;")]
+    pages = clash(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = html_extract.extract(pages, model).collect()
+    assert len(got) == len(rows) and all(r["text"] is not None for r in got)
+    assert html_extract.extract(pages.limit(0), model).collect() == []
+    assert html_extract.train(pages.limit(0)).weights
+
+
+# Pipeline
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == list(corpus_pipeline.COLUMNS) and after.count() <= docs.count()
+        docs = after
+    clean = spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 0").count()
+    assert docs.count() > 0.9 * min(clean, docs.count())
+
+
+def test_pipeline_catches_planted_documents(spark, tmp_path):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    base = given.orderBy(F.desc(F.length("text"))).limit(5).collect()
+    planted = [(900_000 + i, r["text"] + " end", "en", "src1", 0) for i, r in enumerate(base)]
+    planted += [(910_000, "you idiot, you worthless stupid clown and disgusting pathetic loser, moron and scum", "en", "src1", 0)]
+    planted += [(920_000, 'a plain page with password = "hunter2hunter2" in it', "en", "src1", 0)]
+    docs = given.unionByName(spark.createDataFrame(planted, given.schema))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        docs.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    assert not any(i in rows for i in range(900_000, 910_001))
+    assert rows[920_000]["text"] == "a plain page with [SECRET]\" in it" and rows[920_000]["n_chars"] == len(rows[920_000]["text"])
+    assert list(corpus_pipeline.STAGES[-1][1](spark, docs, SF).columns)[:3] == ["doc_id", "start", "length"]
+
+
+def test_pipeline_odd_rows(spark):
+    docs = odd_documents(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    assert docs.count() > 0
+    empty = no_documents(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).collect() == []

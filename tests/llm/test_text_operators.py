@@ -1,0 +1,293 @@
+"""Packing, toxicity, fingerprints, BPE and secret scans against plain versions of the same."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from messy import LONG, TEXTS, documents, no_documents, odd_documents
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from loglake.llm import bpe, packing, queries, secret_scan, toxicity, winnowing
+
+SF = "/root/testdata/sf0.001"
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+
+
+def encoded(path, texts):
+    return [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+# Packing
+
+def check_pieces(rows, docs, window=4096):
+    """``docs``: id -> list of ids; each token in one piece, sequences gapless."""
+    whole, sequences = {}, {}
+    for r in sorted(rows, key=lambda r: r["start"]):
+        ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+        assert len(ids) == r["length"] > 0 and r["doc_tokens"] == len(docs[r["doc_id"]])
+        assert r["start"] == len(whole.setdefault(r["doc_id"], []))
+        whole[r["doc_id"]] += ids
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert whole == docs
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= window
+    return [sum(n for _, n in p) for p in sequences.values()]
+
+
+def test_packing_given_documents(spark):
+    docs = table(spark, "documents")
+    rows = packing.pack(docs, WORD, shard_bytes=100_000).collect()
+    known = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    ids = {i: own + [2] for (i, _), own in zip(known, encoded(WORD, [t for _, t in known]))}
+    sizes = check_pieces(rows, ids)
+    assert sum(1 for n in sizes if n < 4096) <= len({r["sequence_id"] >> 32 for r in rows})
+    crc = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in queries.op2_packing(spark, SF).collect()}
+    first = next(iter(crc))
+    assert crc[first] >= 0
+
+
+def test_packing_odd_rows(spark):
+    texts = TEXTS
+    rows = packing.pack(documents(spark), WORD, window=64).collect()
+    check_pieces(rows, {i: own + [2] for i, own in enumerate(encoded(WORD, texts))}, 64)
+    pieces = packing.pack(odd_documents(spark), WORD).collect()
+    assert sum(r["length"] for r in pieces) == sum(len(x) + 1 for x in encoded(WORD, TEXTS + TEXTS[6:7]))
+    assert packing.pack(no_documents(spark), WORD).collect() == []
+
+
+def test_packing_retrieves_neighbours():
+    ids = np.array([5, 6, 7] * 10 + [50, 51, 52] * 10 + [5, 6, 7] * 10 + [60, 61] * 15)
+    counts = np.array([30, 30, 30, 30])
+    pieces = packing.fill_windows(packing.Index(ids, counts, 24), counts, 60)
+    assert [p[0] for p in pieces if p[3] == 0] == [0, 2]
+
+
+def test_bm25_scores():
+    ids, counts = np.array([1, 1, 2, 2, 3, 1, 4]), np.array([3, 2, 2])
+    index = packing.Index(ids, counts, 24)
+    n, mean = 3, 7 / 3
+
+    def part(term, doc):
+        own = np.split(ids, np.cumsum(counts)[:-1])
+        df = sum(term in o for o in own)
+        tf = (own[doc] == term).sum()
+        return np.log1p((n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * counts[doc] / mean))
+
+    assert np.allclose(index.score(0), [part(1, 0) + part(2, 0), part(2, 1), part(1, 2)])
+
+
+# Toxicity
+
+def test_toxicity_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op5_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in rows)
+    truth, found = (np.array([r[c] for r in rows]) for c in ("toxic", "predicted"))
+    hit = (truth & found).sum()
+    assert hit / found.sum() > 0.9 and hit / truth.sum() > 0.8
+    score = np.array([r["score"] for r in rows])
+    better = (score[truth == 1][:, None] > score[truth == 0][None, :]).mean()
+    assert better > 0.95
+
+
+def test_toxicity_learns_nothing_from_held_out_labels(spark):
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, turned)
+    assert a.bias == b.bias and (a.weights == b.weights).all()
+
+
+def test_toxicity_odd_rows(spark):
+    model = toxicity.train(table(spark, "documents"), table(spark, "labels"))
+    rows = toxicity.score(odd_documents(spark), model).collect()
+    assert len(rows) == len(TEXTS) + 1 and all(0 <= r["score"] <= 1 for r in rows)
+    by = {r["doc_id"]: r["score"] for r in rows}
+    assert by[0] == by[1]
+    assert toxicity.score(no_documents(spark), model).collect() == []
+    nothing = toxicity.train(no_documents(spark), table(spark, "labels"))
+    assert len(nothing.buckets) == 0
+    assert toxicity.score(documents(spark), nothing).count() == len(TEXTS)
+
+
+# Fingerprints
+
+def plain_winnow(text, k, window):
+    flat, _ = winnowing.code_points([text])
+    if not text:
+        return []
+    grams = max(1, len(text) - k + 1)
+    hashes = [int(winnowing.gram_hashes(flat, np.array([i]), min(len(text), k))[0]) for i in range(grams)]
+    out = []
+    for i in range(max(1, grams - window + 1)):
+        part = hashes[i:i + window]
+        at = i + max(j for j, h in enumerate(part) if h == min(part))
+        if not out or out[-1] != (hashes[at], at):
+            out.append((hashes[at], at))
+    return out
+
+
+def test_winnowing_against_plain():
+    r = random.Random(3)
+    texts = ["".join(r.choice("ab é🙂") for _ in range(n)) for n in (0, 1, 3, 4, 5, 9, 10, 11, 40, 200)] + ["a" * 50]
+    hashes, positions, counts = winnowing.winnow(texts, 4, 6)
+    ends = np.cumsum(counts)
+    got = [list(zip(hashes[e - n:e].tolist(), positions[e - n:e].tolist())) for e, n in zip(ends, counts)]
+    assert got == [plain_winnow(t, 4, 6) for t in texts]
+
+
+def test_shared_passage_is_found():
+    r = random.Random(4)
+    draw = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = draw(winnowing.K + winnowing.WINDOW - 1)
+    hashes, _, counts = winnowing.winnow([draw(300) + passage + draw(200), draw(77) + passage])
+    assert set(hashes[:counts[0]].tolist()) & set(hashes[counts[0]:].tolist())
+
+
+@pytest.mark.parametrize("size", [1, 40, 300, 1 << 20])
+def test_edits_follow_ids(spark, size, monkeypatch):
+    r = random.Random(5)
+    texts = ["".join(r.choice("abc é") for _ in range(r.randint(0, 60))) for _ in range(40)]
+    ids = r.sample(range(-1000, 1000), 38) + [None, None]
+    plan = winnowing.with_next
+    monkeypatch.setattr(winnowing, "with_next", lambda docs: plan(docs, size))
+    rows = winnowing.compare_edited(documents(spark, texts, ids)).collect()
+    order = sorted(zip(ids, texts), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    want = []
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        want.append((i, len(t), hashlib.sha256((t[:len(t) - half] + after[:half]).encode()).hexdigest()))
+    key = lambda x: (x[0] is not None, x[0] or 0, x[2])
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in rows), key=key) == sorted(want, key=key)
+
+
+def test_winnowing_odd_rows(spark):
+    rows = winnowing.compare_edited(odd_documents(spark)).collect()
+    assert len(rows) == len(TEXTS) + 1
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+    assert {bytes(r["hashes"]) for r in rows if r["doc_id"] in (6, 7)} == {bytes(next(r["hashes"] for r in rows if r["doc_id"] == 6))}
+    assert winnowing.compare_edited(no_documents(spark)).collect() == []
+    alone = winnowing.compare_edited(documents(spark, ["abcdefgh"], [9])).collect()[0]
+    assert alone["edited_sha256"] == hashlib.sha256(b"abcdabcd").hexdigest()
+    marks = winnowing.fingerprints(odd_documents(spark)).collect()
+    assert all(len(r["hashes"]) == len(r["positions"]) for r in marks) and len(marks) == len(rows)
+
+
+def test_likeness_against_sets():
+    r = random.Random(6)
+    draw = lambda: [[r.randint(0, 9) for _ in range(r.randint(0, 6))] for _ in range(30)]
+    a, b = draw(), draw()
+    flat = lambda x: (np.array([v for s in x for v in s], np.uint32), np.array([len(s) for s in x]))
+    want = [len(set(x) & set(y)) / len(set(x) | set(y)) if x or y else 1.0 for x, y in zip(a, b)]
+    assert np.allclose(winnowing.likeness(flat(a), flat(b)), want)
+
+
+# BPE
+
+ODD = ["", "  a  b\n\n c ", "aaaa aaaaaaa", "  x", "x<|endoftext|>y <|endoftext|>", "<|endoftext|>", "it's  'll we've\t\tx",
+       "é é 日本語 🙂🙂", "  ", "\n", "a\n b", "a \nb", "0123456789 12a", "a\x85b \x85c", "x \x0bq", "a\x1cb \x1c c", " lead",
+       "trail ", "\u2028 x\u2028y", "ab\u00a0 c"]
+
+
+def test_bpe_against_the_library():
+    known = [*ODD, *(t or "" for t in TEXTS)]
+    ids, counts = bpe.vocabulary(BYTE).encode(pa.array(known, pa.large_string()))
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == encoded(BYTE, known)
+    assert bpe.vocabulary(BYTE).decode(ids, counts) == known
+
+
+def test_bpe_decodes_cut_characters():
+    ids = encoded(BYTE, ["🙂日"])[0]
+    library = Tokenizer.from_file(BYTE)
+    for part in (ids[:1], ids[1:], ids[:-1], [50256, ids[0]]):
+        assert bpe.vocabulary(BYTE).decode(np.array(part), np.array([len(part)])) == [library.decode(part, skip_special_tokens=False)]
+
+
+def test_bpe_query(spark):
+    docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
+    ids = dict(zip(docs, encoded(BYTE, docs.values())))
+    rows = queries.op7_bpe(spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        own = ids[r["doc_id"]]
+        assert r["n_tokens"] == len(own)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, own)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(docs[r["doc_id"]].encode()).hexdigest()
+
+
+def test_bpe_odd_rows(spark):
+    rows = bpe.decode(bpe.encode(odd_documents(spark), BYTE), BYTE).collect()
+    assert sorted(r["text"] for r in rows) == sorted(t or "" for t in TEXTS + TEXTS[6:7])
+    assert bpe.encode(no_documents(spark), BYTE).collect() == []
+
+
+# Secret scans
+
+ASSIGN = re.compile(r'''(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)''', re.A)
+
+
+def plain_base(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def secret_texts():
+    r = random.Random(8)
+    pieces = ["token", "SECRET", "api_key", "ApiKey", "passwd", "=", ":", " ", '"', "'", "abcdefgh12", "short", "==", "é🙂",
+              "AKIA", "AKIAABCDEFGHIJKL", "0123456789abcdef" * 2, "deadbeef", "\n", "ſecret", "Zx9Zx9Zx9Zx9Zx9Zx9Zx9Zx9"]
+    return ["".join(r.choice(pieces) for _ in range(r.randint(1, 14))) for _ in range(400)]
+
+
+def test_secret_base_spans(spark):
+    texts = [t for t in secret_texts()] + [t for t in TEXTS if t is not None]
+    rows = secret_scan.scan_secrets(documents(spark, texts)).select("doc_id", secret_scan.named(F.col("base")).alias("base")).collect()
+    got = {r["doc_id"]: r["base"] for r in rows}
+    assert [got[i] for i in range(len(texts))] == [plain_base(t) for t in texts]
+
+
+def test_secret_ownership(spark):
+    own, copied = "Qw3rtyQw3rtyQw3rtyQw3rty", "Copied1Copied2Copied3Copied4"
+    rows = [(1, f"see {own} here", "a"), (2, f"see {copied} here", "a"), (3, f"é {copied}", "b"), (4, f"{own} again", "a"), (5, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.scan_secrets(docs).select("doc_id", secret_scan.named(F.col("spans")).alias("spans")).collect()}
+    assert found == {1: f"live:4:{4 + len(own)}", 2: "", 3: "", 4: f"live:0:{len(own)}", 5: ""}
+    seen = {r["n_owners"]: r["live"] for r in secret_scan.ownership(secret_scan.candidates(docs, "source", "source")).collect()}
+    assert seen == {1: True, 2: False}
+
+
+def test_secret_odd_rows(spark):
+    rows = secret_scan.scan_secrets(odd_documents(spark)).collect()
+    assert len(rows) == len(TEXTS) + 1
+    assert secret_scan.scan_secrets(no_documents(spark)).collect() == []
+    query = queries.op10_secret_scan(spark, SF)
+    assert query.count() == table(spark, "documents").count()
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([("é secret: abcdefgh12 x", 0), ("none", 1)], "text string, doc_id long")
+    spans = secret_scan.scan_secrets(docs.withColumn("source", F.lit("s")))
+    rows = docs.join(spans, "doc_id").select("doc_id", secret_scan.redact(F.col("text"), F.col("spans")).alias("text")).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == {0: "é [SECRET] x", 1: "none"}
+
+
+def test_long_texts_are_read_to_the_end(spark):
+    tail = documents(spark, [LONG + "token = abcdefgh12345"])
+    assert secret_scan.scan_secrets(tail).selectExpr("base[0].start").first()[0] == len(LONG)
