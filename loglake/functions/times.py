@@ -27,12 +27,12 @@ def epoch_ms(c: Column) -> Column:
 
 
 def parse_cli_time(c: Column) -> Column:
-    """``2017 9 5 4:11:23.5``, padded or not; null if it does not parse."""
+    """``2021 3 4 5:06:07.5``, padded or not; null if it does not parse."""
     return F.try_to_timestamp(c, F.lit("yyyy M d H:m:s.SSSSSS"))
 
 
 def parse_iso_micros(c: Column) -> Column:
-    """``2017-10-17T23:06:23.165623``, with or without the fraction."""
+    """``2021-03-04T05:06:07.089000``, with or without the fraction."""
     return F.try_to_timestamp(c)
 
 

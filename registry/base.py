@@ -24,9 +24,9 @@ ALOG_SELECT = """
 select
   event_id as id,
   ts as timestamp,
-  concat('wat', cast(user_id % 4 + 1 as string), 'tcs') as loghost,
-  concat('lat', cast(user_id % 4 + 1 as string), 'vcm') as env,
-  'logManager' as procname,
+  concat('node', cast(user_id % 4 + 1 as string)) as loghost,
+  concat('hall', cast(user_id % 4 + 1 as string)) as env,
+  'recorder' as procname,
   user_id as procid,
   case when event_type in ('error', 'signup') then concat('mod_', event_type) else '' end as module,
   case when event_type in ('click', 'purchase') then 'FPAR'

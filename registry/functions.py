@@ -162,7 +162,7 @@ def _(spark, sf_dir):
 # One archive path per event: dates padded and not, and paths without one.
 PATHS_SQL = """paths as (select event_id, ts, case
     when event_id % 3 = 0 then concat('/data/', strftime(ts, '%Y-%-m-%-d'), '/w', cast(user_id as varchar), '.csv.gz')
-    when event_id % 3 = 1 then concat('/data/whki.', strftime(ts, '%Y:%m:%d'), '.csv.gz')
+    when event_id % 3 = 1 then concat('/data/hist.', strftime(ts, '%Y:%m:%d'), '.csv.gz')
     else concat('/data/a1', strftime(ts, '%Y-%m-%d'), 'x.csv.gz') end as path from events)"""
 
 
@@ -171,7 +171,7 @@ def _paths(spark, sf_dir):
     path = (
         F.when(kind == 0, F.concat(F.lit("/data/"), F.date_format("ts", "yyyy-M-d"), F.lit("/w"),
                                    F.col("user_id").cast("string"), F.lit(".csv.gz")))
-        .when(kind == 1, F.concat(F.lit("/data/whki."), F.date_format("ts", "yyyy:MM:dd"), F.lit(".csv.gz")))
+        .when(kind == 1, F.concat(F.lit("/data/hist."), F.date_format("ts", "yyyy:MM:dd"), F.lit(".csv.gz")))
         .otherwise(F.concat(F.lit("/data/a1"), F.date_format("ts", "yyyy-MM-dd"), F.lit("x.csv.gz")))
     )
     return table(spark, sf_dir, "events").select("event_id", "ts", path.alias("path"))

@@ -79,10 +79,10 @@ def _(spark, sf_dir):
 
 
 @query("tag_filter", f"""
-    with {ALOG}, {POINTS} select {ALL} from points where loghost in ('wat1tcs', 'wat2tcs') and env = 'lat2vcm'""")
+    with {ALOG}, {POINTS} select {ALL} from points where loghost in ('node1', 'node2') and env = 'hall2'""")
 def _(spark, sf_dir):
     return _points(spark, sf_dir).where(
-        ops.tag_filter({"loghost": ["wat1tcs", "wat2tcs"], "env": "lat2vcm"}))
+        ops.tag_filter({"loghost": ["node1", "node2"], "env": "hall2"}))
 
 
 @query("since_relative", f"""
@@ -99,10 +99,10 @@ def _(spark, sf_dir):
 
 
 METRICS = [
-    {"name": "EVTclick3", "tags": {"loghost": "wat4tcs"}},
+    {"name": "EVTclick3", "tags": {"loghost": "node4"}},
     {"name": "EVTpurchase7", "tags": {}},
 ]
-QUERY_SQL = f"""(name = 'EVTclick3' and loghost = 'wat4tcs' or name = 'EVTpurchase7')
+QUERY_SQL = f"""(name = 'EVTclick3' and loghost = 'node4' or name = 'EVTpurchase7')
     and timestamp between {MS['low']} and {MS['high']}"""
 
 
@@ -173,14 +173,14 @@ def _(spark, sf_dir):
 
 
 DELETED = f"""name in ('EVTclick3', 'EVTclick4') and timestamp >= {MS['low']} and timestamp <= {MS['high']}
-    and env in ('lat1vcm', 'lat4vcm')"""
+    and env in ('hall1', 'hall4')"""
 
 
 @query("delete_points", f"with {ALOG}, {POINTS} select {ALL} from points where not ({DELETED})")
 def _(spark, sf_dir):
     return ops.delete_points(
         _points(spark, sf_dir), ["EVTclick3", "EVTclick4"], MS["low"], MS["high"],
-        {"env": ["lat1vcm", "lat4vcm"]})
+        {"env": ["hall1", "hall4"]})
 
 
 # --- stored ---------------------------------------------------------------------------------
@@ -223,7 +223,7 @@ def _(spark, sf_dir):
     def write(path):
         write_points(_points(spark, sf_dir), path, NOW)
         delete_stored_points(spark, path, ["EVTclick3", "EVTclick4"], MS["low"], MS["high"],
-                             {"env": ["lat1vcm", "lat4vcm"]})
+                             {"env": ["hall1", "hall4"]})
         names = [f"EVT{kind}{i}" for kind in ("click", "purchase") for i in range(10)]
         delete_stored_points(spark, path, names, 1705708800000, 1705795199999)
 

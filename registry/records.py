@@ -40,13 +40,13 @@ def _(spark, sf_dir):
 
 @query("scan_sql", f"""
     with {ALOG} select {ALL_COLUMNS} from alog
-    where timestamp between '{FIRST}' and '{LAST}' and loghost = 'wat2tcs'""")
+    where timestamp between '{FIRST}' and '{LAST}' and loghost = 'node2'""")
 def _(spark, sf_dir):
     sql = (
         f"select * from ({ALOG_SELECT} {{events}}) where loghost = :host "
         "and timestamp between cast(:low as timestamp_ntz) and cast(:high as timestamp_ntz)"
     )
-    return scan_sql(spark, sql, {"host": "wat2tcs", "low": FIRST, "high": LAST},
+    return scan_sql(spark, sql, {"host": "node2", "low": FIRST, "high": LAST},
                     events=table(spark, sf_dir, "events"))
 
 

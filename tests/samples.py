@@ -9,18 +9,18 @@ from datetime import datetime
 from loglake.schema import ALOG
 
 GOLDEN = [
-    (1546655907, datetime(2017, 9, 25, 4, 11, 23), "wat3tcs", "lat3vcm", "logManager", 0, "", "FPAR",
-     "TESTER_POINTS", "2.7182818", "Prueba msg", "", 0, "", ""),
-    (1546636293, datetime(2017, 9, 25, 4, 12, 27), "wat4tcs", "lat4vcm", "logManager", 0, "", "FPAR",
-     "TESTER_POINTS", "3.1415926", "Prueba msg", "", 0, "", ""),
+    (90017, datetime(2021, 3, 14, 15, 9, 26), "node7", "hall2", "recorder", 0, "", "FPAR",
+     "HALL_PRESSURE", "1.01325", "Hall gauge", "", 0, "", ""),
+    (90018, datetime(2021, 3, 14, 15, 31, 40), "node8", "hall5", "recorder", 0, "", "FPAR",
+     "HALL_PRESSURE", "0.98692", "Hall gauge", "", 0, "", ""),
 ]
 
 RAW_LINES = """\
-Oct  1 00:00:12 wamber logManager: 1234 00:00:12> TEMP AMB = 12.5 / Ambient temperature [C]. [lat3amb]
-Oct  1 00:00:13 wamber logManager: 1234 00:00:13>- PRES START / Pressure started [lat3amb]
-Oct  1 00:00:14 wamber logManager: 1234 00:00:14>/ Free text here [lat3amb]
-Oct  1 00:00:15 wamber logManager: 1234 00:00:15 lat3amb tcsmod ambProc 4711 amb.C:120 x stk01 2 S ERR_TIMEOUT Sensor did not answer
-Oct  1 00:00:16 wamber logManager: 1234 00:00:16 lat3amb tcsmod ambProc 4711 x routine message ok
+May  3 08:15:20 kiln recorder: 77 08:15:20> OVEN HEAT = 841.5 / Heat of the oven [K]. [hall2]
+May  3 08:15:21 kiln recorder: 77 08:15:21>- DOOR OPEN / Door was opened [hall2]
+May  3 08:15:22 kiln recorder: 77 08:15:22>/ Shift change noted [hall2]
+May  3 08:15:23 kiln recorder: 77 08:15:23 hall2 burner gasCtl 902 valve.C:37 x q15 4 W ERR_FLOW Gas flow is low
+May  3 08:15:24 kiln recorder: 77 08:15:24 hall2 burner gasCtl 902 x valve cycle done
 """
 
 

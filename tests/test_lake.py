@@ -67,7 +67,7 @@ def test_a_second_load_changes_nothing(spark, lake):
 def test_reads_skip_other_days_and_columns(spark, lake):
     load.load_both(series(spark), lake, NOW)
     day = 1704067200000
-    plan = tables.read_points(spark, lake.points, "TESTER_POINTS", day, day + 1000)
+    plan = tables.read_points(spark, lake.points, "HALL_PRESSURE", day, day + 1000)
     text = plan_of(plan)
     assert "PartitionFilters: [isnotnull(day" in text
     slim = tables.read_docs(spark, lake.docs, "opslog-2024.01", columns=["loghost"])
@@ -143,13 +143,13 @@ def test_progress_and_reset(spark, lake):
 def test_delete_empties_a_day(spark, lake):
     load.load_both(series(spark), lake, NOW)
     day = 1704067200000
-    tables.delete_stored_points(spark, lake.points, ["TESTER_POINTS"], day, day + 86_399_999)
+    tables.delete_stored_points(spark, lake.points, ["HALL_PRESSURE"], day, day + 86_399_999)
     left = tables.read_points(spark, lake.points)
     assert left.count() == 225 - 108
     assert left.agg(F.min("timestamp")).first()[0] >= day + 86_400_000
-    tables.delete_stored_points(spark, lake.points, ["TESTER_POINTS"], tags={"env": "none"})
+    tables.delete_stored_points(spark, lake.points, ["HALL_PRESSURE"], tags={"env": "none"})
     assert tables.read_points(spark, lake.points).count() == 225 - 108
-    tables.delete_stored_points(spark, lake.points, ["TESTER_POINTS"])
+    tables.delete_stored_points(spark, lake.points, ["HALL_PRESSURE"])
     assert tables.read_points(spark, lake.points).count() == 0
 
 
@@ -198,11 +198,11 @@ def csv_file(spark, tmp_path, name, rows):
 def test_csv_round_trip(spark, tmp_path):
     rows = [record(), record(keywvalue="ON", module=""), record(logtext='Señal "ñ", línea\n2 \\ fin'),
             record(logtext="x", timestamp=datetime(2016, 1, 5, 1, 2, 3))]
-    path = csv_file(spark, tmp_path, "2016-1-5/whki.csv.gz", rows)
+    path = csv_file(spark, tmp_path, "2016-1-5/hist.csv.gz", rows)
     back = archives.csv_records(spark, path)
     want = alog(spark, rows).drop("id")
     assert sorted(map(tuple, back.drop("file_path").select(want.columns).collect())) == sorted(map(tuple, want.collect()))
-    assert [r[0] for r in back.select("file_path").distinct().collect()][0].endswith("2016-1-5/whki.csv.gz")
+    assert [r[0] for r in back.select("file_path").distinct().collect()][0].endswith("2016-1-5/hist.csv.gz")
 
 
 def test_bad_csv_cells_do_not_fail_the_read(spark, tmp_path):
@@ -263,7 +263,7 @@ def test_scan_alog_and_sql(spark, tmp_path):
     assert scan_alog(spark, path=path).count() == 2
     records.createOrReplaceTempView("alog_view")
     assert scan_alog(spark, table="alog_view").count() == 2
-    assert scan_sql(spark, "select * from {log} where loghost = :h", {"h": "wat3tcs"}, log=records).count() == 1
+    assert scan_sql(spark, "select * from {log} where loghost = :h", {"h": "node7"}, log=records).count() == 1
 
 
 # --- streams ----------------------------------------------------------------------------------

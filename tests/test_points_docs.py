@@ -14,12 +14,12 @@ from samples import GOLDEN, alog, plan_of, record
 
 def test_golden_points(spark):
     rows = points.to_points(alog(spark, GOLDEN)).orderBy("timestamp").collect()
-    tags = {"proc": "logManager", "logtext": "Prueba_msg"}
+    tags = {"proc": "recorder", "logtext": "Hall_gauge"}
     assert [r.asDict() for r in rows] == [
-        {"name": "TESTER_POINTS", "timestamp": 1506312683000, "value": 2.7182818,
-         "tags": {**tags, "env": "lat3vcm", "loghost": "wat3tcs"}},
-        {"name": "TESTER_POINTS", "timestamp": 1506312747000, "value": 3.1415926,
-         "tags": {**tags, "env": "lat4vcm", "loghost": "wat4tcs"}},
+        {"name": "HALL_PRESSURE", "timestamp": 1615734566000, "value": 1.01325,
+         "tags": {**tags, "env": "hall2", "loghost": "node7"}},
+        {"name": "HALL_PRESSURE", "timestamp": 1615735900000, "value": 0.98692,
+         "tags": {**tags, "env": "hall5", "loghost": "node8"}},
     ]
 
 
@@ -36,9 +36,9 @@ def test_point_filters(spark):
 def test_put_lines(spark):
     records = alog(spark, [record(keywvalue="1e5"), record(keywvalue="0"), record(keywname="??")])
     assert [r[0] for r in points.put_lines(records).collect()] == [
-        "put TESTER_POINTS 1506312683 1.0e5 proc=logManager env=lat3vcm loghost=wat3tcs logtext=Prueba_msg"]
+        "put HALL_PRESSURE 1615734566 1.0e5 proc=recorder env=hall2 loghost=node7 logtext=Hall_gauge"]
     (short,) = points.put_lines(records, with_logtext=False).collect()
-    assert short[0].endswith("loghost=wat3tcs")
+    assert short[0].endswith("loghost=node7")
 
 
 def test_payload_batches(spark):
@@ -63,15 +63,15 @@ def test_relative_query_needs_an_anchor(spark):
     with pytest.raises(ValueError):
         points.metric_query(shaped, [{"name": "x"}], start_relative=(1, "hours"))
     last_minute = points.metric_query(
-        shaped, [{"name": "TESTER_POINTS"}], start_relative=(1, "minutes"), anchor=datetime(2017, 9, 25, 4, 13))
+        shaped, [{"name": "HALL_PRESSURE"}], start_relative=(1, "minutes"), anchor=datetime(2021, 3, 14, 15, 32))
     assert last_minute.count() == 1
 
 
 def test_deletes_leave_points_without_the_tag(spark):
     shaped = points.to_points(alog(spark, GOLDEN))
-    assert points.delete_points(shaped, ["TESTER_POINTS"], 0, tags={"absent": "x"}).count() == 2
-    assert points.delete_points(shaped, ["TESTER_POINTS"], 1506312747000).count() == 1
-    names = spark.createDataFrame([("TESTER_POINTS",)], "name string")
+    assert points.delete_points(shaped, ["HALL_PRESSURE"], 0, tags={"absent": "x"}).count() == 2
+    assert points.delete_points(shaped, ["HALL_PRESSURE"], 1615735900000).count() == 1
+    names = spark.createDataFrame([("HALL_PRESSURE",)], "name string")
     assert points.delete_metrics(shaped, names).count() == 0
 
 
@@ -91,7 +91,7 @@ def test_doc_id_ignores_the_database_id_and_nothing_else(spark):
     base = record()
     rows = [base, record(id=7), *[record(**{c: "x"}) for c in
             ("loghost", "env", "procname", "module", "keywname", "keywvalue", "logtext", "errseverity")],
-            record(procid=3), record(timestamp=datetime(2017, 9, 25, 4, 11, 23, 1)),
+            record(procid=3), record(timestamp=datetime(2021, 3, 14, 15, 9, 26, 1)),
             record(keywname="A", keywvalue="BC"), record(keywname="AB", keywvalue="C")]
     ids = [r[0] for r in alog(spark, rows).select(documents.doc_id()).collect()]
     assert ids[0] == ids[1]
@@ -120,8 +120,8 @@ def test_mapping_limits(spark):
 def test_sparse_json(spark):
     (row,) = documents.sparse_doc_json(alog(spark, [record(module="", keywname=None)])).collect()
     assert json.loads(row[0]) == {
-        "@timestamp": "2017-09-25T04:11:23.000000", "loghost": "wat3tcs", "envname": "lat3vcm",
-        "procname": "logManager", "procid": 0, "keywvalue": "2.7182818", "logtext": "Prueba msg"}
+        "@timestamp": "2021-03-14T15:09:26.000000", "loghost": "node7", "envname": "hall2",
+        "procname": "recorder", "procid": 0, "keywvalue": "1.01325", "logtext": "Hall gauge"}
 
 
 def test_hits_show_long_text_on_two_lines(spark):
@@ -129,7 +129,7 @@ def test_hits_show_long_text_on_two_lines(spark):
     (text,) = [r[0] for r in documents.format_hits(docs).collect()]
     lines = text.split("\n")
     assert len(lines) == 4
-    assert "(2017-09-25 04:11:23):\tloghost: wat3tcs" in lines[0]
+    assert "(2021-03-14 15:09:26):\tloghost: node7" in lines[0]
     assert lines[2].endswith("logtext: a " + "b" * 78) and lines[3].endswith("b" * 12)
 
 
@@ -139,9 +139,9 @@ def test_periods(spark):
     assert in_period(records, low, high).count() == 2
     assert in_period(records, low, high, include_low=False).count() == 1
     assert in_period(records, high, low).count() == 0
-    (row,) = next_window(records, datetime(2017, 9, 25, 4, 0)).select(
+    (row,) = next_window(records, datetime(2021, 3, 14, 15, 0)).select(
         F.date_format("present", "HH:mm:ss")).collect()
-    assert row[0] == "04:11:40"
+    assert row[0] == "15:10:00"
     assert next_window(records, high).count() == 0
     assert is_string(records, "loghost") and not is_string(records, "id")
 

@@ -12,20 +12,20 @@ from registry.rawlogs import lines_of
 from samples import RAW_LINES, alog, record
 
 EXPECTED = [
-    ("FPAR", "2016-10-01 00:00:12", "wamber", "C. lat3amb", "logManager", 0, "", "TEMP.AMB", "12.5",
-     "Ambient temperature ", "", 0, "", ""),
-    ("FEVT", "2016-10-01 00:00:13", "wamber", "lat3amb", "logManager", 0, "", ".PRES.START", "",
-     "Pressure started ", "", 0, "", ""),
-    ("FLOG", "2016-10-01 00:00:14", "wamber", "lat3amb", "logManager", 0, "", "", "",
-     " Free text here ", "", 0, "", ""),
-    ("ERR", "2016-10-01 00:00:15", "wamber", "lat3amb", "ambProc", 4711, "tcsmod", "", "",
-     "Sensor did not answer", "stk01", 2, "amb.C:120", "S"),
-    ("LOG", "2016-10-01 00:00:16", "wamber", "lat3amb", "ambProc", 4711, "tcsmod", "", "",
-     "routine message ok", "", 0, "", ""),
+    ("FPAR", "2019-05-03 08:15:20", "kiln", "K. hall2", "recorder", 0, "", "OVEN.HEAT", "841.5",
+     "Heat of the oven ", "", 0, "", ""),
+    ("FEVT", "2019-05-03 08:15:21", "kiln", "hall2", "recorder", 0, "", ".DOOR.OPEN", "",
+     "Door was opened ", "", 0, "", ""),
+    ("FLOG", "2019-05-03 08:15:22", "kiln", "hall2", "recorder", 0, "", "", "",
+     " Shift change noted ", "", 0, "", ""),
+    ("ERR", "2019-05-03 08:15:23", "kiln", "hall2", "gasCtl", 902, "burner", "", "",
+     "Gas flow is low", "q15", 4, "valve.C:37", "W"),
+    ("LOG", "2019-05-03 08:15:24", "kiln", "hall2", "gasCtl", 902, "burner", "", "",
+     "valve cycle done", "", 0, "", ""),
 ]
 
 
-def parse(spark, lines, path="/raw/wamber.2016-10-01.log", **options):
+def parse(spark, lines, path="/raw/kiln.2019-05-03.log", **options):
     df = spark.createDataFrame([(line, path) for line in lines], "value string, file_path string")
     parsed = rawlogs.parse_raw_logs(df, **options)
     return parsed.withColumn("tm", F.date_format("tm", "yyyy-MM-dd HH:mm:ss")).collect()
@@ -38,7 +38,7 @@ def test_each_line_type(spark):
 
 
 def test_files_are_read_with_host_and_year_of_their_name(spark, tmp_path):
-    path = tmp_path / "wamber.2016-10-01.log"
+    path = tmp_path / "kiln.2019-05-03.log"
     path.write_text(RAW_LINES)
     parsed = rawlogs.parse_raw_logs(rawlogs.read_raw_logs(spark, str(path)))
     rows = parsed.withColumn("tm", F.date_format("tm", "yyyy-MM-dd HH:mm:ss")).orderBy("tm").collect()
@@ -46,7 +46,7 @@ def test_files_are_read_with_host_and_year_of_their_name(spark, tmp_path):
 
 
 def test_words_of_a_value_are_joined(spark):
-    line = "Oct  1 00:00:12 w logManager: 1 00:00:12> DOOR STATE = 'ON LINE' / text [e]"
+    line = "Oct  1 00:00:12 w recorder: 1 00:00:12> DOOR STATE = 'ON LINE' / text [e]"
     (row,) = parse(spark, [line])
     assert (row["keyw"], row["keyv"]) == ("DOOR.STATE", "ON.LINE")
 
@@ -68,13 +68,13 @@ def test_malformed_lines_keep_their_text_only(spark):
 
 def test_year(spark):
     line = RAW_LINES.splitlines()[0]
-    assert parse(spark, [line], "/raw/wamber.log")[0]["tm"] == "1900-10-01 00:00:12"
-    assert parse(spark, [line], year=2001)[0]["tm"] == "2001-10-01 00:00:12"
+    assert parse(spark, [line], "/raw/kiln.log")[0]["tm"] == "1900-05-03 08:15:20"
+    assert parse(spark, [line], year=2001)[0]["tm"] == "2001-05-03 08:15:20"
 
 
 def test_free_text_without_words(spark):
     (row,) = parse(spark, ["Oct  1 00:00:12 w d: 1 00:00:12>/"])
-    assert (row["typelog"], row["logtext"], row["env"]) == ("FLOG", "", "wamber")
+    assert (row["typelog"], row["logtext"], row["env"]) == ("FLOG", "", "kiln")
     (row,) = parse(spark, ["Oct  1 00:00:12 w d: 1 00:00:12>/ one"])
     assert row["logtext"] == " one"
 
@@ -103,7 +103,7 @@ def test_env_from_cells(spark, tmp_path):
 WORD = st.text(alphabet="abcXYZ019_.-", min_size=1, max_size=6)
 WORDS = st.lists(WORD, min_size=1, max_size=4).map(" ".join)
 RECORD = st.builds(
-    dict, typelog=st.sampled_from(["FPAR", "FEVT", "FLOG", "ERR", "LOG"]), loghost=st.just("wat1"), env=WORD,
+    dict, typelog=st.sampled_from(["FPAR", "FEVT", "FLOG", "ERR", "LOG"]), loghost=st.just("kiln1"), env=WORD,
     procname=WORD, procid=st.integers(0, 10**9), module=WORD, keywname=WORDS, keywvalue=WORD, logtext=WORDS,
     errstack=WORD, errstackidx=st.integers(0, 99), errlocation=WORD, errseverity=st.sampled_from("SW"),
     timestamp=st.integers(0, 300 * 86_400).map(lambda s: datetime(2023, 1, 1) + timedelta(seconds=s)),
@@ -123,7 +123,7 @@ def test_parsing_undoes_rendering(spark, changes):
         key = {"FPAR": "", "FEVT": "."}.get(kind)
         pad = {"FPAR": "{} ", "FEVT": "{} ", "FLOG": " {} "}.get(kind, "{}")
         assert row.asDict() == {
-            "typelog": kind, "tm": str(c["timestamp"]), "loghost": "wat1", "env": c["env"],
+            "typelog": kind, "tm": str(c["timestamp"]), "loghost": "kiln1", "env": c["env"],
             "procname": c["procname"], "procid": c["procid"] if coded else 0,
             "module": c["module"] if coded else "",
             "keyw": "" if key is None else key + c["keywname"].replace(" ", "."),
