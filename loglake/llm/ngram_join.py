@@ -28,7 +28,7 @@ from loglake.llm.shingles import mix, shingle_sets
 COUNTERS, PARTS = 1 << 20, 64
 SHIFT = np.uint64(44)  # 64 bits less the 20 of a counter
 OCTANTS = 16
-LIMIT = 2 << 20
+LIMIT = 1 << 20
 
 
 def class_ids(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -147,7 +147,8 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words:
         pairs.distinct().join(side("a"), "a").join(side("b"), "b")
         .filter((num + den) * (sizes - apart) >= 2 * num * sizes).select("a", "b", "n_a", "n_b", "id_a", "id_b"), "near")
     ids = near.select(F.col("id_a").alias("doc_id")).unionByName(near.select(F.col("id_b").alias("doc_id")))
-    sets = stored(sets_of(documents, ids, words), "sets")
+    # Dealt by class once; both joins read that.
+    sets = sets_of(documents, ids, words)
     common = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
     return (
         near.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")), "a")
@@ -168,11 +169,14 @@ class Join:
         self.rows = described.filter(F.col("part").isNull()).select("doc_id", "text_hash", "n", "cls")
         self.classes = stored(prefixes(self.documents, words, num, den, rarity(described)), "classes")
         each = self.classes.select("cls", "n", F.posexplode("grams").alias("at", "gram")).select(
-            "gram", "cls", "n", (F.col("at") + 1).alias("pos"),
-            # The hub of a shingle is the class that has it earliest: the one with fewest rarer ones.
-            F.shiftleft((F.col("at") + 1).cast("long"), 40).bitwiseOR(F.pmod(F.xxhash64("cls"), F.lit(1 << 40))).alias("rank"))
-        shared = each.groupBy("gram").agg(F.count("*").alias("many"), F.min("rank").alias("first")).filter("many > 1").drop("many")
-        self.buckets = stored(each.join(shared, "gram").select("gram", "cls", "n", "pos", (F.col("rank") == F.col("first")).alias("hub")), "buckets")
+            "gram", "cls", "n", (F.col("at") + 1).alias("pos"))
+        # The hub of a shingle is the class that has it earliest: the one with fewest rarer ones.
+        rank = F.shiftleft(F.col("pos").cast("long"), 40).bitwiseOR(F.pmod(F.xxhash64("cls"), F.lit(1 << 40)))
+        shared = stored(each.select("gram", rank.alias("rank")).groupBy("gram").agg(
+            F.count("*").alias("many"), F.min("rank").alias("first")).filter("many > 1").drop("many"), "shared")
+        # Most prefix shingles stand alone; a filter of fixed size keeps those from moving.
+        likely = with_possible(each, shared, "gram").filter("possible").drop("possible")
+        self.buckets = stored(likely.join(shared, "gram").select("gram", "cls", "n", "pos", (rank == F.col("first")).alias("hub")), "buckets")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         return verified(pairs, self.classes.drop("grams"), self.documents, self.words, self.num, self.den)
