@@ -192,9 +192,11 @@ def train(pages: DataFrame, own: int = 100, drawn: int = 500, longest: int = 50_
     Those are the ids of smallest hash among pages that hold one article or main element and are no
     longer than ``longest`` code points.
     """
-    few = (
-        pages.filter((F.length("html") <= longest) & F.col("html").rlike("(?i)<(article|main)[ >]"))
-        .select(F.xxhash64("page_id").alias("order"), "html").orderBy("order", "html").limit(own).collect())
+    known = pages.filter((F.length("html") <= longest) & F.col("html").rlike("(?i)<(article|main)[ >]")).select(
+        F.xxhash64("page_id", "html").alias("order"), "html")
+    # Only hashes are ranked; then the few texts are fetched.
+    first = [row["order"] for row in known.select("order").orderBy("order").limit(own).collect()]
+    few = known.filter(F.col("order").isin(first)).dropDuplicates(["order"]).orderBy("order").collect()
     labelled = [own_labels(row["html"]) for row in few] + [marked_page(html) for html in drawn_pages(drawn)]
     return fit([page for page in labelled if page is not None])
 
