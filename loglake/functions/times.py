@@ -1,4 +1,4 @@
-"""Times: epochs, parsing, index suffixes. Read in the session time zone (UTC)."""
+"""Times: epochs, parsing, index suffixes. Text is read in the session time zone; ids and days are UTC always."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ SUFFIX_PATTERNS = {
     "MONTHLY": "yyyy.MM",
     "YEARLY": "yyyy",
 }
+DAY_MS = 86_400_000
 FREQUENCIES = ("NONE", *SUFFIX_PATTERNS)
 DATE_IN_PATH = r"([0-9]{4})[-/:]([0-9]{1,2})[-/:]([0-9]{1,2})"
 
@@ -36,9 +37,27 @@ def parse_iso_micros(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
+def utc_day(ms: Column) -> Column:
+    """The UTC day of epoch milliseconds, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(ms / F.lit(DAY_MS)).cast("int"))
+
+
+def utc_text(micros: Column, between: str = " ", digits: int = 6) -> Column:
+    """Epoch microseconds as UTC text with a fraction of ``digits``, whatever the session zone."""
+    day = F.floor(micros / F.lit(DAY_MS * 1000))
+    rest = F.pmod(micros, F.lit(DAY_MS * 1000).cast("long"))
+
+    def part(unit: int, size: int, width: int) -> Column:
+        return F.lpad(F.pmod(F.floor(rest / F.lit(unit)), F.lit(size)).cast("string"), width, "0")
+
+    return F.concat(
+        F.date_from_unix_date(day.cast("int")).cast("string"), F.lit(between), part(3_600_000_000, 24, 2), F.lit(":"),
+        part(60_000_000, 60, 2), F.lit(":"), part(1_000_000, 60, 2), F.lit("."), part(10 ** (6 - digits), 10 ** digits, digits))
+
+
 def iso_utc_millis(ms: Column) -> Column:
     """Epoch milliseconds as ``yyyy-MM-ddTHH:mm:ss.SSSZ``."""
-    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return F.concat(utc_text(ms * F.lit(1000).cast("long"), "T", 3), F.lit("Z"))
 
 
 def index_suffix(ts: Column, frequency: str = "NONE") -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from loglake.functions.numbers import is_numeric_value, to_number
 from loglake.functions.text import keyword_field, null_to_empty
-from loglake.functions.times import index_name, index_suffix
-from loglake.schema import KEYWORD_LIMITS, NUMERIC_TYPE
+from loglake.functions.times import index_name, index_suffix, utc_text
+from loglake.schema import KEYWORD_LIMITS, NUMERIC_TYPE, UNTYPED
 
 # Separator between the fields of an id; it does not occur in log text.
 UNIT_SEPARATOR = "\u001f"
@@ -30,18 +30,22 @@ HIT_INDENT, HIT_TEXT_INDENT, HIT_TEXT_WIDTH = 54, 63, 80
 
 
 def doc_type(override: str = "default") -> Column:
-    """``opslog`` for a numeric fpar record, else the lower-case type; or a forced type."""
+    """``opslog`` for a numeric fpar record, else the lower-case type, ``untyped`` for none; or a forced type."""
     if override != "default":
         return F.lit(override)
-    kind = F.lower("typelog")
+    kind = F.coalesce(F.nullif(F.lower("typelog"), F.lit("")), F.lit(UNTYPED))
     numeric = (kind == "fpar") & is_numeric_value(F.col("keywvalue"))
     return F.when(numeric, NUMERIC_TYPE).otherwise(kind)
 
 
 def doc_id() -> Column:
-    """Content id: md5 over all record fields but the database id, so every source agrees."""
+    """Content id: md5 over all record fields but the database id, with the time in UTC microseconds.
+
+    Sources agree as far as their times do: an archive holds whole seconds, so a record with a
+    fraction has another id there than from the database.
+    """
     fields = [
-        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS") if name == "timestamp" else F.col(name)
+        utc_text(F.unix_micros(F.col("timestamp").cast("timestamp"))) if name == "timestamp" else F.col(name)
         for name in ID_FIELDS
     ]
     return F.md5(F.concat_ws(UNIT_SEPARATOR, *[null_to_empty(f) for f in fields]))

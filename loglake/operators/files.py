@@ -40,10 +40,16 @@ def already_loaded(last_rows: DataFrame, docs: DataFrame, indexes: Column | None
 
 
 def files_to_load(
-    last_rows: DataFrame, docs: DataFrame, indexes: Column | None = None, reinsert: bool = False
+    last_rows: DataFrame, docs: DataFrame, indexes: Column | None = None, reinsert: bool = False,
+    files: DataFrame | None = None,
 ) -> DataFrame:
-    """Files whose last record is not among the documents; all of them to reinsert."""
+    """Files whose last record is not among the documents; all of them to reinsert.
+
+    ``files`` is a listing (``list_files``): with it, a file without any readable time, which has
+    no last record, is among the files to load; without it, only files with a last record are seen.
+    """
+    every = last_rows if files is None else files
     if reinsert:
-        return last_rows
+        return every
     loaded = already_loaded(last_rows, docs, indexes).select("file_path")
-    return last_rows.join(loaded, "file_path", "left_anti")
+    return every.join(loaded, "file_path", "left_anti")

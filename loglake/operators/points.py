@@ -21,8 +21,17 @@ Filter = Callable[[DataFrame], Column]
 Transform = Callable[[DataFrame], DataFrame]
 
 
+#: Not part of a datapoint: the record's own time, which orders what falls into one second.
+ORDER = "order_us"
+
+
 def point_shape(records: DataFrame) -> DataFrame:
     """Each record as name, epoch milliseconds, value and tags. Keeps every row."""
+    return ordered_shape(records).drop(ORDER)
+
+
+def ordered_shape(records: DataFrame) -> DataFrame:
+    """``point_shape`` with the record's time in microseconds, for a store to order copies by."""
     return records.select(
         clean_name(F.col("keywname")).alias("name"),
         epoch_ms(F.col("timestamp")).alias("timestamp"),
@@ -33,6 +42,7 @@ def point_shape(records: DataFrame) -> DataFrame:
             F.lit("loghost"), clean_name(F.col("loghost")),
             F.lit("logtext"), clean_text(F.col("logtext")),
         ).alias("tags"),
+        F.unix_micros(F.col("timestamp").cast("timestamp")).alias(ORDER),
     )
 
 
@@ -134,14 +144,16 @@ def tag_values(points: DataFrame) -> DataFrame:
 # --- upsert and deletes --------------------------------------------------------------------
 
 def upsert_points(points: DataFrame, load_time: str = "load_time") -> DataFrame:
-    """One row per (name, timestamp, tags): that of the latest load, the highest value on a tie.
+    """One row per (name, timestamp, tags): that of the latest load, and of one load the last record.
 
-    A plain aggregation, so copies of one datapoint are combined before the shuffle.
+    Records of one second are told apart by ``order_us`` where the points carry it; on a tie the
+    highest value stays. A plain aggregation, so copies are combined before the shuffle.
     """
-    latest = F.max(F.struct(F.col(load_time), F.col("value"))).alias("latest")
+    order = [load_time, *([ORDER] if ORDER in points.columns else [])]
+    latest = F.max(F.struct(*order, "value")).alias("latest")
     return points.groupBy(*POINT_KEY).agg(latest).select(
         "name", "timestamp", F.col("latest.value").alias("value"), "tags",
-        F.col(f"latest.{load_time}").alias(load_time),
+        *[F.col(f"latest.{c}").alias(c) for c in order],
     )
 
 

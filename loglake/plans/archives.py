@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglake.functions.times import index_name, path_suffix
 from loglake.operators.documents import to_docs
-from loglake.operators.files import files_to_load, last_row_per_file
-from loglake.plans.load import BOTH, POINTS_ONLY, Counts, LoadSpec, load_both
+from loglake.operators.files import already_loaded, last_row_per_file
+from loglake.plans.load import BOTH, POINTS_ONLY, Counts, LoadSpec, load_both, monthly_docs, split_untimed
 from loglake.schema import NUMERIC_TYPE
 from loglake.session import new_path
-from loglake.sinks.lake import Lake, first_times, read_docs
-from loglake.sources.archives import normalise_csv, read_ops_csv
+from loglake.sinks.lake import Lake, first_times, read_docs, write_rejects
+from loglake.sources.archives import MALFORMED, normalise_csv, read_ops_csv
 
 
 def csv_records(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
@@ -37,8 +35,7 @@ def load_csv_points(
     spec: LoadSpec = LoadSpec(), **options,
 ) -> Counts:
     """Every file into the time series."""
-    records = csv_records(spark, paths, **options)
-    return load_both(records, lake, now, replace(spec, targets=POINTS_ONLY))
+    return _load(_parsed(spark, paths, options), lake, now, replace(spec, targets=POINTS_ONLY))
 
 
 def load_csv_docs(
@@ -55,48 +52,61 @@ def load_csv_both(
     return _load_new(spark, paths, lake, now, BOTH, whole_word=False, **options)
 
 
+def _parsed(spark: SparkSession, paths: str | Sequence[str], options: dict) -> DataFrame:
+    """The archives' rows, unpacked and parsed once and then read from the shared folder."""
+    rows = csv_records(spark, paths, malformed=True, **options)
+    path = new_path(spark, "archive-rows")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _load(rows: DataFrame, lake: Lake, now: datetime, spec: LoadSpec) -> Counts:
+    """Good rows into the stores, all others into the rejects: rows in = stored + rejected."""
+    whole = rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    broken = rows.where(F.col(MALFORMED).isNotNull()).select(
+        F.lit("malformed").alias("reason"), F.col(MALFORMED).alias("record"), "file_path")
+    timed, untimed = split_untimed(whole)
+    rejected = write_rejects(broken.unionByName(untimed), lake.rejects, now)
+    counts = load_both(timed, lake, now, spec)
+    return {**counts, "rejected": rejected}
+
+
 def _load_new(
     spark: SparkSession, paths: str | Sequence[str], lake: Lake, now: datetime,
     targets: tuple[str, ...], whole_word: bool, index: str = "logs", frequency: str = "MONTHLY",
-    reinsert: bool = False, partitions: int | None = None, spec: LoadSpec = LoadSpec(),
+    reinsert: bool = False, spec: LoadSpec = LoadSpec(), suffix: str | None = None, **options,
 ) -> Counts:
+    """``suffix`` names the indexes' ending; without it, it comes from the date in each file's path.
+
+    ``spec``'s own document builder, if it has one, is used as it is. Further ``options`` are
+    those of ``read_ops_csv``.
+    """
+    rows = _parsed(spark, paths, options)
+    ending = F.lit(suffix) if suffix is not None else path_suffix(
+        F.col("file_path"), F.col("timestamp"), frequency, whole_word)
+    if spec.doc_builder is monthly_docs:
+        spec = replace(spec, doc_builder=lambda records: to_docs(records, index=index, suffix=ending))
     if not reinsert:
-        paths = new_files(csv_records(spark, paths), lake, index, frequency, whole_word)
-        if not paths:
-            return {"rows_in": 0, "points_out": 0, "docs_out": 0}
-    records = csv_records(spark, paths, partitions=partitions)
-    suffix = path_suffix(F.col("file_path"), F.col("timestamp"), frequency, whole_word)
-    spec = replace(
-        spec, targets=targets,
-        doc_builder=lambda rows: to_docs(rows, index=index, suffix=suffix),
-    )
-    return load_both(records, lake, now, spec)
+        rows = new_rows(rows, lake, F.array(index_name(index, ending), index_name(NUMERIC_TYPE, ending)))
+    return _load(rows, lake, now, replace(spec, targets=targets))
 
 
-def new_files(
-    records: DataFrame, lake: Lake, index: str, frequency: str, whole_word: bool = True
-) -> list[str]:
-    """Paths of the files whose last record is not among the documents yet.
+def new_rows(rows: DataFrame, lake: Lake, indexes: Column) -> DataFrame:
+    """Rows of the files whose last record is not among the documents yet.
 
-    The last records, one per file, are written to the shared folder, so the archives are read
-    once; their indexes and times then bound what is read of the documents. The driver lists the
-    paths in any case to plan the load, which opens the new files only.
+    A file none of whose times can be read has no last record, so it is new. The last records,
+    one per file, are written to the shared folder; their indexes and times bound what is read of
+    the documents. Which files are loaded stays a table, whatever their number.
     """
-    spark = records.sparkSession
+    spark = rows.sparkSession
     path = new_path(spark, "last-rows")
-    last_row_per_file(records).write.parquet(path)
+    last_row_per_file(rows).write.parquet(path)
     last = spark.read.parquet(path)
-    indexes = csv_indexes(index, frequency, whole_word)
     names = [row[0] for row in last.select(F.explode(indexes)).distinct().toLocalIterator()]
     low, high = first_times(
         last.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")), "low", "high")
     docs = read_docs(
         spark, lake.docs, names, low=low, high=high, latest=False,
         columns=("_index", "@timestamp", "loghost", "logtext"))
-    new = files_to_load(last, docs, indexes)
-    return [_literal_path(row["file_path"]) for row in new.select("file_path").toLocalIterator()]
-
-
-def _literal_path(url: str) -> str:
-    """A path Spark reports, as one it reads back: decoded, with glob characters escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(url))
+    loaded = already_loaded(last, docs, indexes).select("file_path")
+    return rows.join(loaded, "file_path", "left_anti").select(rows.columns)

@@ -7,7 +7,7 @@ datapoints and documents absorb the repetition.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from loglake.operators.accounting import resume
 from loglake.operators.documents import to_docs
-from loglake.operators.points import Filter, Transform, point_shape, to_points
+from loglake.operators.points import Filter, Transform, ordered_shape, to_points
 from loglake.operators.records import finite, in_period, time_literal
 from loglake.sinks.lake import (
-    Lake, first_times, read_progress, write_docs, write_points, write_progress, write_run_log,
+    Lake, first_times, read_progress, write_docs, write_points, write_progress, write_rejects, write_run_log,
 )
 
 BOTH = ("points", "docs")
@@ -43,13 +43,35 @@ class LoadSpec:
 
     targets: tuple[str, ...] = BOTH
     data_filter: Filter = finite
-    data_parser: Transform = point_shape
+    data_parser: Transform = ordered_shape
     doc_builder: Transform = monthly_docs
     points_writer: Callable[[DataFrame, str, datetime], int] = write_points
     docs_writer: Callable[[DataFrame, str, datetime], int] = write_docs
     host: str = ""
 
 
+def points_only(spec: LoadSpec | None) -> LoadSpec:
+    return replace(spec or LoadSpec(), targets=POINTS_ONLY)
+
+
+def collector_of(name: str, spec: LoadSpec) -> str:
+    """Loads into one store keep a progress of their own, so they never hide work left for both."""
+    return name if spec.targets == BOTH else "-".join((*spec.targets, name))
+
+
+def without_nulls(records: DataFrame) -> DataFrame:
+    """Empty text instead of null, as stored keys and partitions need."""
+    return records.na.fill("")
+
+
+def split_untimed(records: DataFrame, reason: str = "no time") -> tuple[DataFrame, DataFrame]:
+    """Records with a time, and the others as rejects: ``reason, record, file_path``."""
+    path = F.col("file_path") if "file_path" in records.columns else F.lit(None).cast("string")
+    rejects = records.where(F.col("timestamp").isNull()).select(
+        F.lit(reason).alias("reason"), F.to_json(F.struct(*records.columns)).alias("record"), path.alias("file_path"))
+    return records.where(F.col("timestamp").isNotNull()), rejects
+
+
 def load_both(
     records: DataFrame, lake: Lake, load_time: datetime, spec: LoadSpec = LoadSpec(),
     persist: bool = False,
@@ -59,8 +81,9 @@ def load_both(
     ``persist`` keeps the records between the two writes. It suits bounded batches and sources
     that are slow to read twice; a columnar table is cheaper to scan again, since each write
     reads only the columns it needs. Every record makes a document, so ``rows_in`` is known only
-    when documents are written.
+    when documents are written. Null text is stored as empty.
     """
+    records = without_nulls(records)
     if persist:
         records = records.persist(StorageLevel.MEMORY_AND_DISK)
     counts = {"rows_in": None, "points_out": 0, "docs_out": 0}
@@ -80,9 +103,12 @@ def load_both(
 def load_window(
     records: DataFrame, lake: Lake, collector: str, past: datetime, present: datetime,
     piglet: datetime, now: datetime, spec: LoadSpec = LoadSpec(), persist: bool = False,
+    rejects: DataFrame | None = None,
 ) -> Counts:
     """Load the records of one window, then record progress and the run.
 
+    ``rejects`` (``reason, record, file_path``) go to the lake's rejects and are counted.
+
     A load that fails leaves a run record that says so, records no progress, and raises.
     """
     spark = records.sparkSession
@@ -91,6 +117,7 @@ def load_window(
         "timestamp": now.strftime("%Y-%m-%dT%H:%M:%S.") + f"{now.microsecond // 1000:03d}Z",
     }
     try:
+        rejected = 0 if rejects is None else write_rejects(rejects, lake.rejects, now)
         counts = load_both(records, lake, now, spec, persist)
     except Exception as error:
         write_run_log(spark, lake.run_log, {
@@ -101,13 +128,14 @@ def load_window(
     write_progress(spark, lake.progress, collector, past, present, piglet, now)
     write_run_log(spark, lake.run_log, {
         **run, "level": "INFO", "ok": True, "message": f"inserted period {past} - {present}", **counts,
+        "rejected": rejected,
     })
-    return counts
+    return counts if rejects is None else {**counts, "rejected": rejected}
 
 
 def load_period(
     records: DataFrame, low: datetime, high: datetime, lake: Lake, now: datetime,
-    collector: str = "period", spec: LoadSpec = LoadSpec(), persist: bool = False,
+    collector: str | None = None, spec: LoadSpec = LoadSpec(), persist: bool = False,
     include_low: bool = True,
 ) -> Counts:
     """Load everything between two times, both inclusive; reversed bounds are put in order.
@@ -116,27 +144,29 @@ def load_period(
     """
     low, high = min(low, high), max(low, high)
     window = in_period(records, low, high, include_low=include_low)
-    return load_window(window, lake, collector, low, high, high, now, spec, persist)
+    return load_window(window, lake, collector or collector_of("period", spec), low, high, high, now, spec, persist)
 
 
 def load_points_period(
-    records: DataFrame, low: datetime, high: datetime, lake: Lake, now: datetime, **options
+    records: DataFrame, low: datetime, high: datetime, lake: Lake, now: datetime,
+    spec: LoadSpec | None = None, **options
 ) -> Counts:
     """``load_period`` into the time series only."""
-    return load_period(records, low, high, lake, now, spec=LoadSpec(targets=POINTS_ONLY), **options)
+    return load_period(records, low, high, lake, now, spec=points_only(spec), **options)
 
 
 def load_backwards(
     records: DataFrame, stop: datetime, lake: Lake, now: datetime, start: datetime | None = None,
-    step: timedelta | None = timedelta(days=1), collector: str = "backwards",
+    step: timedelta | None = timedelta(days=30), collector: str | None = None,
     spec: LoadSpec = LoadSpec(), persist: bool = False,
 ) -> list[Counts]:
     """Load ``[stop, start)`` newest first.
 
     Starts from the earliest progress, else ``now``, unless ``start`` is given. Each ``step`` is
     one distributed job with its own progress row, so a broken run goes on where it stopped;
-    without a step everything is one job.
+    without a step everything is one job. Each target has a progress of its own.
     """
+    collector = collector or collector_of("backwards", spec)
     if start is None:
         progress = read_progress(records.sparkSession, lake.progress)
         (start,) = first_times(resume(progress, now, "backwards", collector), "start")
@@ -149,21 +179,25 @@ def load_backwards(
     return done
 
 
-def load_points_backwards(records: DataFrame, stop: datetime, lake: Lake, now: datetime, **options):
+def load_points_backwards(
+    records: DataFrame, stop: datetime, lake: Lake, now: datetime, spec: LoadSpec | None = None, **options
+) -> list[Counts]:
     """``load_backwards`` into the time series only."""
-    return load_backwards(records, stop, lake, now, spec=LoadSpec(targets=POINTS_ONLY), **options)
+    return load_backwards(records, stop, lake, now, spec=points_only(spec), **options)
 
 
 def load_increment(
-    records: DataFrame, lake: Lake, now: datetime, delay_s: int = 100, collector: str = "present",
+    records: DataFrame, lake: Lake, now: datetime, delay_s: int = 100, collector: str | None = None,
     spec: LoadSpec = LoadSpec(), persist: bool = False, catch_up_s: int | None = None,
 ) -> Counts | None:
     """Load what arrived since the last progress, up to ``delay_s`` behind ``now``.
 
     ``catch_up_s`` bounds the window when progress is far behind. The window excludes its lower
     end, which the window before has loaded. Returns None, and records nothing, if no time has
-    passed or no row arrived: the next call then looks at a wider window.
+    passed or no row arrived: the next call then looks at a wider window. ``persist`` makes both
+    stores see the same rows of a source that changes.
     """
+    collector = collector or collector_of("present", spec)
     progress = read_progress(records.sparkSession, lake.progress)
     (past,) = first_times(resume(progress, now, "present", collector), "start")
     present = now - timedelta(seconds=delay_s)

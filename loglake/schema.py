@@ -54,13 +54,15 @@ PROGRESS = _struct(
 RUN_LOG = _struct(
     ("collector", TEXT), ("host", TEXT), ("level", TEXT), ("message", TEXT), ("past", TIME),
     ("present", TIME), ("rows_in", LONG), ("points_out", LONG), ("docs_out", LONG),
-    ("ok", T.BooleanType()), ("timestamp", TEXT),
+    ("ok", T.BooleanType()), ("timestamp", TEXT), ("rejected", LONG),
 )
 
+REJECT = _struct(("reason", TEXT), ("record", TEXT), ("file_path", TEXT), ("load_time", TIME))
+
 # Document types, and the length up to which a text field keeps an exact-match
 # copy. Fields not listed for a type fall back to "default".
 NUMERIC_TYPE = "opslog"
-DOC_TYPES = ("opslog", "fevt", "log", "flog", "err", "fpar")
+UNTYPED = "untyped"
 KEYWORD_LIMITS = {
     "envname": {"default": 20},
     "errlocation": {"default": 20},

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,18 +25,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, from ``spark.checkpoint.dir``.
-
-    Only a local master may go without the setting; it then gets a fresh temporary folder.
-    """
+    """The cluster's shared folder, from ``spark.checkpoint.dir``; without the setting, an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="loglake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -21,16 +21,19 @@ def points_payload(points: DataFrame, batch_size: int = DEFAULT_BATCH) -> DataFr
     and a task never holds more than a batch.
     """
 
+    def payload(held: list[str]) -> pd.DataFrame:
+        return pd.DataFrame({"n": [len(held)], "value": ["[" + ",".join(held) + "]"]})
+
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[str] = []
         for frame in frames:
-            for text in frame["value"]:
-                held.append(text)
-                if len(held) == batch_size:
-                    yield pd.DataFrame({"n": [len(held)], "value": ["[" + ",".join(held) + "]"]})
-                    held = []
+            held += frame["value"].tolist()
+            whole = len(held) // batch_size * batch_size
+            for start in range(0, whole, batch_size):
+                yield payload(held[start:start + batch_size])
+            held = held[whole:]
         if held:
-            yield pd.DataFrame({"n": [len(held)], "value": ["[" + ",".join(held) + "]"]})
+            yield payload(held)
 
     texts = points.select(F.to_json(F.struct("name", "timestamp", "value", "tags")).alias("value"))
     return texts.mapInPandas(join, "n bigint, value string")

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loglake.operators.documents import DOC_KEY, upsert_docs
+from loglake.functions.times import DAY_MS, utc_day
 from loglake.operators.points import (
-    POINT_COLUMNS, delete_condition, in_absolute_range, upsert_points,
+    ORDER, POINT_COLUMNS, delete_condition, in_absolute_range, upsert_points,
 )
-from loglake.schema import DOC, POINT, PROGRESS, RUN_LOG
+from loglake.schema import DOC, POINT, PROGRESS, REJECT, RUN_LOG
+from loglake.session import new_path
 
-DAY_MS = 86_400_000
 LOAD_TIME = T.StructField("load_time", T.TimestampType())
 STORED_POINT = T.StructType([
-    *POINT.fields, LOAD_TIME, T.StructField("day", T.DateType()),
+    *POINT.fields, T.StructField(ORDER, T.LongType()), LOAD_TIME, T.StructField("day", T.DateType()),
 ])
 STORED_DOC = T.StructType([*DOC.fields, LOAD_TIME])
 
@@ -51,6 +52,10 @@ class Lake:
     def run_log(self) -> str:
         return f"{self.root}/run_log"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
 
 def _text(value: datetime | str | None) -> str | None:
     """A time as text, which Spark reads in the session zone whatever zone Python is in."""
@@ -108,20 +113,21 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 # --- datapoints ----------------------------------------------------------------------------
 
 def _with_day(points: DataFrame) -> DataFrame:
-    return points.withColumn("day", F.to_date(F.timestamp_millis("timestamp")))
+    return points.withColumn("day", utc_day(F.col("timestamp")))
 
 
 def write_points(
     points: DataFrame, path: str, load_time: datetime | str, rebalance: bool = True
 ) -> int:
-    """Append datapoints by day."""
-    stored = _with_day(points.select(*POINT_COLUMNS).withColumn("load_time", moment(load_time)))
+    """Append datapoints by day (UTC). Points without ``order_us`` are ordered by their time."""
+    order = F.col(ORDER) if ORDER in points.columns else F.col("timestamp") * F.lit(1000).cast("long")
+    stored = _with_day(points.select(*POINT_COLUMNS, order.alias(ORDER)).withColumn("load_time", moment(load_time)))
     return _store(stored, path, ("day",), ("name", "timestamp"), rebalance=rebalance)
 
 
 def _stored_points(spark: SparkSession, path: str) -> DataFrame:
-    """All stored copies. A day emptied by a delete holds one row without a name."""
-    return _read(spark, path, STORED_POINT).where(F.col("name").isNotNull())
+    """All stored copies. A rewritten day holds one row without a load time, which is no datapoint."""
+    return _read(spark, path, STORED_POINT).where(F.col("load_time").isNotNull())
 
 
 def read_points(
@@ -148,15 +154,26 @@ def _day_of(ms: int) -> date:
     return date(1970, 1, 1) + timedelta(days=ms // DAY_MS)
 
 
-def compact_points(spark: SparkSession, path: str, days: Iterable[date] | None = None) -> None:
-    """Fold the copies of each datapoint into one, in the given days or all.
+def _rewrite(rows: DataFrame, path: str, partitions: tuple[str, ...], order: tuple[str, ...]) -> None:
+    """Replace the partitions that ``rows`` fall into.
+
+    The new contents are written to the shared folder first and the partitions overwritten from
+    there, so what is being replaced is never the only copy: a rewrite that dies in between leaves
+    the whole of them under ``spark.checkpoint.dir``, and running it again from there completes it.
+    """
+    spark = rows.sparkSession
+    staged = new_path(spark, "rewrite")
+    rows.write.parquet(staged)
+    _store(spark.read.schema(rows.schema).parquet(staged), path, partitions, order, mode="overwrite")
+
+
+def compact_points(spark: SparkSession, path: str, days: Iterable[date]) -> None:
+    """Fold the copies of each datapoint of the given days into one.
 
     Like every rewrite, run it on days no load is writing to.
     """
-    stored = _stored_points(spark, path)
-    if days is not None:
-        stored = stored.where(F.col("day").isin(list(days)))
-    _store(_with_day(upsert_points(stored)), path, ("day",), ("name", "timestamp"), mode="overwrite")
+    stored = _stored_points(spark, path).where(F.col("day").isin(list(days)))
+    _rewrite(_with_day(upsert_points(stored)), path, ("day",), ("name", "timestamp"))
 
 
 def delete_stored_points(
@@ -166,7 +183,7 @@ def delete_stored_points(
     """Remove datapoints for good by rewriting the days that hold any of them.
 
     Overwriting by partition leaves a partition alone that gets no rows, so each rewritten day
-    also gets one row without a name, which every reader here skips.
+    also gets one row without a load time, which every reader here skips.
     """
     stored = _stored_points(spark, path)
     if start_ms is not None:
@@ -182,10 +199,7 @@ def delete_stored_points(
     markers = spark.createDataFrame([(day,) for day in days], "day date").select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in STORED_POINT.fields[:-1]], "day"
     )
-    _store(
-        remaining.select(STORED_POINT.names).union(markers), path, ("day",), ("name", "timestamp"),
-        mode="overwrite",
-    )
+    _rewrite(remaining.select(STORED_POINT.names).union(markers), path, ("day",), ("name", "timestamp"))
 
 
 # --- documents -----------------------------------------------------------------------------
@@ -228,17 +242,28 @@ def read_docs(
     return docs.drop("load_time") if columns is None else docs.select(*columns)
 
 
-def compact_docs(
-    spark: SparkSession, path: str, index: str | Iterable[str] | None = None
-) -> None:
-    """Fold the copies of each document into one, in the given indexes or all.
+def compact_docs(spark: SparkSession, path: str, index: str | Iterable[str]) -> None:
+    """Fold the copies of each document of the given indexes into one.
 
     Like every rewrite, run it on indexes no load is writing to.
     """
-    docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names)
-    if index is not None:
-        docs = docs.where(F.col("_index").isin([index] if isinstance(index, str) else list(index)))
-    _store(upsert_docs(docs), path, ("_index", "_type"), ("@timestamp",), mode="overwrite")
+    docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names).where(
+        F.col("_index").isin([index] if isinstance(index, str) else list(index)))
+    _rewrite(upsert_docs(docs), path, ("_index", "_type"), ("@timestamp",))
+
+
+# --- rejects -------------------------------------------------------------------------------
+
+def write_rejects(rows: DataFrame, path: str, load_time: datetime | str) -> int:
+    """Append what a load could not store, as text, with the reason; returns the number of rows."""
+    written = Observation()
+    stored = rows.select("reason", "record", "file_path", moment(load_time).alias("load_time"))
+    stored.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return written.get["n"]
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, path, REJECT).select(REJECT.names)
 
 
 # --- control tables ------------------------------------------------------------------------
@@ -267,9 +292,9 @@ def compact_control(spark: SparkSession, lake: Lake) -> None:
         F.max_by(fields, F.when(F.col("past").isNull(), F.col("written_at"))).alias("reset"),
     )
     folded = ends.select("collector", F.explode(F.array_distinct(F.array("first", "last", "reset"))).alias("r"))
-    _store(folded.where(F.col("r").isNotNull()).select("collector", "r.*"), lake.progress,
-           ("collector",), ("collector_piglet",), mode="overwrite")
-    _store(read_run_log(spark, lake.run_log), lake.run_log, ("collector",), ("timestamp",), mode="overwrite")
+    _rewrite(folded.where(F.col("r").isNotNull()).select("collector", "r.*"), lake.progress,
+             ("collector",), ("collector_piglet",))
+    _rewrite(read_run_log(spark, lake.run_log), lake.run_log, ("collector",), ("timestamp",))
 
 
 def write_progress(

@@ -14,6 +14,7 @@ from loglake.schema import CSV_TO_ALOG, OPS_CSV
 ENCODING = "ISO-8859-1"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SLIM_COLUMNS = tuple(OPS_CSV.names[:10])
+MALFORMED = "_malformed"
 
 
 def read_ops_csv(
@@ -25,12 +26,14 @@ def read_ops_csv(
     multi_line: bool = True,
     recursive: bool = False,
     name_pattern: str | None = None,
+    malformed: bool = False,
 ) -> DataFrame:
     """CSV files, globs or directories as one DataFrame with a ``file_path`` column.
 
     A gzip file is always one task, so ``partitions`` spreads the rows before heavy work.
     ``multi_line`` lets quoted log text hold line breaks; turn it off for uncompressed files
-    without any, which Spark can then split.
+    without any, which Spark can then split. ``malformed`` adds ``_malformed``: the text of a row
+    with cells missing or unreadable, null for all others.
     """
     options = {
         "encoding": ENCODING,
@@ -42,16 +45,23 @@ def read_ops_csv(
     }
     if name_pattern is not None:
         options["pathGlobFilter"] = name_pattern
+    kept = list(columns or schema.names)
+    if malformed:
+        # A row is judged by all its cells, so none may be left out of the parse.
+        options |= {"columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+        schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+        kept.append(MALFORMED)
     rows = spark.read.schema(schema).options(**options).csv(
         paths if isinstance(paths, str) else list(paths)
     )
-    rows = rows.select(*(columns or schema.names), F.col("_metadata.file_path").alias("file_path"))
+    rows = rows.select(*kept, F.col("_metadata.file_path").alias("file_path"))
     return rows if partitions is None else rows.repartition(partitions)
 
 
 def normalise_csv(rows: DataFrame) -> DataFrame:
-    """CSV names to database names; empty text instead of null."""
-    return rows.withColumnsRenamed(CSV_TO_ALOG).na.fill("")
+    """CSV names to database names; empty text instead of null, but for ``_malformed``."""
+    named = rows.withColumnsRenamed(CSV_TO_ALOG)
+    return named.na.fill("", [c for c in named.columns if c != MALFORMED])
 
 
 def list_files(
@@ -63,5 +73,5 @@ def list_files(
     if name_pattern is not None:
         reader = reader.option("pathGlobFilter", name_pattern)
     return reader.load(paths if isinstance(paths, str) else list(paths)).select(
-        F.col("path").alias("file_path"), F.col("length").alias("file_size")
+        F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size")
     )

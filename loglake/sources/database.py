@@ -20,13 +20,15 @@ def jdbc_options(
     time_column: str = "timestamp",
     **extra: str,
 ) -> dict[str, str]:
-    """Options of a JDBC read of the log table, split into time slices when bounds are given.
+    """Options of a JDBC read of the log table, split into ``partitions`` time slices between two bounds.
 
     A free query cannot be sliced, so it becomes the sub-select of ``dbtable`` in that case.
     The bounds only set the slices; rows outside them are still read, so filter as well.
     """
     options = {"url": url, "fetchsize": str(fetchsize), **extra}
-    sliced = partitions is not None and lower is not None and upper is not None
+    sliced = partitions is not None
+    if sliced and (lower is None or upper is None):
+        raise ValueError("partitions need both bounds: without them one task would read the whole table")
     if query is not None and not sliced:
         options["query"] = query
     else:

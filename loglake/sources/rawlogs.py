@@ -34,18 +34,25 @@ def read_raw_logs(spark: SparkSession, paths: str | Sequence[str], recursive: bo
 def read_ws_table(
     spark: SparkSession,
     paths: str | Sequence[str],
-    columns: Sequence[int] = tuple(range(WHITESPACE_COLUMNS)),
+    columns: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Whitespace-delimited latin-1 lines as columns ``0``..``21``; short rows end in nulls."""
+    """Whitespace-delimited latin-1 lines as columns ``0``..``21`` and ``rest``, the words after those.
+
+    Short rows end in nulls and an empty ``rest``. Chosen ``columns`` come without a ``rest``.
+    """
     text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     cells = split_spaces(text)
     lines = read_raw_logs(spark, paths).where(F.trim("value") != "")
-    return lines.select(*[F.get(cells, F.lit(i)).alias(str(i)) for i in columns])
+    chosen = range(WHITESPACE_COLUMNS) if columns is None else columns
+    rest = [] if columns is not None else [
+        F.slice(cells, WHITESPACE_COLUMNS + 1, F.greatest(F.size(cells) - WHITESPACE_COLUMNS, F.lit(0))).alias("rest")]
+    return lines.select(*[F.get(cells, F.lit(i)).alias(str(i)) for i in chosen], *rest)
 
 
 def env_from_cells(cells: DataFrame) -> Column:
     """Bracketed text in the last filled cell of a ``read_ws_table`` row; '' if there is none."""
-    filled = F.array_compact(F.array(*[F.col(f"`{c}`") for c in cells.columns]))
+    single = F.array(*[F.col(f"`{c}`") for c in cells.columns if c != "rest"])
+    filled = F.array_compact(F.concat(single, F.col("rest")) if "rest" in cells.columns else single)
     last = F.try_element_at(filled, F.lit(-1))
     return F.coalesce(F.regexp_substr(last, F.lit(r"(?<=\[)[^\]]*(?=\])")), F.lit(""))
 

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglake.operators.documents import doc_id
-from loglake.plans.load import POINTS_ONLY, LoadSpec, load_increment, load_window
-from loglake.sinks.lake import Lake, first_times
+from loglake.plans.load import (
+    LoadSpec, collector_of, load_increment, load_window, points_only, split_untimed,
+)
+from loglake.sinks.lake import Lake, first_times, write_rejects
 
 Clock = Callable[[], datetime]
 
@@ -52,22 +54,28 @@ def windowed_counts(stream: DataFrame, step: str = "100 seconds", delay: str = "
 
 def load_present(
     stream: DataFrame, lake: Lake, checkpoint: str, spec: LoadSpec = LoadSpec(),
-    collector: str = "present", clock: Clock = utc_now, every: str | None = "10 seconds",
+    collector: str | None = None, clock: Clock = utc_now, every: str | None = "10 seconds",
 ) -> StreamingQuery:
     """Start loading a stream of records; ``every=None`` loads what is there and ends.
 
     Offsets live in the checkpoint, so a restart goes on where it stopped. A micro-batch may be
     repeated after a failure; keyed tables make that harmless. Its size is the source's to
-    bound (``maxFilesPerTrigger`` and the like), which also paces the catch-up.
+    bound (``maxFilesPerTrigger`` and the like), which also paces the catch-up. Records without
+    a time go to the lake's rejects, however they fall into batches.
     """
+    collector = collector or collector_of("present", spec)
 
     def load(batch: DataFrame, _: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bounds = batch.agg(F.min("timestamp").alias("past"), F.max("timestamp").alias("present"))
             past, last = first_times(bounds, "past", "present")
+            timed, rejects = split_untimed(batch)
+            now = clock()
             if last is not None:
-                load_window(batch, lake, collector, past, last, last, clock(), spec)
+                load_window(timed, lake, collector, past, last, last, now, spec, rejects=rejects)
+            elif not batch.isEmpty():
+                write_rejects(rejects, lake.rejects, now)
         finally:
             batch.unpersist()
 
@@ -77,21 +85,24 @@ def load_present(
     return writer.start()
 
 
-def load_points_present(stream: DataFrame, lake: Lake, checkpoint: str, **options) -> StreamingQuery:
+def load_points_present(
+    stream: DataFrame, lake: Lake, checkpoint: str, spec: LoadSpec | None = None, **options
+) -> StreamingQuery:
     """``load_present`` into the time series only."""
-    return load_present(stream, lake, checkpoint, spec=LoadSpec(targets=POINTS_ONLY), **options)
+    return load_present(stream, lake, checkpoint, spec=points_only(spec), **options)
 
 
 def poll_present(
     spark: SparkSession, read_records: Callable[[], DataFrame], lake: Lake, checkpoint: str,
     delay_s: int = 100, every: str = "10 seconds", spec: LoadSpec = LoadSpec(),
-    collector: str = "present", clock: Clock = utc_now, catch_up_s: int | None = None,
-    persist: bool = False,
+    collector: str | None = None, clock: Clock = utc_now, catch_up_s: int | None = None,
+    persist: bool = True,
 ) -> StreamingQuery:
     """Follow a table that is not a stream, such as the log table behind JDBC.
 
     A clock stream fires the windows; the rows of each are read by the executors through
-    ``read_records``, with the time bounds pushed to the table.
+    ``read_records``, with the time bounds pushed to the table. They are kept between the two
+    writes, so a row that arrives meanwhile is in both stores or, with the next window, in neither.
     """
 
     def load(_: DataFrame, __: int) -> None:

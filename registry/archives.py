@@ -14,11 +14,12 @@ from loglake.plans import archives as plans
 from loglake.schema import CSV_TO_ALOG, OPS_CSV
 from loglake.session import new_path
 from loglake.sinks.exports import write_ops_csv
-from loglake.sinks.lake import Lake, read_docs, read_points
+from loglake.sinks.lake import Lake, read_docs, read_points, read_rejects
 from loglake.sources import archives as sources
 from registry.base import (
     FOLDED_POINTS, NOW, POINTS, SECONDS, TIME_TEXT, alog_seconds, docs_sql, query, table, written_once,
 )
+from registry.continuous import STORES, _stores
 
 CSV_FIELDS = f"""typelog, {TIME_TEXT.format('timestamp')} as tm, loghost, env, procname, procid, module,
     keywname as keyw, keywvalue as keyv, logtext, errstack, errstackidx, errlocation, errseverity"""
@@ -107,10 +108,19 @@ def _(spark, sf_dir):
     return to_docs(plans.csv_records(spark, _files_of(spark, sf_dir, "*")))
 
 
-# Sizes are those of the files this run has written, so there is no SQL for them.
-@query("file_progress")
+# The sizes are those of the files this run has written; SQL can say how many there are and what holds.
+@query("file_progress", f"""
+    with {SECONDS} select strftime(timestamp, '%Y-%m-%d') as day, cast(1 as bigint) as files, true as summed
+    from alog group by 1""")
 def _(spark, sf_dir):
-    return accounting.file_progress(sources.list_files(spark, _files_of(spark, sf_dir, "*")))
+    listed = sources.list_files(spark, _files_of(spark, sf_dir, "*"))
+    progress = accounting.file_progress(listed)
+    before = listed.alias("b").join(progress.alias("p"), F.col("b.file_path") <= F.col("p.file_path")).groupBy(
+        "p.file_path", "p.done_bytes", "p.total_bytes").agg(F.sum("b.file_size").alias("sum"))
+    whole = listed.agg(F.sum("file_size")).scalar()
+    day = F.regexp_extract("file_path", "date=([0-9-]+)", 1)
+    holds = (F.col("sum") == F.col("done_bytes")) & (F.col("total_bytes") == whole)
+    return before.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("files"), F.bool_and(holds).alias("summed"))
 
 
 # Without the names of the files this run has written: one file per day.
@@ -184,12 +194,63 @@ def _(spark, sf_dir):
 
 
 @query("load_csv_both", f"""
-    with {SECONDS}, {POINTS}, {FOLDED_POINTS}, {docs_sql(suffix=MONTH)}
-    select 'points' as store, count(*) as n from folded union all select _type, count(*) from docs group by 1""")
+    with {SECONDS}, {POINTS}, {FOLDED_POINTS}, {docs_sql(suffix=MONTH)} {STORES}""")
 def _(spark, sf_dir):
     lake = Lake(new_path(spark, "lake"))
     for _ in range(2):
         plans.load_csv_both(spark, _files_of(spark, sf_dir, "*"), lake, NOW, reinsert=True)
-    docs = read_docs(spark, lake.docs, columns=["_type"]).groupBy(F.col("_type").alias("store")).count()
-    points = read_points(spark, lake.points).agg(F.lit("points").alias("store"), F.count(F.lit(1)).alias("count"))
-    return points.unionByName(docs).withColumnRenamed("count", "n")
+    return _stores(spark, lake)
+
+
+# An ending of the caller's own, whatever the dates.
+@query("load_csv_docs_suffix", f"with {SECONDS}, {docs_sql(suffix=repr('batch7'))} select * from docs")
+def _(spark, sf_dir):
+    lake = Lake(new_path(spark, "lake"))
+    for _ in range(2):
+        plans.load_csv_docs(spark, _files_of(spark, sf_dir, "*"), lake, NOW, suffix="batch7")
+    return read_docs(spark, lake.docs, latest=False)
+
+
+# --- rows and files that cannot be read -------------------------------------------------------
+
+BROKEN = "id % 10 = 3"
+
+
+def _broken(spark, sf_dir):
+    """Archive lines of which each tenth has a time that does not parse."""
+
+    def write(path):
+        rows = alog_seconds(spark, sf_dir).withColumn("bad", F.expr(BROKEN))
+        good = _csv_shape(rows.where(~F.col("bad")))
+        write_ops_csv(good, f"{path}/good")
+        rows.where("bad").select(F.concat(F.lit("FPAR,not a time,"), F.col("id").cast("string")).alias("value")).write.option(
+            "compression", "gzip").text(f"{path}/bad")
+
+    return [f"{written_once(spark, sf_dir, 'broken', write)}/{part}" for part in ("good", "bad")]
+
+
+@query("csv_rejects", f"""
+    with {SECONDS} select 'FPAR,not a time,' || cast(id as varchar) as record, 'malformed' as reason from alog where {BROKEN}
+    union all select 'stored', cast(count(*) as varchar) from alog where not ({BROKEN})""")
+def _(spark, sf_dir):
+    lake = Lake(new_path(spark, "lake"))
+    counts = plans.load_csv_docs(spark, _broken(spark, sf_dir), lake, NOW, multi_line=False)
+    stored = read_docs(spark, lake.docs).agg(F.lit("stored").alias("record"), F.count(F.lit(1)).cast("string").alias("reason"))
+    rejects = read_rejects(spark, lake.rejects).select("record", "reason")
+    if counts["rejected"] + counts["docs_out"] != rejects.count() + read_docs(spark, lake.docs).count():
+        raise ValueError(f"rows went missing: {counts}")
+    return rejects.unionByName(stored)
+
+
+# The files without one readable time are among those to load.
+@query("files_to_load_unreadable", f"""
+    with {SECONDS} select 'bad' as part, count(*) > 0 as listed from alog where {BROKEN}
+    union all select 'good', false where (select count(*) from alog) > 0""")
+def _(spark, sf_dir):
+    paths = _broken(spark, sf_dir)
+    records = plans.csv_records(spark, paths, multi_line=False)
+    last = files.last_row_per_file(records)
+    new = files.files_to_load(last, to_docs(records), files=sources.list_files(spark, [f"{p}/*.gz" for p in paths]))
+    part = F.regexp_extract("file_path", "/(good|bad)/", 1)
+    names = spark.range(2).select(F.when(F.col("id") == 0, "good").otherwise("bad").alias("part"))
+    return names.join(new.select(part.alias("part"), F.lit(True).alias("listed")).distinct(), "part", "left").na.fill(False)

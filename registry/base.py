@@ -72,21 +72,23 @@ POINT_FIELDS = (
     f"procname as proc, env, loghost, {TEXT_TAG} as logtext"
 )
 POINTS = f"points as (select {POINT_FIELDS} from alog where {FINITE})"
-FOLDED_POINTS = (
-    "folded as (select name, timestamp, max(value) as value, proc, env, loghost, logtext "
-    "from points group by all)"
-)
+# Of one second the last record stays.
+FOLDED_POINTS = f"""folded as (select {NAME} as name, {EPOCH_MS} as timestamp,
+    arg_max(try_cast(keywvalue as double), (timestamp, try_cast(keywvalue as double))) as value,
+    procname as proc, env, loghost, {TEXT_TAG} as logtext from alog where {FINITE}
+    group by {NAME}, {EPOCH_MS}, procname, env, loghost, {TEXT_TAG})"""
 DOC_NUM = f"case when lower(typelog) = 'fpar' and isfinite(try_cast(keywvalue as double)) then try_cast(keywvalue as double) end"
 
 
 def docs_sql(index: str = "logs", suffix: str = "''", source: str = "alog") -> str:
-    """Documents CTE; the number column leaves out NaN, which hashes differently per engine."""
+    """Documents CTE. NaN, which hashes differently per engine, has a column of its own."""
     base = f"case when {DOC_TYPE} = 'opslog' then 'opslog' else '{index}' end"
     return f"""docs as (select
         case when {suffix} = '' then {base} else concat({base}, '-', {suffix}) end as _index,
         {DOC_TYPE} as _type, {DOC_ID} as _id, {TIME_TEXT.format('timestamp')} as "@timestamp",
         loghost, env as envname, procname, procid, module, keywname, keywvalue,
-        {DOC_NUM} as keywvalue_num, logtext, errstack, errstackidx, errlocation, errseverity
+        {DOC_NUM} as keywvalue_num,
+        coalesce({DOC_TYPE} = 'opslog' and isnan(try_cast(keywvalue as double)), false) as keywvalue_nan, logtext, errstack, errstackidx, errlocation, errseverity
         from {source})"""
 
 
@@ -119,6 +121,7 @@ def plain(df: DataFrame) -> DataFrame:
             columns.extend(c.getItem(key).alias(key) for key in TAG_KEYS)
         elif field.name == "keywvalue_num":
             columns.append(F.when(~F.isnan(c), c).alias(field.name))
+            columns.append(F.coalesce(F.isnan(c), F.lit(False)).alias("keywvalue_nan"))
         else:
             columns.append(c)
     return df.select(*columns)
@@ -144,6 +147,11 @@ def alog_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WRITTEN: dict[tuple, str] = {}
 
 
+def forget_written() -> None:
+    """Have the next queries write their tables again, so that a timing includes the writes."""
+    _WRITTEN.clear()
+
+
 def written_once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
     """Path of a table derived from the given ones, written by the first query that needs it."""
     key = (spark.sparkContext.applicationId, sf_dir, label)

@@ -7,12 +7,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from loglake.operators import accounting
+from loglake.operators.records import finite
 from loglake.plans import load
 from loglake.session import new_path
 from loglake.sinks import lake as tables
+from loglake.schema import TAG_KEYS
 from loglake.streaming import present
 from registry.base import (
-    ALOG, DOCS, EPOCH_MS, FINITE, FOLDED_POINTS, NOW, POINTS, TIME_TEXT, alog, alog_of, docs_sql, query, table,
+    ALOG, EPOCH_MS, FINITE, FOLDED_POINTS, NOW, POINTS, TIME_TEXT, alog, alog_of, docs_sql, query, table,
     written_once,
 )
 
@@ -21,17 +23,30 @@ POINT_LIST = "name, timestamp, value, proc, env, loghost, logtext"
 LOW, HIGH = datetime(2024, 1, 5), datetime(2024, 1, 12)
 PERIOD = f"alog as (select * from alog0 where timestamp between '{LOW}' and '{HIGH}')"
 ALOG0 = ALOG.replace("alog as", "alog0 as", 1)
-STORES = """select 'points' as store, count(*) as n from folded
-    union all select _type, count(*) from (select distinct _id, _type from docs) group by 1"""
+# Every row of both stores as text, so that contents are compared and not counts.
+POINT_ROW = ("name", "timestamp", "value", "proc", "env", "loghost", "logtext")
+DOC_ROW = ("_index", "_id", "loghost", "envname", "procname", "procid", "module", "keywname", "keywvalue", "logtext",
+           "errstack", "errstackidx", "errlocation", "errseverity")
+
+
+def _sql_text(names):
+    cells = [f"cast(cast({n} as decimal(18, 4)) as varchar)" if n == "value" else f"cast({n} as varchar)" for n in names]
+    return f"concat_ws('|', {', '.join(cells)})"
+
+
+STORES = f"""select 'points' as store, {_sql_text(POINT_ROW)} as stored_row from folded
+    union all select distinct _type, {_sql_text(DOC_ROW)} from docs"""
 FIRST_DAY = datetime(2024, 1, 1)
 
 
 def _stores(spark, lake):
-    """How much each store holds: points, and documents by type."""
-    docs = tables.read_docs(spark, lake.docs, columns=["_type"]).groupBy(F.col("_type").alias("store")).agg(
-        F.count(F.lit(1)).alias("n"))
-    points = tables.read_points(spark, lake.points).agg(
-        F.lit("points").alias("store"), F.count(F.lit(1)).alias("n"))
+    """What each store holds: points, and documents by type."""
+    tag = lambda n: F.col("tags").getItem(n) if n in TAG_KEYS else F.col(n)
+    text = lambda c, n: c.cast("decimal(18,4)").cast("string") if n == "value" else c.cast("string")
+    docs = tables.read_docs(spark, lake.docs).select(
+        F.col("_type").alias("store"), F.concat_ws("|", *[text(F.col(n), n) for n in DOC_ROW]).alias("stored_row"))
+    points = tables.read_points(spark, lake.points).select(
+        F.lit("points").alias("store"), F.concat_ws("|", *[text(tag(n), n) for n in POINT_ROW]).alias("stored_row"))
     return points.unionByName(docs)
 
 
@@ -39,7 +54,7 @@ def _new_lake(spark):
     return tables.Lake(new_path(spark, "lake"))
 
 
-@query("load_both", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {DOCS} {STORES}")
+@query("load_both", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}")
 def _(spark, sf_dir):
     lake = _new_lake(spark)
     load.load_both(alog(spark, sf_dir), lake, NOW, persist=True)
@@ -61,7 +76,7 @@ def _(spark, sf_dir):
 
 
 # (a, c] is (a, b] and (b, c], with the second load repeated.
-@query("boundary_windows", f"with {ALOG0}, {PERIOD}, {POINTS}, {FOLDED_POINTS}, {DOCS} {STORES}")
+@query("boundary_windows", f"with {ALOG0}, {PERIOD}, {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}")
 def _(spark, sf_dir):
     lake, records, middle = _new_lake(spark), alog(spark, sf_dir), datetime(2024, 1, 9)
     load.load_period(records, LOW, middle, lake, NOW)
@@ -71,7 +86,7 @@ def _(spark, sf_dir):
 
 
 # Two runs by steps of ten days: the second goes on where the first stopped.
-@query("load_backwards", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {DOCS} {STORES}")
+@query("load_backwards", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}")
 def _(spark, sf_dir):
     lake, records = _new_lake(spark), alog(spark, sf_dir)
     for stop in (datetime(2024, 1, 20), FIRST_DAY):
@@ -79,6 +94,39 @@ def _(spark, sf_dir):
     return _stores(spark, lake)
 
 
+# Points first: the later load of both stores still has everything to do.
+@query("points_then_docs_backwards", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}")
+def _(spark, sf_dir):
+    lake, records = _new_lake(spark), alog(spark, sf_dir)
+    load.load_points_backwards(records, FIRST_DAY, lake, NOW, step=None)
+    load.load_backwards(records, FIRST_DAY, lake, NOW, step=None)
+    return _stores(spark, lake)
+
+
+# A filter of the caller's own in a load of points only.
+@query("load_points_period_custom", f"""
+    with {ALOG0}, alog as (select * from alog0 where timestamp between '{LOW}' and '{HIGH}' and keywname like '%3'),
+    {FOLDED_POINTS} select {POINT_LIST} from folded""")
+def _(spark, sf_dir):
+    lake = _new_lake(spark)
+    spec = load.LoadSpec(data_filter=lambda df: finite(df) & F.col("keywname").endswith("3"))
+    load.load_points_period(alog(spark, sf_dir), LOW, HIGH, lake, NOW, spec=spec)
+    return tables.read_points(spark, lake.points)
+
+
+# Records without a time are kept as rejects, whatever micro-batch they come in.
+@query("load_present_rejects", f"""
+    with {ALOG} select 'stored' as kind, count(*) as n from alog where id % 10 <> 0
+    union all select 'rejected', count(*) from alog where id % 10 = 0""")
+def _(spark, sf_dir):
+    lake = _new_lake(spark)
+    stream = _stream(spark, sf_dir).withColumn("timestamp", F.when(F.col("id") % 10 != 0, F.col("timestamp")))
+    present.load_present(stream, lake, new_path(spark, "offsets"), clock=lambda: NOW, every=None).awaitTermination()
+    count = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"))
+    return count(tables.read_docs(spark, lake.docs), "stored").unionByName(
+        count(tables.read_rejects(spark, lake.rejects), "rejected"))
+
+
 @query("load_points_backwards", f"with {ALOG}, {POINTS}, {FOLDED_POINTS} select {POINT_LIST} from folded")
 def _(spark, sf_dir):
     lake = _new_lake(spark)
@@ -117,7 +165,7 @@ def _(spark, sf_dir):
 @query("load_increment", f"""
     with {ALOG0}, alog as (select * from alog0 where timestamp > timestamp '2023-12-31 23:58:20'
     and timestamp <= timestamp '2024-01-31 23:58:20'),
-    {POINTS}, {FOLDED_POINTS}, {DOCS} {STORES}""")
+    {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}""")
 def _(spark, sf_dir):
     lake, records = _new_lake(spark), alog(spark, sf_dir)
     tables.reset_progress(spark, lake.progress, "present", datetime(2023, 12, 31, 23, 58, 20), NOW)
@@ -141,7 +189,7 @@ def _stream(spark, sf_dir, files=4, files_per_batch=1):
     return alog_of(spark, events)
 
 
-@query("load_present", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {DOCS} {STORES}")
+@query("load_present", f"with {ALOG}, {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}")
 def _(spark, sf_dir):
     lake = _new_lake(spark)
     running = present.load_present(

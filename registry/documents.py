@@ -8,7 +8,7 @@ from loglake.operators import documents as ops
 from loglake.operators import search
 from loglake.sinks.lake import compact_docs, read_docs, write_docs
 from registry.base import (
-    ALOG, DOC_ID, DOC_TYPE, DOCS, NOW, NUMERIC, TIME_TEXT, alog, docs_sql, query, table, written_once,
+    ALOG, DOC_ID, DOC_TYPE, DOCS, NOW, SECONDS, alog, docs_sql, query, table, written_once,
 )
 
 MONTH = "strftime(timestamp, '%Y.%m')"
@@ -41,11 +41,23 @@ def _(spark, sf_dir):
 
 
 @query("doc_value", f"""
-    with {ALOG}, {DOCS} select _id, _type, keywvalue, keywvalue_num from docs""")
+    with {ALOG}, {DOCS} select _id, _type, keywvalue, keywvalue_num, keywvalue_nan from docs""")
 def _(spark, sf_dir):
     return _docs(spark, sf_dir).select("_id", "_type", "keywvalue", "keywvalue_num")
 
 
+# The same record by database and by archive: one id where the time is a whole second.
+@query("doc_id_across_sources", f"""
+    with {ALOG}, {SECONDS.replace("alog as", "cut as", 1)}
+    select a.id, a.timestamp = c.timestamp as same
+    from alog a join cut c using (id)""")
+def _(spark, sf_dir):
+    records = alog(spark, sf_dir)
+    cut = records.withColumn("timestamp", F.date_trunc("second", "timestamp"))
+    ids = lambda rows, name: rows.select("id", ops.doc_id().alias(name))
+    return ids(records, "x").join(ids(cut, "y"), "id").select("id", (F.col("x") == F.col("y")).alias("same"))
+
+
 @query("doc_id", f"with {ALOG} select id, {DOC_ID} as doc_id from alog")
 def _(spark, sf_dir):
     return alog(spark, sf_dir).select("id", ops.doc_id().alias("doc_id"))
@@ -119,12 +131,9 @@ def _(spark, sf_dir):
     return read_docs(spark, _stored(spark, sf_dir))
 
 
-@query("write_docs_daily", f"""
-    with {ALOG}, {docs_sql(suffix=DAY)} select _index, _type, count(*) as n from docs group by all""")
+@query("write_docs_daily", f"with {ALOG}, {docs_sql(suffix=DAY)} select * from docs")
 def _(spark, sf_dir):
-    return read_docs(
-        spark, _stored(spark, sf_dir, "DAILY"), columns=["_index", "_type"]
-    ).groupBy("_index", "_type").agg(F.count(F.lit(1)).alias("n"))
+    return read_docs(spark, _stored(spark, sf_dir, "DAILY"))
 
 
 @query("read_docs", f"""
@@ -141,7 +150,7 @@ def _(spark, sf_dir):
         docs = _docs(spark, sf_dir, frequency="MONTHLY")
         write_docs(docs, path, NOW)
         write_docs(docs, path, NOW)
-        compact_docs(spark, path)
+        compact_docs(spark, path, ["logs-2024.01", "opslog-2024.01"])
 
     return read_docs(spark, written_once(spark, sf_dir, "docs-compacted", write), latest=False)
 

@@ -9,10 +9,12 @@ from pyspark.sql import types as T
 
 from loglake.operators import points as ops
 from loglake.operators.records import finite_named, in_period, nonzero_metric, numeric_no_nan
+from loglake.plans.load import load_both
 from loglake.schema import POINT
+from loglake.session import new_path
 from loglake.sinks.exports import points_payload, write_lines
 from loglake.sinks.lake import (
-    compact_points, delete_stored_points, read_points, write_points,
+    Lake, compact_points, delete_stored_points, read_points, write_points,
 )
 from registry.base import (
     ALOG, FIRST, FOLDED_POINTS, LAST, NAME, NOW, POINT_FIELDS, POINTS, TEXT_TAG, alog, query, table,
@@ -155,6 +157,52 @@ def _(spark, sf_dir):
     ).drop("load_time")
 
 
+# Records moved into whole minutes, so that many fall into one second: the last one of each stays.
+CROWDED = "alog as (select * replace (date_trunc('minute', timestamp) + to_microseconds(id % 1000000) as timestamp, 'c' || cast(id % 3 as varchar) as keywname, 'x' as logtext) from alog1)"
+
+
+@query("upsert_points_same_second", f"""
+    with {ALOG.replace('alog as', 'alog1 as', 1)}, {CROWDED}, {FOLDED_POINTS} select {ALL} from folded""")
+def _(spark, sf_dir):
+    records = alog(spark, sf_dir).withColumns({
+        "timestamp": F.timestamp_micros(F.unix_micros(F.date_trunc("minute", "timestamp").cast("timestamp")) + F.col("id") % 1000000),
+        "keywname": F.concat(F.lit("c"), (F.col("id") % 3).cast("string")), "logtext": F.lit("x")})
+    points = ops.to_points(records, data_parser=ops.ordered_shape)
+    return ops.upsert_points(points.withColumn("load_time", F.lit("2024-02-01").cast("timestamp"))).drop("load_time", ops.ORDER)
+
+
+# Names, tags and text that are null or empty are datapoints like any other.
+@query("points_null_text", f"""
+    with {ALOG.replace('alog as', 'alog1 as', 1)}, alog as (select * replace (
+        case when id % 5 > 1 then keywname else '' end as keywname, case when id % 7 > 0 then env else '' end as env) from alog1),
+    {FOLDED_POINTS} select {ALL} from folded""")
+def _(spark, sf_dir):
+    records = alog(spark, sf_dir).withColumns({
+        "keywname": F.when(F.col("id") % 5 > 1, F.col("keywname")).when(F.col("id") % 5 == 1, ""),
+        "env": F.when(F.col("id") % 7 > 0, F.col("env"))})
+    lake = Lake(new_path(spark, "lake"))
+    load_both(records, lake, NOW)
+    return read_points(spark, lake.points)
+
+
+# Written and read in another session zone: days are UTC days, so no row is lost to pruning.
+@query("read_points_zone", f"""
+    with {ALOG}, {FOLDED_POINTS} select {ALL} from folded where timestamp between {MS['low']} and {MS['high']}""")
+def _(spark, sf_dir):
+    points, path = _ordered(spark, sf_dir), new_path(spark, "points")
+    held = new_path(spark, "points-utc")
+    points.write.parquet(held)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Santiago")
+    try:
+        write_points(spark.read.parquet(held), path, NOW)
+        found = new_path(spark, "points-found")
+        read_points(spark, path, start_ms=MS["low"], end_ms=MS["high"]).write.parquet(found)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return spark.read.parquet(found)
+
+
 @query("delete_metric", f"with {ALOG}, {POINTS} select {ALL} from points where name <> 'EVTclick3'")
 def _(spark, sf_dir):
     return ops.delete_metric(_points(spark, sf_dir), "EVTclick3")
@@ -185,9 +233,14 @@ def _(spark, sf_dir):
 
 # --- stored ---------------------------------------------------------------------------------
 
+def _ordered(spark, sf_dir):
+    """Points with the order of their records, as a load writes them."""
+    return ops.to_points(alog(spark, sf_dir), data_parser=ops.ordered_shape)
+
+
 def _stored(spark, sf_dir):
     def write(path):
-        write_points(_points(spark, sf_dir), path, NOW)
+        write_points(_ordered(spark, sf_dir), path, NOW)
 
     return written_once(spark, sf_dir, "points", write)
 
@@ -208,9 +261,9 @@ def _(spark, sf_dir):
 @query("compact_points", f"with {ALOG}, {POINTS}, {FOLDED_POINTS} select {ALL} from folded")
 def _(spark, sf_dir):
     def write(path):
-        write_points(_points(spark, sf_dir), path, NOW)
-        write_points(_points(spark, sf_dir), path, NOW)
-        compact_points(spark, path)
+        write_points(_ordered(spark, sf_dir), path, NOW)
+        write_points(_ordered(spark, sf_dir), path, NOW)
+        compact_points(spark, path, [date(2024, 1, d) for d in range(1, 32)])
 
     return read_points(spark, written_once(spark, sf_dir, "compacted", write), latest=False)
 
@@ -221,7 +274,7 @@ def _(spark, sf_dir):
     and not (name <> '' and timestamp between 1705708800000 and 1705795199999)""")
 def _(spark, sf_dir):
     def write(path):
-        write_points(_points(spark, sf_dir), path, NOW)
+        write_points(_ordered(spark, sf_dir), path, NOW)
         delete_stored_points(spark, path, ["EVTclick3", "EVTclick4"], MS["low"], MS["high"],
                              {"env": ["hall1", "hall4"]})
         names = [f"EVT{kind}{i}" for kind in ("click", "purchase") for i in range(10)]

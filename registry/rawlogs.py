@@ -142,9 +142,25 @@ CELLS = ", ".join(
 )
 
 
-@query("read_ws_table", f"with {SECONDS}, {RENDERED} select {CELLS} from lines")
+WORDS = "string_split(regexp_replace(value, ' +', ' ', 'g'), ' ')"
+
+
+@query("read_ws_table", f"with {SECONDS}, {RENDERED} select {CELLS}, array_to_string({WORDS}[23:], ' ') as rest from lines")
 def _(spark, sf_dir):
-    return raw.read_ws_table(spark, _written_lines(spark, sf_dir))
+    return raw.read_ws_table(spark, _written_lines(spark, sf_dir)).withColumn("rest", F.array_join("rest", " "))
+
+
+# Texts have far more words than a table has columns: none is lost, and the last is found.
+@query("read_ws_table_long", """
+    with t as (select doc_id, list_filter(string_split_regex(text, '[ \t\n\v\f\r]+'), lambda w : w <> '') as w from documents)
+    select case when len(w) > 22 then len(w) - 22 else 0 end as n_rest, count(*) as n from t where len(w) > 0 group by 1""")
+def _(spark, sf_dir):
+    def write(path):
+        line = F.regexp_replace(F.regexp_replace("text", r"[^\x21-\x7E \t\n\x0B\f\r]", "?"), r"[ \t\n\x0B\f\r]+", " ")
+        table(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+
+    rows = raw.read_ws_table(spark, written_once(spark, sf_dir, "long-lines", write))
+    return rows.groupBy(F.size("rest").cast("long").alias("n_rest")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("read_ws_table_columns", f"""

@@ -57,8 +57,8 @@ def test_a_second_load_changes_nothing(spark, lake):
     assert contents(spark, lake) == once
     assert tables.read_points(spark, lake.points, latest=False).count() == 450
     tables.compact_points(spark, lake.points, [date(2024, 1, 1)])
-    tables.compact_points(spark, lake.points)
-    tables.compact_docs(spark, lake.docs)
+    tables.compact_points(spark, lake.points, [date(2024, 1, d) for d in (2, 3)])
+    tables.compact_docs(spark, lake.docs, ["logs-2024.01", "opslog-2024.01", "fpar-2024.01"])
     assert tables.read_points(spark, lake.points, latest=False).count() == 225
     assert tables.read_docs(spark, lake.docs, latest=False).count() == 300
     assert contents(spark, lake) == once
@@ -93,7 +93,7 @@ def test_a_period_is_the_sum_of_its_parts(spark, x, y):
 def test_backwards_resumes(spark, lake):
     records = series(spark)
     stop = START + timedelta(days=1)
-    done = load.load_backwards(records, stop, lake, datetime(2024, 1, 4))
+    done = load.load_backwards(records, stop, lake, datetime(2024, 1, 4), step=timedelta(days=1))
     assert [d["rows_in"] for d in done] == [12, 144]
     assert load.load_backwards(records, stop, lake, NOW) == []
     rest = load.load_backwards(records, START, lake, NOW, step=None)
@@ -221,7 +221,7 @@ def test_only_new_files_are_loaded(spark, tmp_path, lake):
     assert archives.load_csv_docs(spark, everything, lake, NOW)["docs_out"] == 1
     assert archives.load_csv_docs(spark, everything, lake, NOW)["docs_out"] == 0
     assert archives.load_csv_both(spark, everything, lake, NOW, reinsert=True) == {
-        "rows_in": 3, "points_out": 2, "docs_out": 3}
+        "rows_in": 3, "points_out": 2, "docs_out": 3, "rejected": 0}
     docs = tables.read_docs(spark, lake.docs).groupBy("_index").count().collect()
     assert {r["_index"]: r["count"] for r in docs} == {"opslog-2016.01": 2, "logs-2016.2": 1}
 
@@ -256,6 +256,88 @@ def test_jdbc_options():
         "timestamp", "2024-01-01 00:00:00", "4")
 
 
+def test_slices_need_their_bounds():
+    with pytest.raises(ValueError):
+        jdbc_options("u", partitions=4)
+    with pytest.raises(ValueError):
+        jdbc_options("u", partitions=4, lower=START)
+
+
+def test_a_rewrite_that_dies_leaves_a_whole_copy(spark, lake, monkeypatch):
+    load.load_both(series(spark), lake, NOW)
+    before = contents(spark, lake)[0]
+    staged = []
+    monkeypatch.setattr(tables, "new_path", lambda session, label: staged.append(new_path(session, label)) or staged[-1])
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    store = tables._store
+    monkeypatch.setattr(tables, "_store", die)
+    with pytest.raises(RuntimeError):
+        tables.compact_points(spark, lake.points, [date(2024, 1, 1)])
+    monkeypatch.setattr(tables, "_store", store)
+    copy = spark.read.parquet(staged[-1])
+    assert {(r["name"], r["timestamp"], r["value"]) for r in copy.collect()} == {p for p in before if p[1] < 1704153600000}
+    assert contents(spark, lake)[0] == before
+
+
+def test_no_row_is_lost_without_names_times_or_types(spark, lake, tmp_path):
+    rows = [record(id=1, keywname=None), record(id=2, keywname="", logtext="other"), record(id=3, typelog=None, keywvalue="x"),
+            record(id=4, typelog="", keywvalue="y"), record(id=5, env=None, logtext=None)]
+    counts = load.load_both(alog(spark, rows), lake, NOW)
+    assert counts["docs_out"] == 5 == tables.read_docs(spark, lake.docs).count()
+    assert tables.read_docs(spark, lake.docs, doc_type="untyped").count() == 2
+    assert counts["points_out"] == 3 == tables.read_points(spark, lake.points).count()
+    path = tmp_path / "x.2024-01-05.csv"
+    path.write_text('FPAR,2024-01-05 00:00:00,h,e,p,1,,k,1,"t",,0,,\nFPAR,not a time,h,e,p,1,,k,1,"t",,0,,\nshort,row\nFPAR,,h,e,p,1,,k,1,"t",,0,,\n')
+    other = tables.Lake(new_path(spark, "lake"))
+    counts = archives.load_csv_both(spark, str(path), other, NOW)
+    assert (counts["docs_out"], counts["rejected"]) == (1, 3)
+    assert sorted(r["reason"] for r in tables.read_rejects(spark, other.rejects).collect()) == ["malformed", "malformed", "no time"]
+
+
+def test_days_and_ids_do_not_depend_on_the_session_zone(spark, lake):
+    records = series(spark, 30)
+    held = new_path(spark, "records")
+    records.write.parquet(held)
+    ids = {r["_id"] for r in to_docs(records).collect()}
+    spark.conf.set("spark.sql.session.timeZone", "America/Santiago")
+    try:
+        records = spark.read.parquet(held)
+        assert {r["_id"] for r in to_docs(records).collect()} == ids
+        tables.write_points(to_points(records), lake.points, NOW)
+        low = 1704067200000
+        assert tables.read_points(spark, lake.points, start_ms=low, end_ms=low + 3_600_000).count() == 5
+        tables.delete_stored_points(spark, lake.points, ["HALL_PRESSURE"], low, low + 3_600_000)
+        assert tables.read_points(spark, lake.points, start_ms=low, end_ms=low + 3_600_000).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_the_last_record_of_a_second_stays(spark, lake):
+    rows = [record(id=1, timestamp=datetime(2024, 1, 1, 0, 0, 0, 100_000), keywvalue="5"),
+            record(id=2, timestamp=datetime(2024, 1, 1, 0, 0, 0, 900_000), keywvalue="3")]
+    load.load_both(alog(spark, rows), lake, NOW)
+    assert [r["value"] for r in tables.read_points(spark, lake.points).collect()] == [3.0]
+
+
+def test_points_only_progress_hides_nothing(spark, lake):
+    records = series(spark, 48)
+    load.load_points_backwards(records, START, lake, NOW, step=None, spec=load.LoadSpec(host="h"))
+    assert sum(d["docs_out"] for d in load.load_backwards(records, START, lake, NOW, step=None)) == 48
+    spec = load.LoadSpec(data_filter=lambda df: F.col("keywvalue") == "7")
+    one = tables.Lake(new_path(spark, "lake"))
+    assert load.load_points_period(records, START, NOW, one, NOW, spec=spec)["points_out"] == 1
+
+
+def test_an_archive_load_keeps_the_callers_builder(spark, tmp_path, lake):
+    path = csv_file(spark, tmp_path, "a.2016-01-05.csv.gz", [record(logtext="one")])
+    spec = load.LoadSpec(doc_builder=lambda rows: to_docs(rows, index="mine", numeric_index="mine"))
+    archives.load_csv_docs(spark, path, lake, NOW, spec=spec)
+    assert [r["_index"] for r in tables.read_docs(spark, lake.docs).collect()] == ["mine"]
+
+
 def test_scan_alog_and_sql(spark, tmp_path):
     records = alog(spark, GOLDEN)
     path = str(tmp_path / "alog")

@@ -84,7 +84,7 @@ def test_whitespace_table(spark, tmp_path):
     path.write_bytes("a  b\tc\n\n d é \n".encode("latin-1"))
     rows = rawlogs.read_ws_table(spark, str(path), (0, 1, 2)).collect()
     assert [tuple(r) for r in rows] == [("a", "b", "c"), ("d", "é", None)]
-    assert rawlogs.read_ws_table(spark, str(path)).columns == [str(i) for i in range(22)]
+    assert rawlogs.read_ws_table(spark, str(path)).columns == [*(str(i) for i in range(22)), "rest"]
 
 
 def test_types_only(spark):
@@ -100,6 +100,14 @@ def test_env_from_cells(spark, tmp_path):
     assert [r[0] for r in cells.select(rawlogs.env_from_cells(cells)).collect()] == ["x", "", "", "", ""]
 
 
+def test_env_of_a_long_line(spark, tmp_path):
+    path = tmp_path / "t.log"
+    path.write_text(" ".join(f"w{i}" for i in range(30)) + " [env9]\n")
+    cells = rawlogs.read_ws_table(spark, str(path))
+    assert cells.select(rawlogs.env_from_cells(cells)).first()[0] == "env9"
+    assert cells.first()["rest"] == [*(f"w{i}" for i in range(22, 30)), "[env9]"]
+
+
 WORD = st.text(alphabet="abcXYZ019_.-", min_size=1, max_size=6)
 WORDS = st.lists(WORD, min_size=1, max_size=4).map(" ".join)
 RECORD = st.builds(
