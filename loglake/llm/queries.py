@@ -155,3 +155,54 @@ select n.page_id, host, path, b.rule as rule,
 from named n left join best b on n.page_id = b.page_id and n.url is not distinct from b.url
 left join listed l on n.canonical = l.canonical
 """
+
+ORACLE["op3_ngram_join"] = r"""
+with recursive words_ as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda w : w <> '') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i : w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s
+  from words_),
+grams as (select doc_id, len(s) as n, unnest(s) as g from sets),
+common as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as n, any_value(b.n) as m, count(*) as c
+  from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from common where 100 * c >= 90 * (n + m - c)),
+reach as (select doc_id, doc_id as to_id from documents union select r.doc_id, l.y from reach r join links l on r.to_id = l.x)
+select s.doc_id, any_value(len(s.s)) as n_shingles, min(r.to_id) as component_id
+from sets s join reach r using (doc_id) group by s.doc_id
+"""
+
+ORACLE["op10_secret_scan"] = r"""
+with d as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as owner from documents),
+kinds(kind, k, pattern) as (values
+  ('assign', 0, '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]{32,}'), ('live', 3, '[A-Za-z0-9+/_-]{20,}')),
+found as (
+  select doc_id, owner, 'assign' as kind, 0 as k, regexp_extract_all(text, (select pattern from kinds where k = 0)) as hits,
+         string_split_regex(text, (select pattern from kinds where k = 0)) as gaps from d
+  union all select doc_id, owner, 'access', 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') from d
+  union all select doc_id, owner, 'hex', 2, regexp_extract_all(text, '[0-9a-f]{32,}'), string_split_regex(text, '[0-9a-f]{32,}') from d
+  union all select doc_id, owner, 'live', 3, regexp_extract_all(text, '[A-Za-z0-9+/_-]{20,}'), string_split_regex(text, '[A-Za-z0-9+/_-]{20,}') from d),
+each as (
+  select doc_id, owner, kind, k, hits[i] as hit,
+         cast(list_sum(list_transform(gaps[1:i], lambda x : length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x : length(x))), 0) as bigint) as a
+  from (select *, unnest(range(1, len(hits) + 1)) as i from found where len(hits) > 0)),
+spans as (
+  select *, a + length(hit) as b,
+         case when k = 0 then regexp_extract(hit, (select pattern from kinds where k = 0), 1) else hit end as value
+  from each),
+base as (select * from spans where k = 0 and length(value) >= 8 or k = 1 and length(value) >= 16 or k = 2),
+tokens as (
+  select * from spans t where k = 3 and regexp_matches(hit, '[0-9]') and regexp_matches(hit, '[A-Za-z]')
+  and not exists (select 1 from base b where b.doc_id = t.doc_id and b.a < t.b and t.a < b.b)),
+owned as (select value, count(distinct owner) <= 1 as live from (select * from base union all select * from tokens) group by value),
+shown as (
+  select s.*, o.live from (select * from base union all select * from tokens) s join owned o using (value) where k < 3 or live)
+select d.doc_id, count(*) filter (s.k = 0) as n_assign, count(*) filter (s.k = 1) as n_access, count(*) filter (s.k = 2) as n_hex,
+       sha256(coalesce(string_agg(s.kind || ':' || s.a || ':' || s.b, ',' order by s.a, s.k) filter (s.k < 3), '')) as base_sha256,
+       coalesce(string_agg(s.kind || ':' || s.a || ':' || s.b, ',' order by s.a, s.k), '') as spans,
+       count(*) filter (s.live) as n_live
+from d left join shown s on d.doc_id = s.doc_id group by d.doc_id
+"""
