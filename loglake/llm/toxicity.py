@@ -71,7 +71,11 @@ class Model:
         return 1 / (1 + np.exp(-self.bias - np.bincount(text, table[bucket] * value, minlength=len(texts))))
 
 
-def fit(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, toxic: np.ndarray, weight: np.ndarray,
+#: Training texts as pieces of bounded size: text (numbered through), bucket and value of each n-gram.
+Pieces = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def fit(pieces: Pieces, toxic: np.ndarray, weight: np.ndarray,
         least_texts: int = 4, strength: float = 1.0, penalty: float = 1e-3, rounds: int = 300) -> Model:
     """Fit on the n-grams of the training texts; ``toxic`` and ``weight`` by text.
 
@@ -81,18 +85,22 @@ def fit(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, toxic: np.ndarra
     share = float(np.clip((weight * toxic).sum() / max(weight.sum(), 1e-9), 1e-4, 1 - 1e-4)) if len(toxic) else 0.5
     bias = float(np.log(share / (1 - share)))
     none = Model(np.zeros(0, np.int64), np.zeros(0), bias)
-    if not len(doc) or toxic.min() == toxic.max():
+    if not len(toxic) or toxic.min() == toxic.max():
         return none
-    with_it = [np.bincount(bucket, (toxic[doc] == y).astype(float), minlength=1 << BITS) for y in (1, 0)]
+    with_it = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
+    for doc, bucket, _ in pieces:
+        for seen, y in zip(with_it, (1, 0)):
+            seen += np.bincount(bucket[toxic[doc] == y], minlength=1 << BITS)
     rate = [(c + 0.5) / ((toxic == y).sum() + 1) for c, y in zip(with_it, (1, 0))]
     ratio = np.log(rate[0] / rate[1])
     used = (with_it[0] + with_it[1] >= least_texts) & (np.abs(ratio) >= strength)
     names = np.flatnonzero(used)
     if not len(names):
         return none
-    kept = used[bucket]
-    doc, column, value = doc[kept], (np.cumsum(used) - 1)[bucket[kept]], value[kept]
-    value = value * ratio[names][column]
+    kept = [(doc[k], bucket[k], value[k]) for doc, bucket, value in pieces for k in [used[bucket]]]
+    doc, bucket, value = (np.concatenate(column) for column in zip(*kept))
+    column = (np.cumsum(used) - 1)[bucket]
+    value = value.astype(np.float64) * ratio[bucket]
     n, m = len(toxic), len(names)
     w, weight = np.zeros(m), weight / weight.sum()
     # Accelerated gradient steps, their length by the largest curvature the data can have.
@@ -114,7 +122,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = 2000, longest: int = 20_000) -> Model:
+def train(documents: DataFrame, labels: DataFrame, per_class: int = 1500, longest: int = 20_000) -> Model:
     """Learn from the labelled rows that are not held out.
 
     The sample is bounded: of each class the ``per_class`` ids of smallest hash, without texts over
@@ -141,16 +149,18 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 2000, longes
                 part.column("toxic").cast(pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(bucket.astype(np.int32))),
                 pa.ListArray.from_arrays(offsets, pa.array(value.astype(np.float32)))], ["toxic", "bucket", "value"])
 
-    sample = texts.mapInArrow(run, "toxic int, bucket array<int>, value array<float>").toArrow().combine_chunks()
-    if not sample.num_rows:
-        return fit(*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.int64), np.zeros(0))
+    sample = texts.mapInArrow(run, "toxic int, bucket array<int>, value array<float>").toArrow()
     toxic = sample.column("toxic").to_numpy().astype(np.int64)
-    lists = sample.column("bucket").combine_chunks()
-    counts = np.diff(lists.offsets.to_numpy())
+    pieces, done = [], 0
+    for batch in sample.to_batches(max_chunksize=200):
+        lists = batch.column("bucket")
+        counts = np.diff(lists.offsets.to_numpy())
+        pieces.append((np.repeat(np.arange(done, done + batch.num_rows), counts).astype(np.int32),
+                       lists.flatten().to_numpy(), batch.column("value").flatten().to_numpy()))
+        done += batch.num_rows
     have = np.bincount(toxic, minlength=2)
     weight = np.array([total.get(y, 0) / max(have[y], 1) for y in (0, 1)])[toxic]
-    return fit(np.repeat(np.arange(len(toxic)), counts), lists.flatten().to_numpy().astype(np.int64),
-               sample.column("value").combine_chunks().flatten().to_numpy().astype(np.float64), toxic, weight)
+    return fit(pieces, toxic, weight)
 
 
 def score(documents: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:
