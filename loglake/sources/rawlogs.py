@@ -89,11 +89,12 @@ def _find(tokens: Column, mark: str, start: int | Column) -> Column:
     return F.array_position(_between(tokens, start, F.size(tokens)), mark).cast("int") - 1 + start
 
 
-def parse_raw_logs(lines: DataFrame, year: int | None = None) -> DataFrame:
+def parse_raw_logs(lines: DataFrame, year: int | None = None, kinds: Sequence[str] | None = None) -> DataFrame:
     """Lines (``value``, ``file_path``) to CSV-shaped records plus ``_malformed``.
 
     The year comes from ``year``, else from the date in the file's path. A line without the
-    tokens its type needs keeps its text in ``_malformed`` and has no other field.
+    tokens its type needs keeps its text in ``_malformed`` and has no other field. With ``kinds``
+    only lines of these types are taken; the others are left out before their fields are built.
     """
     path_year = date_from_path(F.col("file_path"), whole_word=False)["year"]
     if year is not None:
@@ -136,6 +137,9 @@ def parse_raw_logs(lines: DataFrame, year: int | None = None) -> DataFrame:
     kept = ("value", "loghost", "tok", "size", "typelog", "eq", "value_end", "event_end", "tm")
     checked = marks.select(F.inline(F.array(F.struct(*kept, well_formed.alias("good")))))
 
+    if kinds is not None:
+        checked = checked.where(kind.isin(*kinds))
+
     coded = kind.isin("ERR", "LOG")
     error = kind == "ERR"
     slash = F.array_position(tok, "/").cast("int")

@@ -104,7 +104,9 @@ def _(spark, sf_dir):
     with {SECONDS}, {PARSED}, {AS_ALOG}, {POINTS.replace('from alog', 'from records')}
     select name, timestamp, value, proc, env, loghost, logtext from points""")
 def _(spark, sf_dir):
-    return to_points(normalise_csv(raw.well_formed(_parsed(spark, sf_dir))))
+    # Only parameter lines have a value.
+    parsed = raw.parse_raw_logs(_lines(spark, sf_dir), kinds=("FPAR",))
+    return to_points(normalise_csv(raw.well_formed(parsed)))
 
 
 @query("raw_to_docs", f"with {SECONDS}, {PARSED}, {AS_ALOG}, {docs_sql(source='records')} select * from docs")
