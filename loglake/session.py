@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -35,3 +38,23 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for functions that run in Python there.
+
+    Not needed where it is installed on every machine or handed over by ``--py-files``.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="loglake-")) / "loglake.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from loglake.session import configure  # noqa: E402
+from loglake.session import configure, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,4 +22,5 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     return configure(session)
