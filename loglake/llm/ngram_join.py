@@ -29,6 +29,8 @@ COUNTERS, PARTS = 1 << 20, 64
 SHIFT = np.uint64(44)  # 64 bits less the 20 of a counter
 OCTANTS = 16
 LIMIT = 1 << 20
+#: So many partners, about, meet one copy of a class's set.
+PARTNERS = 100
 
 
 def class_ids(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -111,22 +113,25 @@ def prefixes(documents: DataFrame, words: int, num: int, den: int, levels: np.nd
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``cls, grams`` of the classes whose documents ``wanted`` (``doc_id``) names, and perhaps of others.
+    """``cls, salt, grams`` of the classes whose documents ``wanted`` (``doc_id, salts``) names, and perhaps of others.
 
-    Only texts that pass a filter of fixed size are moved to meet the ids.
+    Each set comes ``salts`` times, numbered. Only texts that pass a filter of fixed size are moved
+    to meet the ids.
     """
-    ids = stored(wanted.select("doc_id").distinct(), "wanted")
+    ids = stored(wanted.groupBy("doc_id").agg(F.max("salts").alias("salts")), "wanted")
     likely = with_possible(documents, ids, "doc_id").filter(F.col("possible") | F.col("doc_id").isNull()).drop("possible")
-    named = likely.join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    named = likely.join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "salts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", LIMIT):
             values, counts = shingle_sets(texts_of(piece.column("text")), words)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(class_ids(values, counts)), pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))], ["cls", "grams"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(class_ids(values, counts)), piece.column("salts"),
+                pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))], ["cls", "salts", "grams"])
 
-    return named.mapInArrow(run, "cls bigint, grams array<bigint>").dropDuplicates(["cls"])
+    return named.mapInArrow(run, "cls bigint, salts int, grams array<bigint>").select(
+        "cls", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "grams").dropDuplicates(["cls", "salt"])
 
 
 def can_meet(num: int, den: int, x: str, y: str) -> Column:
@@ -146,13 +151,21 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words:
     near = stored(
         pairs.distinct().join(side("a"), "a").join(side("b"), "b")
         .filter((num + den) * (sizes - apart) >= 2 * num * sizes).select("a", "b", "n_a", "n_b", "id_a", "id_b"), "near")
-    ids = near.select(F.col("id_a").alias("doc_id")).unionByName(near.select(F.col("id_b").alias("doc_id")))
-    # Dealt by class once; both joins read that.
+    # A hub meets very many classes: its set comes in as many copies as keep each one's partners few.
+    copies = near.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(
+        F.ceil(F.count("*") / PARTNERS).cast("int").alias("salts"))
+    salted = stored(
+        near.join(copies.select(F.col("cls").alias("a"), F.col("salts").alias("salts_a")), "a")
+        .join(copies.select(F.col("cls").alias("b"), F.col("salts").alias("salts_b")), "b")
+        .withColumns({"salt_a": F.pmod(F.xxhash64("b"), "salts_a").cast("int"), "salt_b": F.pmod(F.xxhash64("a"), "salts_b").cast("int")}), "salted")
+    ids = salted.select(F.col("id_a").alias("doc_id"), F.col("salts_a").alias("salts")).unionByName(
+        salted.select(F.col("id_b").alias("doc_id"), F.col("salts_b").alias("salts")))
+    # Dealt by class and copy once; both joins read that.
     sets = sets_of(documents, ids, words)
     common = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
     return (
-        near.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")), "a")
-        .join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b")), "b")
+        salted.join(sets.select(F.col("cls").alias("a"), F.col("salt").alias("salt_a"), F.col("grams").alias("grams_a")), ["a", "salt_a"])
+        .join(sets.select(F.col("cls").alias("b"), F.col("salt").alias("salt_b"), F.col("grams").alias("grams_b")), ["b", "salt_b"])
         .withColumn("common", common)
         .filter((num + den) * F.col("common") >= num * sizes)
         .select("a", "b", "common", (sizes - F.col("common")).alias("either"))
