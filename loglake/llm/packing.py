@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.common import text_or_empty
-from loglake.llm.ragged import gather, starts_of, texts_of
+from loglake.llm.ragged import gather, release, starts_of, texts_of
 
 K1, B = 1.2, 0.75
 
@@ -31,7 +31,7 @@ class WordIds:
     """
 
     MARK = "0"  # a word of one token; words that hold it are encoded alone
-    REMEMBERED = 300_000
+    REMEMBERED = 100_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,10 +45,10 @@ class WordIds:
 
     def _encode(self, words: list[str]) -> list[bytes]:
         plain = [w for w in words if self.MARK not in w]
-        groups = [plain[i:i + 2000] for i in range(0, len(plain), 2000)]
-        joined = self.tokenizer.encode_batch_fast([f" {self.MARK} ".join(g) for g in groups], add_special_tokens=False)
         out = {}
-        for group, whole in zip(groups, joined):
+        for i in range(0, len(plain), 2000):
+            group = plain[i:i + 2000]
+            (whole,) = self.tokenizer.encode_batch_fast([f" {self.MARK} ".join(group)], add_special_tokens=False)
             ids = np.array(whole.ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
             raw, at = ids.tobytes(), 0
@@ -196,7 +196,7 @@ def fill_windows(index: Index, counts: np.ndarray, window: int) -> list[tuple[in
 SCHEMA = ("start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
-def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, shard_bytes: int = 8 << 20,
+def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, shard_bytes: int = 4 << 20,
          query_terms: int = 24) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
@@ -214,6 +214,7 @@ def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, s
     shards = max(1, -(-size // shard_bytes))
 
     def run(key: tuple[pa.Scalar, ...], shard: pa.Table) -> pa.Table:
+        release()
         shard = shard.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids, counts = word_ids(path).texts(texts_of(shard.column("text")), end_id)
         pieces = np.array(fill_windows(Index(ids, counts, query_terms), counts, window), np.int64).reshape(-1, 5)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+def release() -> None:
+    """Hand freed memory back to the machine: a worker lives on and the next stage needs it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes of ``column``; a longer value stands alone."""
     for batch in batches:
@@ -20,6 +29,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+        release()
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.common import text_or_empty
-from loglake.llm.ragged import slices
+from loglake.llm.ragged import release, slices
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -77,7 +77,7 @@ Pieces = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 def fit(pieces: Pieces, toxic: np.ndarray, weight: np.ndarray,
         least_texts: int = 4, strength: float = 1.0, penalty: float = 1e-3, rounds: int = 300) -> Model:
-    """Fit on the n-grams of the training texts; ``toxic`` and ``weight`` by text.
+    """Fit on the n-grams of the training texts; ``toxic`` and ``weight`` by text. Uses the pieces up.
 
     N-grams of fewer than ``least_texts`` texts are left out, and so are those whose ratio is within
     ``strength`` of none. With one class only, the score is the same for all texts.
@@ -97,8 +97,13 @@ def fit(pieces: Pieces, toxic: np.ndarray, weight: np.ndarray,
     names = np.flatnonzero(used)
     if not len(names):
         return none
-    kept = [(doc[k], bucket[k], value[k]) for doc, bucket, value in pieces for k in [used[bucket]]]
+    kept = []
+    while pieces:
+        doc, bucket, value = pieces.pop()
+        chosen = used[bucket]
+        kept.append((doc[chosen], bucket[chosen], value[chosen]))
     doc, bucket, value = (np.concatenate(column) for column in zip(*kept))
+    del kept
     column = (np.cumsum(used) - 1)[bucket]
     value = value.astype(np.float64) * ratio[bucket]
     n, m = len(toxic), len(names)
@@ -122,7 +127,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = 1500, longest: int = 20_000) -> Model:
+def train(documents: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int = 20_000) -> Model:
     """Learn from the labelled rows that are not held out.
 
     The sample is bounded: of each class the ``per_class`` ids of smallest hash, without texts over
@@ -142,7 +147,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 1500, longes
         F.broadcast(picked), "doc_id").select("toxic", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 1 << 19):
             doc, bucket, value = counted(*ngrams(part.column("text").to_pylist()))
             offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=part.num_rows))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
@@ -151,7 +156,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 1500, longes
 
     sample = texts.mapInArrow(run, "toxic int, bucket array<int>, value array<float>").toArrow()
     toxic = sample.column("toxic").to_numpy().astype(np.int64)
-    pieces, done = [], 0
+    pieces, done, batch, lists = [], 0, None, None
     for batch in sample.to_batches(max_chunksize=200):
         lists = batch.column("bucket")
         counts = np.diff(lists.offsets.to_numpy())
@@ -160,7 +165,10 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 1500, longes
         done += batch.num_rows
     have = np.bincount(toxic, minlength=2)
     weight = np.array([total.get(y, 0) / max(have[y], 1) for y in (0, 1)])[toxic]
-    return fit(pieces, toxic, weight)
+    del sample, batch, lists
+    model = fit(pieces, toxic, weight)
+    release()
+    return model
 
 
 def score(documents: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:
@@ -172,7 +180,7 @@ def score(documents: DataFrame, model: Model, also: tuple[str, ...] = ()) -> Dat
     kept = ["doc_id", *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "scored_text", 1 << 20):
+        for part in slices(batches, "scored_text", 1 << 19):
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in kept), pa.array(model.scores(part.column("scored_text").to_pylist()))], [*kept, "score"])
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.common import text_or_empty
-from loglake.llm.ragged import slices, starts_of
+from loglake.llm.ragged import release, slices, starts_of
 
 K, WINDOW = 16, 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -164,6 +164,7 @@ def compare_edited(documents: DataFrame, k: int = K, window: int = WINDOW) -> Da
     """
 
     def run(bucket: pa.Table) -> pa.Table:
+        release()
         bucket = bucket.sort_by([(c, "ascending") for c in ("role", "key", "text")])
         texts = bucket.column("text").to_pylist()
         own = bucket.column("role").to_pylist().count(0)
