@@ -1,24 +1,29 @@
 """Lexical retrieval packing.
 
-Documents are dealt into shards of bounded size. Each shard has a BM25 inverted index of its own
-over token ids. The first unused document seeds a window; its best unused neighbours fill it in
-order of score, the last one cut so that the window is exactly full. What is left of a cut
-document stays unused and goes to a later window.
+Texts become token ids once. Document frequencies, the number of documents and their mean length
+are counted over all of them. Documents are then put in an order of likeness, which is cut into
+shards of bounded size, each with a BM25 inverted index over token ids. The first unused document
+seeds a window; its best unused neighbours fill it in order of score, the last one cut so that the
+window is exactly full. What is left of a cut document stays unused and goes to a later window.
+
+A window is filled from the seed's shard: neighbours that the order puts elsewhere are not found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglake.llm.common import text_or_empty
-from loglake.llm.ragged import gather, release, starts_of, texts_of
+from loglake.llm.common import stored, text_or_empty
+from loglake.llm.ragged import gather, release, slices, starts_of, texts_of
 
 K1, B = 1.2, 0.75
 
@@ -107,24 +112,47 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+class Corpus(NamedTuple):
+    """Counts over all documents: how many, their mean length, and how many hold each term."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+
+def terms_of(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, term and frequency of each distinct term of each document, by document and term."""
+    if not len(ids):
+        return (np.zeros(0, np.int64),) * 3
+    size = int(ids.max()) + 1
+    key = np.sort(np.repeat(np.arange(len(counts), dtype=np.int64) * size, counts) + ids)
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    doc, term = np.divmod(key[edge], size)
+    return doc, term, np.diff(np.append(edge, len(key)))
+
+
+def bm25(corpus: Corpus, counts: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
+    df = corpus.df[term]
+    norm = K1 * (1 - B + B * counts / max(corpus.mean, 1))
+    return np.log1p((corpus.n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + norm[doc])
+
+
 class Index:
-    """A shard's inverted index: per term its documents and their BM25 weights."""
+    """A shard's inverted index: per term its documents and their BM25 weights.
+
+    Weights follow the counts of ``corpus``; without it the shard's documents are all there are.
+    """
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, query_terms: int):
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, query_terms: int, corpus: Corpus | None = None):
         n, size = len(counts), int(ids.max()) + 1 if len(ids) else 1
-        key = np.sort(np.repeat(np.arange(n, dtype=np.int64) * size, counts) + ids)
-        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        tf = np.diff(np.append(edge, len(key)))
-        doc, term = np.divmod(key[edge], size)
-        df = np.bincount(term, minlength=size)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * counts / max(counts.mean(), 1)) if n else counts
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
+        doc, term, tf = terms_of(ids, counts)
+        held = np.bincount(term, minlength=size)
+        weight = bm25(corpus or Corpus(n, counts.mean() if n else 0, held), counts, doc, term, tf)
         order = np.argsort(term.astype(np.uint16) if size <= 1 << 16 else term, kind="stable")
         self.docs, self.weights = doc[order], weight[order].astype(np.float32)
-        self.starts = np.concatenate([[0], np.cumsum(df)])
+        self.starts = np.concatenate([[0], np.cumsum(held)])
         # The query of a document: its own terms of highest weight that another document has.
-        shared = np.flatnonzero(df[term] > 1)
+        shared = np.flatnonzero(held[term] > 1)
         doc, term, weight = doc[shared], term[shared], weight[shared].astype(np.float32)
         falling = (0xFFFFFFFF - weight.view(np.uint32)).astype(np.int64)
         order = np.argsort(doc << 32 | falling, kind="stable")
@@ -196,6 +224,160 @@ def fill_windows(index: Index, counts: np.ndarray, window: int) -> list[tuple[in
 SCHEMA = ("start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
+def binaries(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Consecutive stretches of ``values`` as binary values."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]) * values.itemsize
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())]).cast(pa.binary())
+
+
+def numbers(column: pa.Array | pa.ChunkedArray, counts: np.ndarray) -> np.ndarray:
+    """The token ids of all rows in one array; two bytes each where that holds every id, else four."""
+    raw = b"".join(column.to_pylist())
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * counts.sum() else "<u4")
+
+
+def coded(documents: DataFrame, path: str, end_id: int) -> DataFrame:
+    """``doc_id, bytes, doc_tokens, ids`` of all documents, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_ids(path)
+        dtype = "<u2" if max(words.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+        for batch in slices(batches, "text"):
+            texts = texts_of(batch.column("text"))
+            ids, counts = words.texts(texts, end_id)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "bytes": pc.add(pc.binary_length(texts).cast(pa.int64()), 8),
+                "doc_tokens": counts.astype(np.int64), "ids": binaries(ids.astype(dtype), counts)})
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    docs = documents.select("doc_id", text_or_empty().alias("text"))
+    return stored(docs.mapInArrow(run, f"doc_id {kind}, bytes bigint, doc_tokens bigint, ids binary"), "coded")
+
+
+def counted(docs: DataFrame, n: int, tokens: int) -> Corpus:
+    """The counts of all documents; no more than the vocabulary reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(1, np.int64)
+        for batch in slices(batches, "ids"):
+            counts = batch.column("doc_tokens").to_numpy()
+            _, term, _ = terms_of(numbers(batch.column("ids"), counts), counts)
+            own = np.bincount(term, minlength=len(df))
+            own[:len(df)] += df
+            df = own
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": held, "df": df[held]})
+
+    rows = docs.select("doc_tokens", "ids").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    term = rows.column("term").to_numpy()
+    df = np.zeros(int(term.max()) + 1, np.int64)
+    df[term] = rows.column("df").to_numpy()
+    return Corpus(n, tokens / n, df)
+
+
+#: Numbers a document is told by in the order of likeness, and documents that shape the order.
+DIMENSIONS, SHAPING = 64, 50_000
+
+
+class Profiles:
+    """Documents as few numbers: BM25 weights, scaled to length one, on fixed random directions."""
+
+    def __init__(self, corpus: Corpus):
+        self.corpus = corpus
+        self.directions = np.random.default_rng(1).standard_normal((len(corpus.df), DIMENSIONS), np.float32)
+
+    def of(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        doc, term, tf = terms_of(ids, counts)
+        weight = bm25(self.corpus, counts, doc, term, tf).astype(np.float32)
+        first = np.searchsorted(doc, np.arange(len(counts) + 1))
+        out = np.empty((len(counts), DIMENSIONS), np.float32)
+        for i in range(len(counts)):  # every document has its end id at least
+            own = weight[first[i]:first[i + 1]]
+            out[i] = own @ self.directions[term[first[i]:first[i + 1]]] / max(float(np.sqrt(own @ own)), 1e-9)
+        return out
+
+
+class Tree:
+    """Halves the profiles again and again along the direction in which they differ most."""
+
+    def __init__(self, profiles: np.ndarray, depth: int):
+        self.depth = depth
+        self.directions = np.zeros((2 << depth, DIMENSIONS), np.float32)
+        self.middles = np.zeros(2 << depth, np.float32)
+        self._halve(profiles, 1)
+
+    def _halve(self, rows: np.ndarray, node: int) -> None:
+        if not len(rows):
+            return
+        centred = rows - rows.mean(0)
+        way = centred[np.argmax((centred * centred).sum(1))]
+        for _ in range(6):
+            way = centred.T @ (centred @ way)
+            way = way / max(float(np.linalg.norm(way)), 1e-9)
+        at = (rows * way).sum(1)
+        self.directions[node], self.middles[node] = way, np.median(at)
+        if node < 1 << self.depth:
+            right = at >= self.middles[node]
+            self._halve(rows[~right], 2 * node)
+            self._halve(rows[right], 2 * node + 1)
+
+    def leaves(self, profiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The leaf of each profile and its place there."""
+        node = np.ones(len(profiles), np.int64)
+        for _ in range(self.depth):
+            node = 2 * node + ((profiles * self.directions[node]).sum(1) >= self.middles[node])
+        return node, (profiles * self.directions[node]).sum(1)
+
+
+def by_likeness(docs: DataFrame, corpus: Corpus, shards: int) -> DataFrame:
+    """``docs`` with ``leaf`` and ``place``: near each other in that order are documents alike in words.
+
+    ``SHAPING`` random documents shape the order; every document has its place in it.
+    """
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = Profiles(corpus)
+        for batch in slices(batches, "ids"):
+            counts = batch.column("doc_tokens").to_numpy()
+            found = profiles.of(numbers(batch.column("ids"), counts), counts)
+            yield pa.RecordBatch.from_pydict({"profile": binaries(found.ravel(), np.full(len(counts), DIMENSIONS))})
+
+    shaping = docs.select("doc_tokens", "ids").sample(min(1.0, SHAPING / corpus.n), seed=1).mapInArrow(sketch, "profile binary").toArrow()
+    found = np.frombuffer(b"".join(shaping.column("profile").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+    tree = Tree(found, max(0, min((shards - 1).bit_length(), (len(found) // 8).bit_length() - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = Profiles(corpus)
+        for batch in slices(batches, "ids"):
+            counts = batch.column("doc_tokens").to_numpy()
+            leaf, place = tree.leaves(profiles.of(numbers(batch.column("ids"), counts), counts))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(leaf), pa.array(place.astype(np.float64))], [*batch.schema.names, "leaf", "place"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "bytes", "doc_tokens", "ids").mapInArrow(
+        run, f"doc_id {kind}, bytes bigint, doc_tokens bigint, ids binary, leaf bigint, place double")
+
+
+def in_shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Consecutive rows of about ``limit`` by their ``bytes``."""
+    held, size = [], 0
+    for batch in batches:
+        ends, begin = np.cumsum(batch.column("bytes").to_numpy()), 0
+        while begin < batch.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + (not held), int(np.searchsorted(ends, before + limit - size, side="right")))
+            if end > begin:
+                held.append(batch.slice(begin, end - begin))
+                size += int(ends[end - 1]) - before
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            begin = end
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, shard_bytes: int = 4 << 20,
          query_terms: int = 24) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
@@ -206,29 +388,33 @@ def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, s
     queried by its ``query_terms`` terms of highest weight.
 
     A null text counts as empty and has the end id alone. Documents of equal id (null too) are told
-    apart by text; equal rows are packed each on its own. Ties of score go to the earlier document
-    by id, then text. Other columns are ignored; an empty table gives no rows.
+    apart by their tokens; equal rows are packed each on its own. Ties of score go to the earlier
+    document by id, then tokens. Other columns are ignored; an empty table gives no rows.
     """
-    docs = documents.select("doc_id", text_or_empty().alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text").cast("long") + 8)).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-
-    def run(key: tuple[pa.Scalar, ...], shard: pa.Table) -> pa.Table:
-        release()
-        shard = shard.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        ids, counts = word_ids(path).texts(texts_of(shard.column("text")), end_id)
-        pieces = np.array(fill_windows(Index(ids, counts, query_terms), counts, window), np.int64).reshape(-1, 5)
-        doc, start, length, sequence, offset = pieces.T
-        cut = gather(ids.astype("<u4"), starts_of(counts)[doc] + start, length)
-        ends = np.concatenate([[0], np.cumsum(length)]) * 4
-        spelled = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(cut.tobytes())])
-        return pa.table({
-            "doc_id": shard.column("doc_id").take(pa.array(doc)), "start": start, "length": length,
-            "ids": spelled.cast(pa.binary()), "doc_tokens": counts[doc],
-            "sequence_id": (key[0].as_py() << 32) + sequence, "offset": offset})
-
+    docs = coded(documents, path, end_id)
+    n, tokens, size = docs.agg(F.count("*"), F.sum("doc_tokens"), F.sum("bytes")).first()
+    corpus = counted(docs, n, tokens) if n else Corpus(0, 0, np.zeros(1, np.int64))
+    shards = max(1, -(-(size or 0) // shard_bytes))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return (
-        docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(shards)))
-        .groupBy("shard").applyInArrow(run, f"doc_id {kind}, {SCHEMA}")
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 16
+        for number, shard in enumerate(in_shards(batches, shard_bytes)):
+            release()
+            shard = shard.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
+            counts = shard.column("doc_tokens").to_numpy()
+            ids = numbers(shard.column("ids"), counts).astype("<u4")
+            pieces = np.array(fill_windows(Index(ids, counts, query_terms, corpus), counts, window), np.int64).reshape(-1, 5)
+            doc, start, length, sequence, offset = pieces.T
+            out = pa.table({
+                "doc_id": shard.column("doc_id").take(pa.array(doc)), "start": start, "length": length,
+                "ids": binaries(gather(ids, starts_of(counts)[doc] + start, length), length), "doc_tokens": counts[doc],
+                "sequence_id": (first + number << 32) + sequence, "offset": offset})
+            yield from out.combine_chunks().to_batches()
+
+    if shards == 1:
+        ordered = docs.coalesce(1)
+    else:
+        order = ["leaf", "place", "doc_id", "doc_tokens"]
+        ordered = by_likeness(docs, corpus, shards).repartitionByRange(-(-shards // 4), *order).sortWithinPartitions(*order, "ids")
+    return ordered.select("doc_id", "bytes", "doc_tokens", "ids").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")

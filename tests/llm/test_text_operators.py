@@ -92,6 +92,29 @@ def test_bm25_scores():
     assert np.allclose(index.score(0), [part(1, 0) + part(2, 0), part(2, 1), part(1, 2)])
 
 
+def test_packing_counts_over_all_documents():
+    ids, counts = np.array([1, 2, 1, 3]), np.array([2, 2])
+    index = packing.Index(ids, counts, 24, packing.Corpus(1000, 50.0, np.array([0, 10, 400, 400])))
+    own = np.log1p(990.5 / 10.5) * 2.2 / (1 + 1.2 * (0.25 + 0.75 * 2 / 50))
+    assert np.isclose(index.score(0)[1], own)
+
+
+def test_packing_puts_related_documents_together(spark):
+    r = random.Random(7)
+    plain = "time people way water number day part sound place year work back name sentence man line boy farm".split()
+    themes = ["".join(p) for p in zip("bcdfghklmnprst", "aeiouaeiouaeio")]
+    texts = [(g, " ".join(r.choice(plain) if r.random() < 0.5 else f"{themes[g]}{themes[r.randrange(6)]}" for _ in range(60)))
+             for g in range(14) for _ in range(12)]
+    r.shuffle(texts)
+    rows = packing.pack(documents(spark, [t for _, t in texts]), WORD, window=400, shard_bytes=8000).collect()
+    assert len({x["sequence_id"] >> 32 for x in rows}) > 6
+    held = {}
+    for x in sorted(rows, key=lambda x: x["offset"]):
+        held.setdefault(x["sequence_id"], []).append(texts[x["doc_id"]][0])
+    same = [g == groups[0] for groups in held.values() for g in groups[1:]]
+    assert sum(same) / len(same) > 0.6
+
+
 # Toxicity
 
 def test_toxicity_held_out_accuracy(spark):
