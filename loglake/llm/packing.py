@@ -143,7 +143,7 @@ class Index:
     Weights follow the counts of ``corpus``; without it the shard's documents are all there are.
     """
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, query_terms: int, corpus: Corpus | None = None):
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, query_terms: int | None = None, corpus: Corpus | None = None):
         n, size = len(counts), int(ids.max()) + 1 if len(ids) else 1
         doc, term, tf = terms_of(ids, counts)
         held = np.bincount(term, minlength=size)
@@ -151,15 +151,17 @@ class Index:
         order = np.argsort(term.astype(np.uint16) if size <= 1 << 16 else term, kind="stable")
         self.docs, self.weights = doc[order], weight[order].astype(np.float32)
         self.starts = np.concatenate([[0], np.cumsum(held)])
-        # The query of a document: its own terms of highest weight that another document has.
-        shared = np.flatnonzero(held[term] > 1)
-        doc, term, weight = doc[shared], term[shared], weight[shared].astype(np.float32)
-        falling = (0xFFFFFFFF - weight.view(np.uint32)).astype(np.int64)
-        order = np.argsort(doc << 32 | falling, kind="stable")
-        place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-        keep = place < query_terms
-        self.query_terms = term[order][keep]
-        self.query_starts = np.searchsorted(doc[keep], np.arange(n + 1))
+        # The query of a document: its own terms that another document of the shard has.
+        shared = held[term] > 1
+        doc, term = doc[shared], term[shared]
+        if query_terms is not None:
+            weight = weight[shared].astype(np.float32)
+            falling = (0xFFFFFFFF - weight.view(np.uint32)).astype(np.int64)
+            order = np.argsort(doc << 32 | falling, kind="stable")
+            keep = order[np.arange(len(doc)) - np.searchsorted(doc, doc) < query_terms]
+            doc, term = doc[keep], term[keep]
+        self.query_terms = term
+        self.query_starts = np.searchsorted(doc, np.arange(n + 1))
         self.scores = np.zeros(n, np.float32)
 
     def score(self, doc: int) -> np.ndarray:
@@ -379,13 +381,13 @@ def in_shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Tabl
 
 
 def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, shard_bytes: int = 4 << 20,
-         query_terms: int = 24) -> DataFrame:
+         query_terms: int | None = None) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
     ``ids`` are the piece's token ids as little-endian unsigned 32-bit numbers. A document's tokens
     are those of its text and then ``end_id``; each lies in exactly one piece. Windows are exactly
     full, except for one at most in each shard of about ``shard_bytes`` of text. A document is
-    queried by its ``query_terms`` terms of highest weight.
+    queried by all its terms, or by the ``query_terms`` of highest weight if a number is given.
 
     A null text counts as empty and has the end id alone. Documents of equal id (null too) are told
     apart by their tokens; equal rows are packed each on its own. Ties of score go to the earlier

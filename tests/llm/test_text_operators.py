@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -99,6 +100,16 @@ def test_packing_counts_over_all_documents():
     assert np.isclose(index.score(0)[1], own)
 
 
+def test_packing_queries_all_shared_terms():
+    heavy, light = np.repeat(np.arange(100, 130), 3), np.arange(10, 50)
+    parts = [np.concatenate([heavy, light]), np.arange(60, 100), light, heavy, np.arange(60, 100)]
+    ids, counts = np.concatenate(parts), np.array([len(p) for p in parts])
+    index = packing.Index(ids, counts, inspect.signature(packing.pack).parameters["query_terms"].default)
+    assert index.score(0)[2] > 0 == index.score(0)[1]
+    pieces = packing.fill_windows(index, counts, len(parts[0]) + len(heavy) + len(light))
+    assert [p[0] for p in pieces if p[3] == 0] == [0, 2, 3]
+
+
 def test_packing_puts_related_documents_together(spark):
     r = random.Random(7)
     plain = "time people way water number day part sound place year work back name sentence man line boy farm".split()
