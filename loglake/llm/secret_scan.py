@@ -1,8 +1,8 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Patterns propose candidates; the hash of each candidate is counted over the distinct repositories
-and owners that hold it. A value that several owners hold is a copied example; one that a single
-owner holds looks live. Built-in expressions only.
+and owners that hold it. A value that more than ``max_owners`` of both hold is a copied example;
+others look live. Built-in expressions only.
 """
 
 from __future__ import annotations
@@ -68,27 +68,34 @@ def candidates(documents: DataFrame, repo: str, owner: str) -> DataFrame:
     )
 
 
-def ownership(found: DataFrame, max_owners: int = 1) -> DataFrame:
+def ownership(found: DataFrame, max_owners: int = 1, fold_copies: bool = False) -> DataFrame:
     """``value, n_repos, n_owners, live``: in how many distinct repositories and owners each hash occurs.
 
     Copies within a repository are folded in each task before anything moves, so a value that
-    stands in a third of all rows costs a row per task.
+    stands in a third of all rows costs a row per task. With ``fold_copies`` all rows of equal text
+    count for one place, the first by owner and repository.
     """
-    places = found.select("repo", "owner", F.explode(F.array_distinct(
-        F.transform(F.concat("base", "tokens"), lambda s: s["value"]))).alias("value")).distinct()
+    values = F.explode(F.array_distinct(F.transform(F.concat("base", "tokens"), lambda s: s["value"]))).alias("value")
+    if fold_copies:
+        places = found.select("text_hash", "repo", "owner", values).groupBy("text_hash", "value").agg(
+            F.min(F.struct("owner", "repo")).alias("place")).select("place.*", "value").distinct()
+    else:
+        places = found.select("repo", "owner", values).distinct()
     return (
         places.groupBy("value")
         .agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"))
-        .withColumn("live", F.col("n_owners") <= max_owners)
+        .withColumn("live", F.least("n_repos", "n_owners") <= max_owners)
     )
 
 
-def scan_secrets(documents: DataFrame, repo: str = "source", owner: str = "source", max_owners: int = 1) -> DataFrame:
+def scan_secrets(documents: DataFrame, repo: str = "source", owner: str = "source", max_owners: int = 1,
+                 fold_copies: bool = False) -> DataFrame:
     """One row per document: ``doc_id, text_hash, base, spans`` with ``spans`` holding a ``live`` flag.
 
     ``base`` are the fixed patterns' spans. ``spans`` are those and, as kind ``live``, long tokens of
-    letters and digits that no more than ``max_owners`` owners hold; tokens seen with more owners
-    are copied examples and not added. Base spans stay whatever their ownership.
+    letters and digits that no more than ``max_owners`` owners or repositories hold; tokens seen
+    with more are copied examples and not added. Base spans stay whatever their ownership. With
+    ``fold_copies`` equal texts count for one owner.
 
     Null or empty texts have no spans. Null repositories and owners count as one, named by the
     empty text. Repeated rows each give a row. Other columns are ignored; an empty table gives none.
@@ -97,7 +104,7 @@ def scan_secrets(documents: DataFrame, repo: str = "source", owner: str = "sourc
     each = found.select("doc_id", "text_hash", F.explode(F.concat("base", "tokens")).alias("s")).select(
         "doc_id", "text_hash", "s.*").distinct()
     judged = (
-        each.join(ownership(found, max_owners), "value")
+        each.join(ownership(found, max_owners, fold_copies), "value")
         .filter((F.col("kind") < 3) | F.col("live"))
         .groupBy("doc_id", "text_hash")
         .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans"))
