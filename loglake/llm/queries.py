@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat_format, html_extract, ngram_join, packing, secret_scan, topk, toxicity, url_filter, winnowing
+from loglake.llm import (
+    bpe, chat_format, html_extract, merkle, ngram_join, packing, periodic, piece_table, secret_scan, topk, toxicity, url_filter, winnowing,
+)
 from loglake.llm.common import table
 
 #: The score from which a text counts as toxic.
 TOXIC = 0.3
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 #: Words of hosts whose pages make the list of op1.
 BAD_HOSTS = r"(^|[.-])(adult|ads|spam|casino|pills|bets)([.-]|$)"
@@ -88,9 +92,56 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering lower-cases the text of a fifth of the documents, by the checksum of their ids."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+                      merkle.leaf(text=F.translate("text", UPPER, UPPER.lower())))
+    proofs = merkle.prove(merkle.build(table(spark, sf_dir, "documents"), {"tampered": tampered}))
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("siblings"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def planted_period(documents: DataFrame) -> DataFrame:
+    """Texts of a tenth of the documents, by the checksum of their ids, repeat from some word on."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    draw = F.floor(F.col("sum") / 10)
+    marked = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("sum"))
+    marked = marked.withColumn("words", F.when(F.col("sum") % 10 == 0, words)).withColumn(
+        "first", draw % F.size("words")).withColumn(
+        "period", 1 + F.floor((F.size("words") - F.col("first")) / (3 + draw % 8)))
+    copied = lambda w, i: F.when(i < F.col("first"), w).otherwise(
+        F.element_at("words", (F.col("first") + (i - F.col("first")) % F.col("period") + 1).cast("int")))
+    return marked.select("doc_id", F.when(F.size("words") > 0, F.array_join(F.transform("words", copied), " ")).otherwise(
+        F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(planted_period(table(spark, sf_dir, "documents")))
+    # Runs come in order of start and period, so the first of equals stays.
+    nothing = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", nothing, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    spelled = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    lines = F.array_join(F.transform(spelled, lambda r: F.concat(r, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    whole = piece_table.decode(piece_table.encode(table(spark, sf_dir, "documents"), path), path)
+    return whole.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_packing, op3_ngram_join, op4_chat_format, op5_toxicity, op6_winnowing, op7_bpe, op8_topk, op9_html_extract,
-    op10_secret_scan)}
+    op10_secret_scan, op11_merkle, op12_periodic_runs, op13_sentencepiece)}
 
 ORACLE: dict[str, str] = {}
 
@@ -206,3 +257,87 @@ select d.doc_id, count(*) filter (s.k = 0) as n_assign, count(*) filter (s.k = 1
        count(*) filter (s.live) as n_live
 from d left join shown s on d.doc_id = s.doc_id group by d.doc_id
 """
+
+#: The checksum of the decimal ``doc_id``, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda c : cast(unicode(c) as bigint))),
+  lambda c, b : list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda s, x : xor(s >> 1, 3988292384 * (s & 1)))))"""
+
+ORACLE["op11_merkle"] = rf"""
+with recursive rows_ as (
+  select doc_id, source, text, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as head,
+         {CRC32} as checksum
+  from documents),
+leaves as (
+  select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         case when checksum % 5 = 0 then
+           sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) end as tampered
+  from rows_),
+placed as (
+  select *, dense_rank() over (order by source nulls first) - 1 as tree, count(*) over (partition by source) as n,
+         row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i from leaves),
+nodes(tree, level, i, n, digest) as (
+  select tree, 0, i, n, leaf from placed
+  union all
+  select tree, level + 1, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by i)) from nodes where n > 1
+  group by tree, level, i // 16, n),
+subroots as (select tree, digest from nodes where n = 1),
+upper_(level, i, n, digest) as (
+  select 0, tree, count(*) over (), digest from subroots
+  union all
+  select level + 1, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by i)) from upper_ where n > 1
+  group by level, i // 16, n),
+runs as (
+  select tree, level, i // 16 as run, list(digest order by i) as d from nodes where n > 1 group by 1, 2, 3
+  union all select -1, level, i // 16, list(digest order by i) from upper_ where n > 1 group by 1, 2, 3),
+way(doc_id, leaf, tree, level, i, folded, proof) as (
+  select doc_id, leaf, tree, 0, i, coalesce(tampered, leaf), '' from placed
+  union all
+  select w.doc_id, w.leaf, w.tree, w.level + 1, w.i // 16,
+         sha256(array_to_string(r.d[1:w.i % 16], '') || folded || array_to_string(r.d[w.i % 16 + 2:], '')),
+         proof || array_to_string(r.d[1:w.i % 16], '') || array_to_string(r.d[w.i % 16 + 2:], '')
+  from way w join runs r on r.tree = w.tree and r.level = w.level and r.run = w.i // 16),
+heights as (select tree, max(level) as height from nodes group by tree),
+on_(doc_id, leaf, tree, level, i, folded, proof) as (
+  select doc_id, leaf, w.tree, 0, w.tree, folded, proof from way w join heights h on h.tree = w.tree and h.height = w.level
+  union all
+  select w.doc_id, w.leaf, w.tree, w.level + 1, w.i // 16,
+         sha256(array_to_string(r.d[1:w.i % 16], '') || folded || array_to_string(r.d[w.i % 16 + 2:], '')),
+         proof || array_to_string(r.d[1:w.i % 16], '') || array_to_string(r.d[w.i % 16 + 2:], '')
+  from on_ w join runs r on r.tree = -1 and r.level = w.level and r.run = w.i // 16)
+select doc_id, leaf, s.digest as subroot, u.digest as root, sha256(proof) as proof_sha256, folded as folded_root,
+       folded = u.digest as verified
+from on_ w join subroots s on s.tree = w.tree join upper_ u on u.n = 1 and w.level = u.level
+"""
+
+ORACLE["op12_periodic_runs"] = rf"""
+with split_ as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x : x <> '') as w, {CRC32} as h from documents),
+drawn as (select *, len(w) as n, h // 10 as g, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a from split_),
+planted as (
+  select doc_id, n, case when a is null then w else list_transform(range(n), lambda i :
+    case when i < a then w[i + 1] else w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] end) end as w from drawn),
+words_ as (select doc_id, n, unnest(range(n)) as i, unnest(w) as word from planted),
+equal_ as (
+  select x.doc_id, y.i - x.i as q, x.i, x.i - row_number() over (partition by x.doc_id, y.i - x.i order by x.i) as island
+  from words_ x join words_ y on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 3 * (y.i - x.i) <= x.n),
+stretches as (select doc_id, q, min(i) as start, count(*) + q as length from equal_ group by doc_id, q, island),
+runs_ as (
+  select doc_id, start, length, min(q) as period from stretches where length >= greatest(24, 3 * q) group by doc_id, start, length),
+ranked as (
+  select *, row_number() over (partition by doc_id order by cast(length as hugeint) * 1000000000000 // period desc, start, period) as place
+  from runs_),
+told as (
+  select doc_id, count(*) as n_runs, any_value(start) filter (place = 1) as start, any_value(length) filter (place = 1) as length,
+         any_value(period) filter (place = 1) as period,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines
+  from ranked group by doc_id),
+kept as (
+  select doc_id, string_agg(word, ' ' order by i) as collapsed from words_ x
+  where not exists (select 1 from runs_ r where r.doc_id = x.doc_id and x.i >= r.start + r.period and x.i < r.start + r.length)
+  group by doc_id)
+select p.doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+from planted p left join told t on t.doc_id = p.doc_id left join kept k on k.doc_id = p.doc_id
+"""
