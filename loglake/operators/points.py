@@ -165,6 +165,24 @@ def delete_condition(
     return F.coalesce(test, F.lit(False))
 
 
+def without_deleted(points: DataFrame, deletes: DataFrame, keep: str = "left_anti") -> DataFrame:
+    """Stored datapoints without those that a logged delete names and that were loaded before it.
+
+    ``deletes`` are rows ``names, start_ms, end_ms, tags, deleted_at``, null for no bound and no tags.
+    With ``keep="left_semi"`` the deleted ones are what stays. The deletes are joined by name; Spark
+    sends them to every task when they measure small.
+    """
+    d = deletes.select(F.explode("names").alias("d_name"), "start_ms", "end_ms", F.col("tags").alias("d_tags"), "deleted_at")
+    tags_fit = F.forall(
+        F.coalesce(F.map_entries("d_tags"), F.array().cast("array<struct<key:string,value:array<string>>>")),
+        lambda tag: F.coalesce(F.array_contains(tag["value"], F.element_at(F.col("tags"), tag["key"])), F.lit(False)))
+    named = (
+        (F.col("name") == F.col("d_name")) & (F.col("load_time") <= F.col("deleted_at"))
+        & (F.col("start_ms").isNull() | (F.col("timestamp") >= F.col("start_ms")))
+        & (F.col("end_ms").isNull() | (F.col("timestamp") <= F.col("end_ms"))) & tags_fit)
+    return points.join(d, named, keep)
+
+
 def delete_metric(points: DataFrame, name: str) -> DataFrame:
     return points.where(~delete_condition([name], None, None, None))
 

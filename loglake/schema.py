@@ -57,7 +57,21 @@ RUN_LOG = _struct(
     ("ok", T.BooleanType()), ("timestamp", TEXT), ("rejected", LONG),
 )
 
-REJECT = _struct(("reason", TEXT), ("record", TEXT), ("file_path", TEXT), ("load_time", TIME))
+REJECT = _struct(
+    ("reason", TEXT), ("record", TEXT), ("file_path", TEXT), ("load_time", TIME), ("copies", LONG),
+)
+
+# One delete of datapoints: it removes what it names of all that was loaded up to its time.
+DELETE = _struct(
+    ("names", T.ArrayType(TEXT)), ("start_ms", LONG), ("end_ms", LONG),
+    ("tags", T.MapType(TEXT, T.ArrayType(TEXT))), ("deleted_at", TIME),
+)
+
+# What a load says of an archive file: claimed, loaded (and what was in it) or given back.
+LEDGER = _struct(
+    ("target", TEXT), ("file_path", TEXT), ("file_size", LONG), ("modified", TIME), ("digest", TEXT),
+    ("state", TEXT), ("load_id", TEXT), ("written_at", TIME), ("rows_in", LONG), ("rejected", LONG),
+)
 
 # Document types, and the length up to which a text field keeps an exact-match
 # copy. Fields not listed for a type fall back to "default".

@@ -1,7 +1,8 @@
 """The lake: datapoints, documents, progress and run log as partitioned Parquet.
 
 Loads append; a row's key decides on reading which copy counts, so a load that runs twice
-changes nothing. ``compact_*`` folds the copies of the partitions it is given into one.
+changes nothing. ``compact_*`` folds the copies of the partitions it is given into one, and reads of
+partitions so folded need no fold any more. Deletes are a log of predicates until they are folded in.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ from pyspark.sql import types as T
 
 from loglake.operators.documents import DOC_KEY, upsert_docs
 from loglake.functions.times import DAY_MS, utc_day
-from loglake.operators.points import (
-    ORDER, POINT_COLUMNS, delete_condition, in_absolute_range, upsert_points,
-)
-from loglake.schema import DOC, POINT, PROGRESS, REJECT, RUN_LOG
-from loglake.session import new_path
+from loglake.operators.points import ORDER, POINT_COLUMNS, in_absolute_range, upsert_points, without_deleted
+from loglake.schema import DELETE, DOC, POINT, PROGRESS, REJECT, RUN_LOG
+from loglake.sinks import versions
 
 LOAD_TIME = T.StructField("load_time", T.TimestampType())
 STORED_POINT = T.StructType([
     *POINT.fields, T.StructField(ORDER, T.LongType()), LOAD_TIME, T.StructField("day", T.DateType()),
 ])
 STORED_DOC = T.StructType([*DOC.fields, LOAD_TIME])
+POINT_PARTITIONS, POINT_SORT = ("day",), ("name", "timestamp")
+DOC_PARTITIONS, DOC_SORT = ("_index", "_type"), ("@timestamp",)
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,10 @@ class Lake:
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
 
 def _text(value: datetime | str | None) -> str | None:
     """A time as text, which Spark reads in the session zone whatever zone Python is in."""
@@ -75,31 +80,6 @@ def moment(value: datetime | str) -> Column:
     return F.lit(_text(value)).cast("timestamp")
 
 
-def _store(
-    rows: DataFrame, path: str, partitions: tuple[str, ...], order: tuple[str, ...],
-    mode: str = "append", rebalance: bool = True,
-) -> int:
-    """Write by partition; returns the number of rows.
-
-    The rebalance lets Spark size the files by measured bytes: it splits a large partition
-    value over several tasks and packs small ones together. Sorting by the usual filter columns
-    makes the row-group statistics selective. Rows are counted in the last stage, where a
-    repeated task counts once.
-    """
-    if rebalance:
-        rows = rows.hint("rebalance", *partitions)
-    written = Observation()
-    (
-        rows.sortWithinPartitions(*partitions, *order)
-        .observe(written, F.count(F.lit(1)).alias("n"))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-    return written.get["n"]
-
-
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table that may not exist yet. The schema keeps Spark from guessing types of partitions."""
     try:
@@ -122,12 +102,7 @@ def write_points(
     """Append datapoints by day (UTC). Points without ``order_us`` are ordered by their time."""
     order = F.col(ORDER) if ORDER in points.columns else F.col("timestamp") * F.lit(1000).cast("long")
     stored = _with_day(points.select(*POINT_COLUMNS, order.alias(ORDER)).withColumn("load_time", moment(load_time)))
-    return _store(stored, path, ("day",), ("name", "timestamp"), rebalance=rebalance)
-
-
-def _stored_points(spark: SparkSession, path: str) -> DataFrame:
-    """All stored copies. A rewritten day holds one row without a load time, which is no datapoint."""
-    return _read(spark, path, STORED_POINT).where(F.col("load_time").isNotNull())
+    return versions.append(stored, path, POINT_PARTITIONS, POINT_SORT, rebalance)
 
 
 def read_points(
@@ -137,69 +112,114 @@ def read_points(
     """Datapoints of the given metrics and time range, one per key unless ``latest`` is off.
 
     The day bounds sit beside the time bounds because Spark does not derive one from the other.
+    Days that were compacted and not added to since hold each key once and are read without a shuffle.
     """
-    points = _stored_points(spark, path).where(in_absolute_range(start_ms, end_ms))
-    if start_ms is not None:
-        points = points.where(F.col("day") >= F.lit(_day_of(start_ms)))
-    if end_ms is not None:
-        points = points.where(F.col("day") <= F.lit(_day_of(end_ms)))
+    at = versions.version(spark, path)
+    first = None if start_ms is None else str(_day_of(start_ms))
+    last = None if end_ms is None else str(_day_of(end_ms))
+    inside = lambda day: (first is None or day >= first) and (last is None or day <= last)
+    live = {day: clean for day, clean in versions.live_partitions(spark, path, POINT_PARTITIONS, at).items() if inside(day)}
+    points = versions.read(spark, path, STORED_POINT, POINT_PARTITIONS, at, _clean(live) if latest else ())
+    points = points.where(in_absolute_range(start_ms, end_ms))
+    if first is not None:
+        points = points.where(F.col("day") >= F.lit(first).cast("date"))
+    if last is not None:
+        points = points.where(F.col("day") <= F.lit(last).cast("date"))
     if names is not None:
         points = points.where(F.col("name").isin([names] if isinstance(names, str) else list(names)))
+    deletes = stored_deletes(spark, path)
+    if deletes is not None:
+        points = without_deleted(points, deletes)
     if latest:
-        points = upsert_points(points)
+        points = _folded(points, F.col("day").cast("string"), live, upsert_points, POINT_COLUMNS)
     return points.select(*POINT_COLUMNS)
 
 
+def _clean(live: Mapping[str, bool]) -> list[str]:
+    return [key for key, clean in live.items() if clean]
+
+
+def _folded(rows: DataFrame, partition: Column, live: Mapping[str, bool], fold, columns: Sequence[str]) -> DataFrame:
+    """``fold(rows)``, but for rows of the clean ones of the ``live`` partitions, which need none."""
+    clean = _clean(live)
+    if not clean:
+        return fold(rows).select(*columns)
+    if len(clean) == len(live):
+        return rows.where(partition.isin(clean)).select(*columns)
+    whole = rows.where(partition.isin(clean)).select(*columns)
+    return whole.unionByName(fold(rows.where(~partition.isin(clean))).select(*columns))
+
+
 def _day_of(ms: int) -> date:
     return date(1970, 1, 1) + timedelta(days=ms // DAY_MS)
 
 
-def _rewrite(rows: DataFrame, path: str, partitions: tuple[str, ...], order: tuple[str, ...]) -> None:
-    """Replace the partitions that ``rows`` fall into.
+def compact_points(spark: SparkSession, path: str, days: Iterable[date]) -> None:
+    """Fold the copies of each datapoint of the given days into one, and logged deletes into them.
 
-    The new contents are written to the shared folder first and the partitions overwritten from
-    there, so what is being replaced is never the only copy: a rewrite that dies in between leaves
-    the whole of them under ``spark.checkpoint.dir``, and running it again from there completes it.
+    Readers see the old files or the new ones, whole. Loads may go on meanwhile.
     """
-    spark = rows.sparkSession
-    staged = new_path(spark, "rewrite")
-    rows.write.parquet(staged)
-    _store(spark.read.schema(rows.schema).parquet(staged), path, partitions, order, mode="overwrite")
+    deletes = stored_deletes(spark, path)
 
+    def fold(rows: DataFrame) -> DataFrame:
+        return _with_day(upsert_points(rows if deletes is None else without_deleted(rows, deletes)))
 
-def compact_points(spark: SparkSession, path: str, days: Iterable[date]) -> None:
-    """Fold the copies of each datapoint of the given days into one.
+    versions.replace(spark, path, STORED_POINT, POINT_PARTITIONS, POINT_SORT, [versions.key_of([d]) for d in days], fold)
 
-    Like every rewrite, run it on days no load is writing to.
-    """
-    stored = _stored_points(spark, path).where(F.col("day").isin(list(days)))
-    _rewrite(_with_day(upsert_points(stored)), path, ("day",), ("name", "timestamp"))
+
+def _delete_log(path: str) -> str:
+    return f"{path}-deletes"
+
+
+def stored_deletes(spark: SparkSession, path: str) -> DataFrame | None:
+    """The logged deletes of a datapoint table that are not folded in yet; None if there are none."""
+    files = versions.list_paths(spark, f"{_delete_log(path)}/*.parquet")
+    return spark.read.schema(DELETE).parquet(*files) if files else None
 
 
 def delete_stored_points(
     spark: SparkSession, path: str, names: Iterable[str], start_ms: int | None = None,
-    end_ms: int | None = None, tags: Mapping | None = None,
+    end_ms: int | None = None, tags: Mapping | None = None, at: datetime | str | None = None,
 ) -> None:
-    """Remove datapoints for good by rewriting the days that hold any of them.
+    """Remove the datapoints of these metrics in the range that carry the tags.
 
-    Overwriting by partition leaves a partition alone that gets no rows, so each rewritten day
-    also gets one row without a load time, which every reader here skips.
+    Writes one small file; no datapoint is read or written. It holds for all that was loaded up to
+    ``at``, by default now: what a later load brings stays. Readers leave the rows out from now on,
+    and ``compact_points`` and ``fold_deletes`` drop them from the files.
     """
-    stored = _stored_points(spark, path)
-    if start_ms is not None:
-        stored = stored.where(F.col("day") >= F.lit(_day_of(start_ms)))
-    if end_ms is not None:
-        stored = stored.where(F.col("day") <= F.lit(_day_of(end_ms)))
-    doomed = delete_condition(list(names), start_ms, end_ms, tags)
-    # The days are partitions the driver lists anyway; naming them makes sure no other is read.
-    days = [row["day"] for row in stored.where(doomed).select("day").distinct().toLocalIterator()]
-    if not days:
+    texts = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    wanted = {k: [v] if isinstance(v, str) else list(v) for k, v in (tags or {}).items()}
+    pairs = [c for k, v in wanted.items() for c in (F.lit(k), texts(v))]
+    spark.range(1, numPartitions=1).select(
+        texts(names).alias("names"), F.lit(start_ms).cast("long").alias("start_ms"), F.lit(end_ms).cast("long").alias("end_ms"),
+        (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<string,array<string>>").alias("tags"),
+        (F.current_timestamp() if at is None else moment(at)).alias("deleted_at"),
+    ).write.mode("append").parquet(_delete_log(path))
+
+
+def fold_deletes(spark: SparkSession, path: str) -> None:
+    """Rewrite the days that hold datapoints a logged delete has removed, and empty the log.
+
+    If it dies after the days were published, the deletes still logged find nothing more to remove.
+    """
+    files = versions.list_paths(spark, f"{_delete_log(path)}/*.parquet")
+    if not files:
         return
-    remaining = stored.where(F.col("day").isin(days) & ~doomed)
-    markers = spark.createDataFrame([(day,) for day in days], "day date").select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in STORED_POINT.fields[:-1]], "day"
-    )
-    _rewrite(remaining.select(STORED_POINT.names).union(markers), path, ("day",), ("name", "timestamp"))
+    deletes = spark.read.schema(DELETE).parquet(*files)
+    stored = versions.read(spark, path, STORED_POINT, POINT_PARTITIONS)
+    low, high, open_low, open_high = deletes.agg(
+        F.min("start_ms"), F.max("end_ms"), F.max(F.col("start_ms").isNull()), F.max(F.col("end_ms").isNull())).first()
+    if not open_low:
+        stored = stored.where(F.col("day") >= F.lit(_day_of(low)))
+    if not open_high:
+        stored = stored.where(F.col("day") <= F.lit(_day_of(high)))
+    # The days are partitions the driver lists anyway; naming them makes sure no other is read.
+    doomed = without_deleted(stored, deletes, keep="left_semi").select("day").distinct()
+    days = [row["day"] for row in doomed.toLocalIterator()]
+    if days:
+        compact_points(spark, path, days)
+    for file in files:
+        versions.remove(spark, file)
 
 
 # --- documents -----------------------------------------------------------------------------
@@ -211,7 +231,7 @@ def write_docs(
     stored = docs.withColumn("load_time", moment(load_time)).withColumn(
         "@timestamp", F.col("@timestamp").cast("timestamp")
     )
-    return _store(stored, path, ("_index", "_type"), ("@timestamp",), rebalance=rebalance)
+    return versions.append(stored, path, DOC_PARTITIONS, DOC_SORT, rebalance)
 
 
 def read_docs(
@@ -224,13 +244,21 @@ def read_docs(
 
     All copies of a document share its time, so filtering before the fold is exact. Name the
     ``columns`` you need: the fold carries whole rows, and the others are then not even read.
+    Compacted partitions that were not added to since are read without a shuffle.
     """
-    docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names)
+    wanted = None if index is None else [index] if isinstance(index, str) else list(index)
+    at = versions.version(spark, path)
+    live = {}
+    for key, clean in versions.live_partitions(spark, path, DOC_PARTITIONS, at).items():
+        name, kind = key.split(versions.SEPARATOR)
+        if (wanted is None or name in wanted) and doc_type in (None, kind):
+            live[key] = clean
+    docs = versions.read(spark, path, STORED_DOC, DOC_PARTITIONS, at, _clean(live) if latest else ())
     if columns is not None:
         kept = dict.fromkeys((*DOC_KEY, "@timestamp", *columns, "load_time"))
         docs = docs.select(*kept)
-    if index is not None:
-        docs = docs.where(F.col("_index").isin([index] if isinstance(index, str) else list(index)))
+    if wanted is not None:
+        docs = docs.where(F.col("_index").isin(wanted))
     if doc_type is not None:
         docs = docs.where(F.col("_type") == doc_type)
     if low is not None:
@@ -238,63 +266,80 @@ def read_docs(
     if high is not None:
         docs = docs.where(F.col("@timestamp") <= moment(high))
     if latest:
-        docs = upsert_docs(docs)
+        docs = _folded(docs, F.concat_ws(versions.SEPARATOR, *DOC_PARTITIONS), live, upsert_docs, docs.columns)
     return docs.drop("load_time") if columns is None else docs.select(*columns)
 
 
 def compact_docs(spark: SparkSession, path: str, index: str | Iterable[str]) -> None:
-    """Fold the copies of each document of the given indexes into one.
-
-    Like every rewrite, run it on indexes no load is writing to.
-    """
-    docs = _read(spark, path, STORED_DOC).select(STORED_DOC.names).where(
-        F.col("_index").isin([index] if isinstance(index, str) else list(index)))
-    _rewrite(upsert_docs(docs), path, ("_index", "_type"), ("@timestamp",))
+    """Fold the copies of each document of the given indexes into one; as ``compact_points``."""
+    wanted = {index} if isinstance(index, str) else set(index)
+    keys = [key for key in versions.live_partitions(spark, path, DOC_PARTITIONS) if key.split(versions.SEPARATOR)[0] in wanted]
+    versions.replace(spark, path, STORED_DOC, DOC_PARTITIONS, DOC_SORT, keys, upsert_docs)
 
 
 # --- rejects -------------------------------------------------------------------------------
 
 def write_rejects(rows: DataFrame, path: str, load_time: datetime | str) -> int:
-    """Append what a load could not store, as text, with the reason; returns the number of rows."""
+    """Append what a load could not store, as text, with the reason; returns the number of rows.
+
+    Equal rejects of a load become one row with their number, which is what a repeated load repeats.
+    """
     written = Observation()
-    stored = rows.select("reason", "record", "file_path", moment(load_time).alias("load_time"))
-    stored.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-    return written.get["n"]
+    stored = rows.groupBy("reason", "record", "file_path").agg(F.count(F.lit(1)).alias("copies")).select(
+        "reason", "record", "file_path", moment(load_time).alias("load_time"), "copies")
+    stored.observe(written, F.sum("copies").alias("n")).write.mode("append").parquet(path)
+    return written.get["n"] or 0
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, REJECT).select(REJECT.names)
+    """Each reject (reason, text and file) once, as the latest load that met it counted it.
+
+    A retried load, a replayed micro-batch and a file that is loaded again add nothing. Equal records
+    without a file, from different batches, count as one record delivered twice.
+    """
+    latest = F.max(F.struct("load_time", "copies")).alias("latest")
+    return _read(spark, path, REJECT).groupBy("reason", "record", "file_path").agg(latest).select(
+        "reason", "record", "file_path", "latest.load_time", "latest.copies")
 
 
 # --- control tables ------------------------------------------------------------------------
 
+CONTROL_PARTITIONS = ("collector",)
+
+
 def _append_row(spark: SparkSession, path: str, schema: T.StructType, values: Mapping) -> None:
     row = spark.range(1, numPartitions=1).select(
         *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
-    row.write.mode("append").partitionBy("collector").parquet(path)
+    versions.append(row, path, CONTROL_PARTITIONS, (), rebalance=False)
 
 
 def compact_control(spark: SparkSession, lake: Lake) -> None:
     """Fold the one-row files that a collector leaves per window into one file per collector.
 
-    Run it now and then, while the collectors pause. Progress keeps its last reset and, since
-    then, its ends, which is all a resume looks at; the run log keeps every row.
+    Run it now and then. Progress keeps its last reset and, since then, its ends, which is all a
+    resume looks at; the run log keeps every row.
     """
-    progress = read_progress(spark, lake.progress)
-    resets = progress.where(F.col("past").isNull()).groupBy("collector").agg(
-        F.max("written_at").alias("reset_at"))
-    current = progress.join(resets, "collector", "left").where(
-        F.col("reset_at").isNull() | (F.col("written_at") >= F.col("reset_at")))
     fields = F.struct(*[c for c in PROGRESS.names if c != "collector"])
-    ends = current.groupBy("collector").agg(
-        F.min_by(fields, "collector_piglet").alias("first"), F.max_by(fields, "collector_piglet").alias("last"),
-        F.max_by(fields, F.when(F.col("past").isNull(), F.col("written_at"))).alias("reset"),
-    )
-    folded = ends.select("collector", F.explode(F.array_distinct(F.array("first", "last", "reset"))).alias("r"))
-    _rewrite(folded.where(F.col("r").isNotNull()).select("collector", "r.*"), lake.progress,
-             ("collector",), ("collector_piglet",))
-    _rewrite(read_run_log(spark, lake.run_log), lake.run_log, ("collector",), ("timestamp",))
+
+    def ends(progress: DataFrame) -> DataFrame:
+        resets = progress.where(F.col("past").isNull()).groupBy("collector").agg(
+            F.max("written_at").alias("reset_at"))
+        current = progress.join(resets, "collector", "left").where(
+            F.col("reset_at").isNull() | (F.col("written_at") >= F.col("reset_at")))
+        kept = current.groupBy("collector").agg(
+            F.min_by(fields, "collector_piglet").alias("first"), F.max_by(fields, "collector_piglet").alias("last"),
+            F.max_by(fields, F.when(F.col("past").isNull(), F.col("written_at"))).alias("reset"),
+        )
+        folded = kept.select("collector", F.explode(F.array_distinct(F.array("first", "last", "reset"))).alias("r"))
+        return folded.where(F.col("r").isNotNull()).select("collector", "r.*")
+
+    for path, schema, order, change in (
+        (lake.progress, PROGRESS, ("collector_piglet",), ends), (lake.run_log, RUN_LOG, ("timestamp",), lambda rows: rows),
+    ):
+        keys = versions.live_partitions(spark, path, CONTROL_PARTITIONS)
+        if keys:
+            versions.replace(spark, path, schema, CONTROL_PARTITIONS, order, keys, change)
 
 
 def write_progress(
@@ -316,7 +361,7 @@ def reset_progress(
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, PROGRESS).select(PROGRESS.names)
+    return versions.read(spark, path, PROGRESS, CONTROL_PARTITIONS)
 
 
 def write_run_log(spark: SparkSession, path: str, record: Mapping) -> None:
@@ -327,4 +372,4 @@ def write_run_log(spark: SparkSession, path: str, record: Mapping) -> None:
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, RUN_LOG).select(RUN_LOG.names)
+    return versions.read(spark, path, RUN_LOG, CONTROL_PARTITIONS)

@@ -151,6 +151,9 @@ def test_delete_empties_a_day(spark, lake):
     assert tables.read_points(spark, lake.points).count() == 225 - 108
     tables.delete_stored_points(spark, lake.points, ["HALL_PRESSURE"])
     assert tables.read_points(spark, lake.points).count() == 0
+    tables.fold_deletes(spark, lake.points)
+    assert tables.read_points(spark, lake.points, latest=False).count() == 0
+    assert tables.stored_deletes(spark, lake.points) is None
 
 
 def test_caller_supplied_steps(spark, lake):
@@ -263,25 +266,6 @@ def test_slices_need_their_bounds():
         jdbc_options("u", partitions=4, lower=START)
 
 
-def test_a_rewrite_that_dies_leaves_a_whole_copy(spark, lake, monkeypatch):
-    load.load_both(series(spark), lake, NOW)
-    before = contents(spark, lake)[0]
-    staged = []
-    monkeypatch.setattr(tables, "new_path", lambda session, label: staged.append(new_path(session, label)) or staged[-1])
-
-    def die(*_, **__):
-        raise RuntimeError("lost")
-
-    store = tables._store
-    monkeypatch.setattr(tables, "_store", die)
-    with pytest.raises(RuntimeError):
-        tables.compact_points(spark, lake.points, [date(2024, 1, 1)])
-    monkeypatch.setattr(tables, "_store", store)
-    copy = spark.read.parquet(staged[-1])
-    assert {(r["name"], r["timestamp"], r["value"]) for r in copy.collect()} == {p for p in before if p[1] < 1704153600000}
-    assert contents(spark, lake)[0] == before
-
-
 def test_no_row_is_lost_without_names_times_or_types(spark, lake, tmp_path):
     rows = [record(id=1, keywname=None), record(id=2, keywname="", logtext="other"), record(id=3, typelog=None, keywvalue="x"),
             record(id=4, typelog="", keywvalue="y"), record(id=5, env=None, logtext=None)]
