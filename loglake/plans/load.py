@@ -54,6 +54,11 @@ def points_only(spec: LoadSpec | None) -> LoadSpec:
     return replace(spec or LoadSpec(), targets=POINTS_ONLY)
 
 
+def log_time(now: datetime) -> str:
+    """A run's time as the run log holds it."""
+    return now.strftime("%Y-%m-%dT%H:%M:%S.") + f"{now.microsecond // 1000:03d}Z"
+
+
 def collector_of(name: str, spec: LoadSpec) -> str:
     """Loads into one store keep a progress of their own, so they never hide work left for both."""
     return name if spec.targets == BOTH else "-".join((*spec.targets, name))
@@ -114,7 +119,7 @@ def load_window(
     spark = records.sparkSession
     run = {
         "collector": collector, "host": spec.host, "past": past, "present": present,
-        "timestamp": now.strftime("%Y-%m-%dT%H:%M:%S.") + f"{now.microsecond // 1000:03d}Z",
+        "timestamp": log_time(now),
     }
     try:
         rejected = 0 if rejects is None else write_rejects(rejects, lake.rejects, now)

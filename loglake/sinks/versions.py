@@ -48,7 +48,7 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in (system.globStatus(path) or []))
 
 
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
     """A pattern that only this path matches."""
     return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in path)
 
@@ -228,7 +228,7 @@ def _appended_files(spark: SparkSession, path: str, partitions: Sequence[str], a
     wanted, out = set(keys), []
     for key, generations in _directories(spark, path, partitions).items():
         if key in wanted and (directory := generations.get(at.of(key) + APPENDED)):
-            out += list_paths(spark, f"{_literal(directory)}/*.parquet")
+            out += list_paths(spark, f"{literal_path(directory)}/*.parquet")
     return out
 
 
@@ -251,7 +251,7 @@ def replace(
     done = _publish(spark, path, at, dict.fromkeys(keys, generation))
     late = sorted(set(_appended_files(spark, path, partitions, at, keys)) - set(before))
     if late:
-        rows = spark.read.schema(schema).option("basePath", path).parquet(*map(_literal, late))
+        rows = spark.read.schema(schema).option("basePath", path).parquet(*map(literal_path, late))
         append(rows, path, partitions, order)
     return done
 

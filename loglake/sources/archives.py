@@ -75,3 +75,18 @@ def list_files(
     return reader.load(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size")
     )
+
+
+def fingerprints(
+    spark: SparkSession, paths: str | Sequence[str], name_pattern: str | None = None, recursive: bool = False,
+) -> DataFrame:
+    """``file_path, path, file_size, modified`` of every file, without opening any.
+
+    ``file_path`` is spelled as rows of the file carry it, ``path`` as a reader takes it.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if name_pattern is not None:
+        reader = reader.option("pathGlobFilter", name_pattern)
+    return reader.load(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("file_path"), "path", F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("modified"))

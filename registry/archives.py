@@ -13,6 +13,7 @@ from loglake.operators.records import in_period
 from loglake.plans import archives as plans
 from loglake.schema import CSV_TO_ALOG, OPS_CSV
 from loglake.session import new_path
+from loglake.sinks import ledger
 from loglake.sinks.exports import write_ops_csv
 from loglake.sinks.lake import Lake, read_docs, read_points, read_rejects
 from loglake.sources import archives as sources
@@ -254,3 +255,24 @@ def _(spark, sf_dir):
     part = F.regexp_extract("file_path", "/(good|bad)/", 1)
     names = spark.range(2).select(F.when(F.col("id") == 0, "good").otherwise("bad").alias("part"))
     return names.join(new.select(part.alias("part"), F.lit(True).alias("listed")).distinct(), "part", "left").na.fill(False)
+
+
+# The first nine days loaded, and three times a directory with unreadable lines, of which nothing is kept twice.
+@query("files_ledger", f"""
+    with {SECONDS} select strftime(timestamp, '%Y-%m-%d') as part, case when day(timestamp) < 10 then 'loaded' else 'new' end as status,
+    count(*) filter (day(timestamp) < 10) as rows_in, cast(0 as bigint) as rejects from alog group by 1, 2
+    union all select case when {BROKEN} then 'bad' else 'good' end, 'loaded', count(*), count(*) filter ({BROKEN}) from alog group by 1""")
+def _(spark, sf_dir):
+    lake, broken = Lake(new_path(spark, "lake")), _broken(spark, sf_dir)
+    plans.load_csv_docs(spark, _files_of(spark, sf_dir, "2024-01-0?"), lake, NOW)
+    for day in (2, 3, 4):
+        plans.load_csv_docs(spark, broken, lake, datetime(2024, 2, day), multi_line=False)
+    listed = sources.fingerprints(spark, _files_of(spark, sf_dir, "*")).unionByName(
+        sources.fingerprints(spark, [f"{p}/*.gz" for p in broken]))
+    entries = ledger.read_ledger(spark, lake.ledger)
+    states = ledger.file_states(listed, entries, ("docs",), datetime(2024, 2, 5))
+    held = ledger.loaded_files(entries).select("file_path", "rows_in")
+    rejects = ledger.current_rejects(spark, lake).groupBy("file_path").agg(F.sum("copies").alias("rejects"))
+    part = F.regexp_extract("file_path", "(?:date=|broken[^/]*/)([0-9-]+|good|bad)/", 1)
+    return states.join(held, "file_path", "left").join(rejects, "file_path", "left").groupBy(part.alias("part"), "status").agg(
+        F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"), F.coalesce(F.sum("rejects"), F.lit(0)).alias("rejects"))
