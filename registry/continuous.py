@@ -5,13 +5,15 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglake.operators import accounting
 from loglake.operators.records import finite
 from loglake.plans import load
 from loglake.session import new_path
 from loglake.sinks import lake as tables
-from loglake.schema import TAG_KEYS
+from loglake.schema import ALOG as ALOG_ROW, TAG_KEYS
+from loglake.sources.polling import ParquetLog, poll_source
 from loglake.streaming import present
 from registry.base import (
     ALOG, EPOCH_MS, FINITE, FOLDED_POINTS, NOW, POINTS, TIME_TEXT, alog, alog_of, docs_sql, query, table,
@@ -240,3 +242,18 @@ def _(spark, sf_dir):
       (select date_trunc('milliseconds', max(timestamp)) - interval 100 second from alog)""")
 def _(spark, sf_dir):
     return _drained(present.windowed_counts(_stream(spark, sf_dir, files_per_batch=1000)))
+
+
+# Followed up to the middle of the month, stopped, and followed to its end from the same checkpoint.
+@query("poll_stream", f"with {ALOG} select id, {TIME_TEXT.format('timestamp')} as timestamp, loghost, typelog, keywvalue, logtext from alog")
+def _(spark, sf_dir):
+    columns = ["id", "timestamp", "loghost", "typelog", "keywvalue", "logtext"]
+    log = written_once(spark, sf_dir, "polled-log", lambda path: alog(spark, sf_dir).withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp")).repartitionByRange(8, "timestamp").write.parquet(path))
+    schema = T.StructType([f for f in ALOG_ROW.fields if f.name in columns])
+    path, offsets = new_path(spark, "polled"), new_path(spark, "offsets")
+    for now in (datetime(2024, 1, 15), NOW):
+        rows = poll_source(spark, ParquetLog(log), schema, delay_s=0, slice_s=3 * 86_400, clock=lambda now=now: now)
+        rows.writeStream.format("parquet").option("checkpointLocation", offsets).trigger(availableNow=True).start(
+            path).awaitTermination()
+    return spark.read.schema(schema).parquet(path).select(*columns)
