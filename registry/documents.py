@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglake.operators import documents as ops
 from loglake.operators import search
 from loglake.sinks.lake import compact_docs, read_docs, write_docs
+from loglake.sinks.text_index import TextIndex
 from registry.base import (
     ALOG, DOC_ID, DOC_TYPE, DOCS, NOW, SECONDS, alog, docs_sql, query, table, written_once,
 )
@@ -227,3 +229,28 @@ def _(spark, sf_dir):
     return search.search_topk(
         _texts(spark, sf_dir), QUERY, column="text", tie="doc_id", lang="en"
     ).select("doc_id", F.round("score", 6).alias("score"))
+
+
+def _indexed(spark, sf_dir):
+    """The texts in two segments, the second of which brings most of the first again."""
+    lang = T.StructField("lang", T.StringType())
+
+    def write(path):
+        index, docs = TextIndex(spark, path, T.LongType(), [lang]), _texts(spark, sf_dir)
+        index.add(docs.where(F.col("lang") == "en"), "doc_id", "text")
+        index.add(docs, "doc_id", "text")
+
+    return TextIndex(spark, written_once(spark, sf_dir, "text-index", write), T.LongType(), [lang])
+
+
+@query("search_topk_indexed", f"""
+    with {SCORED} select doc_id, round(score, 6) as score from scored join documents using (doc_id)
+    where lang = 'en' order by scored.score desc, doc_id limit 30""")
+def _(spark, sf_dir):
+    return _indexed(spark, sf_dir).top(QUERY, lang="en").select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@query("bool_query_indexed", f"""
+    with {TOKENISED} select doc_id, lang from t where {MATCHES} and not list_contains(words, 'and')""")
+def _(spark, sf_dir):
+    return _indexed(spark, sf_dir).matches(QUERY, "and").withColumnRenamed("id", "doc_id")
