@@ -113,3 +113,15 @@ def search_topk(
 def scroll(docs: DataFrame) -> Iterator[Row]:
     """Hits one by one for display, a partition at a time; never the whole result at once."""
     return docs.toLocalIterator()
+
+
+def hit_page(scored: DataFrame, n: int = TOP_HITS, after: tuple[float, object] | None = None, tie: str = "_id") -> DataFrame:
+    """The next ``n`` hits in order of score, then ``tie``, behind the hit ``after`` (its score and tie).
+
+    The last row of a page is all that is needed to go on, also from another session; pages share no
+    hit and leave none out, as long as the documents stay the same.
+    """
+    if after is not None:
+        score, last = after
+        scored = scored.where((F.col("score") < F.lit(score)) | ((F.col("score") == F.lit(score)) & (F.col(tie) > F.lit(last))))
+    return scored.orderBy(F.col("score").desc(), F.col(tie)).limit(n)

@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from loglake.operators.accounting import resume
 from loglake.operators.documents import to_docs
 from loglake.operators.points import Filter, Transform, ordered_shape, to_points
+from loglake.operators.reconcile import differing_windows, record_ids, stored_ids, window_number
 from loglake.operators.records import finite, in_period, time_literal
+from loglake.session import new_path
 from loglake.sinks.lake import (
-    Lake, first_times, read_progress, write_docs, write_points, write_progress, write_rejects, write_run_log,
+    Lake, first_times, moment, read_docs, read_progress, write_docs, write_points, write_progress, write_rejects,
+    write_run_log,
 )
 
 BOTH = ("points", "docs")
@@ -217,3 +220,33 @@ def load_increment(
     if window.isEmpty():
         return None
     return load_window(window, lake, collector, past, present, present, now, spec, persist)
+
+
+def load_late(
+    records: DataFrame, lake: Lake, low: datetime, high: datetime, now: datetime, step_s: int = 100,
+    spec: LoadSpec = LoadSpec(), collector: str | None = None,
+) -> Counts:
+    """Load the windows of ``[low, high)`` whose records are not the stored documents.
+
+    Rows that reached the source after their window was loaded are found by digests of each window
+    on both sides; windows that agree are not loaded again. What the lake has and the source has not
+    stays. The progress of other collectors is left as it is. Records must have the default ids.
+    """
+    spark = records.sparkSession
+    period = in_period(records, low, high, include_high=False)
+    docs = read_docs(spark, lake.docs, low=low, high=high, latest=False, columns=("_id", "@timestamp"))
+    path = new_path(spark, "late-windows")
+    differing_windows(
+        record_ids(period, low, step_s), stored_ids(docs.where(F.col("@timestamp") < moment(high)), low, step_s)).write.parquet(path)
+    windows = spark.read.parquet(path)
+    n, first, last = windows.agg(F.count(F.lit(1)), F.min("window"), F.max("window")).first()
+    run = {"collector": collector or collector_of("late", spec), "host": spec.host, "past": low, "present": high,
+           "timestamp": log_time(now), "level": "INFO", "ok": True}
+    counts = {"rows_in": 0, "points_out": 0, "docs_out": 0}
+    if n:
+        begin, end = low + timedelta(seconds=first * step_s), min(high, low + timedelta(seconds=(last + 1) * step_s))
+        rows = in_period(records, begin, end, include_high=False)
+        rows = rows.withColumn("window", window_number(rows, low, step_s)).join(windows.select("window"), "window", "left_semi")
+        counts = load_both(rows.select(records.columns), lake, now, spec)
+    write_run_log(spark, lake.run_log, {**run, "message": f"loaded {n} windows that differed", **counts})
+    return {**counts, "windows": n}

@@ -107,17 +107,20 @@ def write_points(
 
 def read_points(
     spark: SparkSession, path: str, names: str | Iterable[str] | None = None,
-    start_ms: int | None = None, end_ms: int | None = None, latest: bool = True,
+    start_ms: int | None = None, end_ms: int | None = None, latest: bool = True, but_days: Iterable[str] = (),
 ) -> DataFrame:
     """Datapoints of the given metrics and time range, one per key unless ``latest`` is off.
 
+    ``but_days`` names days (ISO) that are left out, and not read.
+
     The day bounds sit beside the time bounds because Spark does not derive one from the other.
     Days that were compacted and not added to since hold each key once and are read without a shuffle.
     """
     at = versions.version(spark, path)
     first = None if start_ms is None else str(_day_of(start_ms))
     last = None if end_ms is None else str(_day_of(end_ms))
-    inside = lambda day: (first is None or day >= first) and (last is None or day <= last)
+    but_days = set(but_days)
+    inside = lambda day: day not in but_days and (first is None or day >= first) and (last is None or day <= last)
     live = {day: clean for day, clean in versions.live_partitions(spark, path, POINT_PARTITIONS, at).items() if inside(day)}
     points = versions.read(spark, path, STORED_POINT, POINT_PARTITIONS, at, _clean(live) if latest else ())
     points = points.where(in_absolute_range(start_ms, end_ms))
@@ -125,6 +128,8 @@ def read_points(
         points = points.where(F.col("day") >= F.lit(first).cast("date"))
     if last is not None:
         points = points.where(F.col("day") <= F.lit(last).cast("date"))
+    if but_days:
+        points = points.where(~F.col("day").cast("string").isin(sorted(but_days)))
     if names is not None:
         points = points.where(F.col("name").isin([names] if isinstance(names, str) else list(names)))
     deletes = stored_deletes(spark, path)

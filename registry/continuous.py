@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglake.operators import accounting
-from loglake.operators.records import finite
+from loglake.operators import accounting, reconcile
+from loglake.operators.documents import to_docs
+from loglake.operators.records import finite, in_period
 from loglake.plans import load
 from loglake.session import new_path
 from loglake.sinks import lake as tables
@@ -257,3 +258,77 @@ def _(spark, sf_dir):
         rows.writeStream.format("parquet").option("checkpointLocation", offsets).trigger(availableNow=True).start(
             path).awaitTermination()
     return spark.read.schema(schema).parquet(path).select(*columns)
+
+
+# --- late rows --------------------------------------------------------------------------------
+
+def _without_late(spark, sf_dir):
+    return alog(spark, sf_dir).where("id % 37 <> 5")
+
+
+# Rows that come after their window was loaded: the windows that differ are loaded again.
+@query("load_late", f"with {ALOG0}, alog as (select * from alog0 where timestamp >= '{LOW}' and timestamp < '{HIGH}'),"
+       f" {POINTS}, {FOLDED_POINTS}, {MONTHLY_DOCS} {STORES}")
+def _(spark, sf_dir):
+    lake = _new_lake(spark)
+    window = _without_late(spark, sf_dir).where((F.col("timestamp") >= F.lit(str(LOW))) & (F.col("timestamp") < F.lit(str(HIGH))))
+    load.load_both(window, lake, NOW)
+    counts = load.load_late(alog(spark, sf_dir), lake, LOW, HIGH, datetime(2024, 2, 2))
+    if load.load_late(alog(spark, sf_dir), lake, LOW, HIGH, datetime(2024, 2, 3))["windows"] or not counts["windows"]:
+        raise ValueError("late rows are left")
+    return _stores(spark, lake)
+
+
+@query("late_windows", f"""
+    with {ALOG}, w as (select *, cast(floor((epoch_us(timestamp) - epoch_us(timestamp '{LOW}')) / 3600000000) as bigint) as w
+        from alog where timestamp >= '{LOW}' and timestamp < '{HIGH}')
+    select w as "window", count(*) as source_rows, count(*) filter (id % 37 <> 5) as stored_rows from w group by w
+    having count(*) filter (id % 37 = 5) > 0""")
+def _(spark, sf_dir):
+    period = lambda df: in_period(df, LOW, HIGH, include_high=False)
+    return reconcile.differing_windows(
+        reconcile.record_ids(period(alog(spark, sf_dir)), LOW, 3600),
+        reconcile.record_ids(period(_without_late(spark, sf_dir)), LOW, 3600))
+
+
+# --- loads of the caller's own ------------------------------------------------------------------
+
+# A builder with an index of its own and a writer that also keeps the hosts elsewhere.
+@query("load_custom_docs", f"""
+    with {ALOG}, {docs_sql("audit")}, hosts as (select distinct loghost from alog)
+    select _index, loghost, count(*) as n from docs where _type = 'err' group by all
+    union all select 'hosts', loghost, 1 from hosts""")
+def _(spark, sf_dir):
+    lake, hosts = _new_lake(spark), new_path(spark, "hosts")
+
+    def writer(docs, path, load_time):
+        docs.select("loghost").distinct().write.parquet(hosts)
+        return tables.write_docs(docs, path, load_time)
+
+    spec = load.LoadSpec(targets=("docs",), doc_builder=lambda rows: to_docs(rows, index="audit"), docs_writer=writer)
+    load.load_both(alog(spark, sf_dir), lake, NOW, spec)
+    docs = tables.read_docs(spark, lake.docs, doc_type="err").groupBy("_index", "loghost").agg(F.count(F.lit(1)).alias("n"))
+    return docs.unionByName(spark.read.parquet(hosts).select(F.lit("hosts").alias("_index"), "loghost", F.lit(1).cast("long").alias("n")))
+
+
+# A store that fails after the datapoints are written: no progress, a run that says so, and nothing twice after the repeat.
+@query("delivery_rule", f"""
+    with {ALOG0}, {PERIOD}, {POINTS}, {FOLDED_POINTS}
+    select 'INFO' as level, true as ok, count(*) as rows_in, (select count(*) from folded) as stored_points, cast(1 as bigint) as progress from alog
+    union all select 'ERROR', false, null, (select count(*) from folded), 0 where (select count(*) from alog) > 0""")
+def _(spark, sf_dir):
+    lake = _new_lake(spark)
+
+    def fail(*_):
+        raise OSError("the document store is gone")
+
+    seen = []
+    for spec, now in ((load.LoadSpec(docs_writer=fail), NOW), (load.LoadSpec(), datetime(2024, 2, 2))):
+        try:
+            load.load_period(alog(spark, sf_dir), LOW, HIGH, lake, now, spec=spec)
+        except OSError:
+            pass
+        seen.append((tables.read_points(spark, lake.points).count(), tables.read_progress(spark, lake.progress).count()))
+    log = tables.read_run_log(spark, lake.run_log)
+    at = lambda i: F.when(F.col("ok"), seen[1][i]).otherwise(seen[0][i]).cast("long")
+    return log.select("level", "ok", "rows_in", at(0).alias("stored_points"), at(1).alias("progress"))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from loglake.operators import documents as ops
 from loglake.operators import search
 from loglake.sinks.lake import compact_docs, read_docs, write_docs
+from loglake.session import new_path
 from loglake.sinks.text_index import TextIndex
 from registry.base import (
     ALOG, DOC_ID, DOC_TYPE, DOCS, NOW, SECONDS, alog, docs_sql, query, table, written_once,
@@ -254,3 +255,18 @@ def _(spark, sf_dir):
     with {TOKENISED} select doc_id, lang from t where {MATCHES} and not list_contains(words, 'and')""")
 def _(spark, sf_dir):
     return _indexed(spark, sf_dir).matches(QUERY, "and").withColumnRenamed("id", "doc_id")
+
+
+# All hits page by page, each page told only the last hit of the one before.
+@query("scroll", f"with {SCORED} select doc_id, round(score, 6) as score from scored join documents using (doc_id) where lang = 'de'")
+def _(spark, sf_dir):
+    path = new_path(spark, "scored")
+    search.bm25_scores(_texts(spark, sf_dir), QUERY, "text").where("lang = 'de'").select("doc_id", "score").write.parquet(path)
+    scored, held = spark.read.parquet(path), new_path(spark, "pages")
+    size, after = -(-scored.count() // 4), None
+    for _ in range(4):
+        page = search.hit_page(scored, size, after, "doc_id")
+        page.write.mode("append").parquet(held)
+        last = page.orderBy("score", F.col("doc_id").desc()).first()
+        after = after if last is None else (last["score"], last["doc_id"])
+    return spark.read.schema(scored.schema).parquet(held).select("doc_id", F.round("score", 6).alias("score"))

@@ -12,9 +12,10 @@ from loglake.operators.records import finite_named, in_period, nonzero_metric, n
 from loglake.plans.load import load_both
 from loglake.schema import POINT
 from loglake.session import new_path
+from loglake.sinks import catalogue
 from loglake.sinks.exports import points_payload, write_lines
 from loglake.sinks.lake import (
-    Lake, compact_points, delete_stored_points, read_points, write_points,
+    Lake, compact_points, delete_stored_points, fold_deletes, read_points, write_points,
 )
 from registry.base import (
     ALOG, FIRST, FOLDED_POINTS, LAST, NAME, NOW, POINT_FIELDS, POINTS, TEXT_TAG, alog, query, table,
@@ -281,3 +282,53 @@ def _(spark, sf_dir):
         delete_stored_points(spark, path, names, 1705708800000, 1705795199999)
 
     return read_points(spark, written_once(spark, sf_dir, "deleted", write))
+
+
+# --- catalogue ------------------------------------------------------------------------------
+
+def _summarised(spark, sf_dir):
+    """Two loads, all days but the last week compacted and summarised."""
+
+    def write(path):
+        write_points(_ordered(spark, sf_dir), path, NOW)
+        write_points(_ordered(spark, sf_dir), path, NOW)
+        compact_points(spark, path, [date(2024, 1, d) for d in range(1, 24)])
+        catalogue.refresh_catalogue(spark, path)
+
+    return written_once(spark, sf_dir, "summarised", write)
+
+
+@query("stored_metric_names", f"with {ALOG}, {POINTS} select distinct name from points")
+def _(spark, sf_dir):
+    return catalogue.stored_metric_names(spark, _summarised(spark, sf_dir))
+
+
+@query("stored_tag_names", "select unnest(['proc', 'env', 'loghost', 'logtext']) as tag from (select 1 from events limit 1)")
+def _(spark, sf_dir):
+    return catalogue.stored_tag_names(spark, _summarised(spark, sf_dir))
+
+
+@query("stored_tag_values", f"""
+    with {ALOG}, {POINTS} select proc as tag_value from points union select env from points
+    union select loghost from points union select logtext from points""")
+def _(spark, sf_dir):
+    return catalogue.stored_tag_values(spark, _summarised(spark, sf_dir))
+
+
+@query("stored_sample_sizes", f"with {ALOG}, {POINTS}, {FOLDED_POINTS} select name, count(*) as sample_size from folded group by name")
+def _(spark, sf_dir):
+    return catalogue.stored_sample_sizes(spark, _summarised(spark, sf_dir))
+
+
+# Logged deletes folded into the files, and a later load of what was deleted.
+@query("fold_deletes", f"""
+    with {ALOG}, {POINTS}, {FOLDED_POINTS} select {ALL} from folded where not ({DELETED}) or name = 'EVTclick4'""")
+def _(spark, sf_dir):
+    def write(path):
+        write_points(_ordered(spark, sf_dir), path, NOW)
+        delete_stored_points(spark, path, ["EVTclick3", "EVTclick4"], MS["low"], MS["high"],
+                             {"env": ["hall1", "hall4"]}, at=datetime(2024, 2, 2))
+        write_points(_ordered(spark, sf_dir).where("name = 'EVTclick4'"), path, datetime(2024, 2, 3))
+        fold_deletes(spark, path)
+
+    return read_points(spark, written_once(spark, sf_dir, "deletes-folded", write))

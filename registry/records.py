@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loglake.operators import accounting, records
 from loglake.operators.points import to_points
-from loglake.sources.database import scan_alog, scan_sql
+from loglake.sources.database import equal_slices, scan_alog, scan_sql
 from registry.base import (
     ALOG, ALOG_SELECT, EPOCH_MS, FINITE, FIRST, LAST, NAME, NOW, POINTS, TIME_TEXT, alog, query,
     table, written_once,
@@ -154,3 +154,27 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     sizes = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return accounting.running_total(sizes, "doc_id", "n_chars", "done")
+
+
+# Text columns, found by type, and how many values of each are not empty.
+@query("is_string", """
+    select 'text' as name, count(*) filter (text <> '') as filled from documents
+    union all select 'lang', count(*) filter (lang <> '') from documents
+    union all select 'source', count(*) filter (source <> '') from documents""")
+def _(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    names = [n for n in documents.columns if records.is_string(documents, n)]
+    return documents.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), (F.col(n) != "").alias("has")) for n in names])).alias("c")).groupBy("c.name").agg(
+        F.count_if("c.has").alias("filled"))
+
+
+# Slices by the bounds of a sample: each row once, none with more than twice its share.
+@query("equal_slices", f"with {ALOG} select count(*) as rows_in, cast(8 as bigint) as slices, true as fair from alog")
+def _(spark, sf_dir):
+    rows = alog(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    slices = equal_slices(rows.where("id % 3 = 0"), 8)
+    number = F.array_position(F.array(*[F.coalesce(F.expr(s), F.lit(False)) for s in slices]), True)
+    sizes = rows.groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").alias("rows_in"), F.count_if(F.col("slice") > 0).alias("slices"),
+                     (F.max("n") <= 2 * F.sum("n") / 8).alias("fair"))
