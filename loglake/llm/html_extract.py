@@ -56,8 +56,11 @@ def page_features(blocks: list[Block]) -> list[list[str]]:
             features.append("bar")
         if "©" in text:
             features.append("copyright")
-        hints = HINTS.intersection(WORD.findall(text[:200].lower())) if len(text) < 400 else HINTS.intersection(WORD.findall(text[:60].lower()))
-        features += [f"says:{h}" for h in hints]
+        # The whole block is read; what stands at its beginning has a feature of its own.
+        said = [(m.start(), h) for m in WORD.finditer(text.lower()) if (h := m.group()) in HINTS]
+        head = 200 if len(text) < 400 else 60
+        hints = {h for at, h in said if at < head}
+        features += [f"says:{h}" for h in hints] + [f"later:{h}" for h in {h for _, h in said} - hints]
         features += [f"under:{h}" for h in heading]
         if tag in HEADINGS:
             heading = list(hints)

@@ -166,13 +166,13 @@ from summed group by conv_id
 """
 
 ORACLE["op8_topk"] = """
-with v as (
-  select vec_id, list_transform(embedding, lambda x : floor(256 * cast(x as double))) as vector from embeddings
-  where embedding is not null and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0),
+with v as materialized (
+  select row_number() over () as row_, vec_id, list_transform(embedding, lambda x : floor(256 * cast(x as double))) as vector from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0),
 scored as (
-  select q.vec_id as query_id, d.vec_id, cast(list_inner_product(q.vector, d.vector) as bigint) as score
-  from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0),
-ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+  select q.row_ as query, q.vec_id as query_id, d.vec_id, cast(list_inner_product(q.vector, d.vector) as bigint) as score
+  from v q join v d on q.row_ <> d.row_ where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query order by score desc, vec_id) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 

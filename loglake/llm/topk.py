@@ -23,15 +23,14 @@ EXACT = 2.0 ** 53  # integers up to here are exact as doubles
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``vec_id, vector array<bigint>``: each component ``floor(scale * x)``.
 
-    Rows with a null id or vector, or a null or non-finite component, take no part. Of rows with
-    equal ids the smallest vector stays. Products beyond 64 bits are held to their bounds.
+    Rows with a null id or vector, or a null or non-finite component, take no part. Rows with equal
+    ids all stay, equal vectors too. Products beyond 64 bits are held to their bounds.
     """
     plain = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     return (
         vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
         .filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", plain))
         .select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("vector"))
-        .groupBy("vec_id").agg(F.min("vector").alias("vector"))
     )
 
 
@@ -77,8 +76,12 @@ def layout(rows: np.ndarray, ids: np.ndarray, block: int) -> list[np.ndarray]:
 
 
 def search_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int,
-                 block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``query number, row number, score`` of each query's k best rows, without the row of its own id."""
+                 block: int, copy: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``query number, row number, score`` of each query's k best rows, without its own row.
+
+    ``copy`` numbers equal rows from 0; of those that are equal to a query the first is the query's own.
+    """
+    first = np.ones(len(ids), bool) if copy is None else copy == 0
     blocks = layout(rows, ids, block)
     high = np.stack([rows[b].max(0) for b in blocks]).astype(np.float64)
     low = np.stack([rows[b].min(0) for b in blocks]).astype(np.float64)
@@ -102,7 +105,9 @@ def search_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
         for group in np.split(active[order], np.flatnonzero(np.diff(which[order])) + 1):
             own = blocks[visit[group[0], turn]]
             score = products(queries[group], rows[own])
-            itself = query_ids[group][:, None] == ids[own][None, :]
+            itself = (query_ids[group][:, None] == ids[own][None, :]) & first[own][None, :]
+            for i, j in np.argwhere(itself):
+                itself[i, j] = (queries[group[i]] == rows[own[j]]).all()
             open_ = ~itself & ((best_row[group, -1] < 0)[:, None] | (score >= best[group, -1][:, None]))
             some = open_.any(1)
             if not some.any():
@@ -127,33 +132,40 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 256,
     """``query_id, rank, vec_id, score``: each query's ``k`` rows of highest inner product.
 
     ``vectors`` and ``queries`` hold ``vec_id, vector`` as :func:`integer_vectors` gives them. Equal
-    scores go to the smaller id; a query never finds the row of its own id; it gets all rows if
-    there are fewer than ``k``. Vectors of unequal length compare as if filled up with zeros. Empty
-    tables give no rows.
-
-    Rows go to shards by the hash of their id, queries to groups likewise; each pair of shard and
-    group is one task, so both sides may grow without any task growing.
+    scores go to the smaller id. Every row is a candidate but the query's own, that is one row of the
+    same id and vector; other rows of that id are. Each row of ``queries`` is a query, so equal ones
+    bring equal results. A query gets all rows if there are fewer than ``k``. Vectors of unequal
+    length compare as if filled up with zeros. Empty tables give no rows.
+
+    Equal rows travel as one with their number, and stand for ``k + 1`` at most, as no query can get
+    more. Rows go to shards by the hash of id and vector, queries to groups likewise; each pair of shard
+    and group is one task, so both sides may grow without any task growing.
     """
-    vectors = stored(vectors.select("vec_id", "vector"), "vectors")
-    queries = stored(queries.select("vec_id", "vector"), "queries")
+    fold = lambda rows: rows.groupBy("vec_id", "vector").agg(F.count("*").alias("copies"))
+    vectors = stored(fold(vectors), "vectors")
+    queries = stored(fold(queries).withColumn("query", F.monotonically_increasing_id()), "queries")
+    vectors = vectors.select("vec_id", "vector", F.explode(F.sequence(F.lit(0), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))).alias("copy"))
     shards = max(1, -(-vectors.count() // shard_rows))
     groups = max(1, -(-queries.count() // query_rows))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    held = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("part", spread(groups))
-    asked = queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")).withColumn("shard", spread(shards))
+    own = lambda n: F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)).cast("int")
+    held = vectors.withColumn("shard", own(shards)).withColumn("part", spread(groups))
+    asked = queries.withColumn("part", own(groups)).withColumn("shard", spread(shards))
+    names = ("query", "query_id", "copies", "vec_id", "score")
 
     def run(ask: pa.Table, hold: pa.Table) -> pa.Table:
         if not ask.num_rows or not hold.num_rows:
-            empty = pa.array([], pa.int64())
-            return pa.table({"query_id": empty, "vec_id": empty, "score": empty})
+            return pa.table({name: pa.array([], pa.int64()) for name in names})
         width = max(widest(ask.column("vector")), widest(hold.column("vector")))
         query_ids, ids = (t.column("vec_id").to_numpy().astype(np.int64) for t in (ask, hold))
         query, row, score = search_shard(
-            query_ids, matrix(ask.column("vector"), width), ids, matrix(hold.column("vector"), width), k, block)
-        return pa.table({"query_id": query_ids[query], "vec_id": ids[row], "score": score})
+            query_ids, matrix(ask.column("vector"), width), ids, matrix(hold.column("vector"), width), k, block,
+            hold.column("copy").to_numpy())
+        asked_as = [ask.column(name).to_numpy()[query] for name in ("query", "vec_id", "copies")]
+        return pa.table(dict(zip(names, [*asked_as, ids[row], score])))
 
     found = asked.groupBy("shard", "part").cogroup(held.groupBy("shard", "part")).applyInArrow(
-        run, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        run, ", ".join(f"{name} bigint" for name in names))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("query_id", "rank", "vec_id", "score")

@@ -148,13 +148,46 @@ def test_vectors_that_take_no_part(spark):
             (4, [1.0, 0.1]), (4, [1.0, 0.1]), (5, [])]
     df = clash(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     vectors = topk.integer_vectors(df)
-    assert {r["vec_id"]: r["vector"] for r in vectors.collect()} == {0: [128, -128], 4: [256, 25], 5: []}
+    assert sorted((r["vec_id"], r["vector"]) for r in vectors.collect()) == [(0, [128, -128]), (4, [256, 25]), (4, [256, 25]), (5, [])]
     got = topk.top_k(vectors, vectors.filter("vec_id = 0")).collect()
-    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 4, 128 * 256 - 128 * 25), (2, 5, 0)]
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [
+        (1, 4, 128 * 256 - 128 * 25), (2, 4, 128 * 256 - 128 * 25), (3, 5, 0)]
     none = vectors.filter("vec_id < 0")
     assert topk.top_k(none, none).collect() == [] and topk.top_k(vectors, none).collect() == []
 
 
+def test_rows_of_one_id_are_all_candidates(spark):
+    """Other vectors and copies of an id count; a query leaves out its own row alone. SQL says the same."""
+    rows = [(0, [1.0]), (1, [2.0]), (1, [9.0]), (50, [3.0]), (50, [3.0]), (50, [5.0]), *[(7, [1.0])] * 9]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.integer_vectors(df)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"])
+                 for r in topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), shard_rows=4, query_rows=2).collect())
+    exact = [(v, int(256 * x[0])) for v, x in rows]
+    want = []
+    for i, (q, x) in enumerate(exact):
+        if q % 50 == 0:
+            best = sorted((-x * y, v) for j, (v, y) in enumerate(exact) if j != i)[:5]
+            want += [(q, rank + 1, v, -s) for rank, (s, v) in enumerate(best)]
+    assert got == sorted(want)
+    duck = duckdb.connect()
+    duck.execute("create table embeddings (vec_id bigint, embedding double[])")
+    duck.executemany("insert into embeddings values (?, ?)", rows)
+    assert sorted(duck.execute(queries.ORACLE["op8_topk"]).fetchall()) == got
+
+
+def test_hints_of_whole_blocks():
+    """Words that tell a notice are seen wherever they stand in a block."""
+    def features(text):
+        (block,) = blocks_of(f"<div>{text}</div>", root())
+        return html_extract.page_features([block])[0]
+
+    hint = sorted(html_extract.HINTS)[0]
+    assert f"says:{hint}" in features(f"{hint} and more")
+    assert f"later:{hint}" in features("plain words " * 500 + hint)
+    assert f"later:{hint}" not in features("plain words " * 500)
+
+
 def test_search_prunes():
     """Of blocks far below the best none is scored."""
     r = np.random.default_rng(1)
