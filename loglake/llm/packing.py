@@ -11,6 +11,7 @@ A window is filled from the seed's shard: neighbours that the order puts elsewhe
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -22,21 +23,59 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loglake.llm.bpe import byte_characters
 from loglake.llm.common import stored, text_or_empty
-from loglake.llm.ragged import gather, release, slices, starts_of, texts_of
+from loglake.llm.ragged import gather, release, segment_sums, slices, starts_of, texts_of
 
 K1, B = 1.2, 0.75
 
 
+class PairTable:
+    """Merge rules by pairs of symbols, in hash tables: what finds its place taken goes to the next table."""
+
+    BITS = 18
+
+    def __init__(self, pairs: np.ndarray, merged: np.ndarray):
+        self.pairs, self.merged = np.append(pairs, -1), np.append(merged, -1)
+        self.none = len(pairs)
+        self.tables, left = [], np.arange(len(pairs))
+        while len(left):
+            factor = np.uint64(0x9E3779B97F4A7C15 + 2 * 0x5851F42D4C957F2D * len(self.tables) & 0xFFFFFFFFFFFFFFFF)
+            at, table = self._place(pairs[left], factor), np.full(1 << self.BITS, self.none, np.int32)
+            table[at] = left
+            self.tables.append((factor, table))
+            left = left[table[at] != left]
+
+    def _place(self, pairs: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return (pairs.astype(np.uint64) * factor >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def ranks(self, pairs: np.ndarray) -> np.ndarray:
+        """The rank of each pair, ``none`` for those that are never merged."""
+        out = np.full(len(pairs), self.none, np.int32)
+        left = np.arange(len(pairs))
+        for factor, table in self.tables:
+            wanted = pairs[left]
+            found = table[self._place(wanted, factor)]
+            same = self.pairs[found] == wanted
+            out[left[same]] = found[same]
+            # An empty place says that the pair is nowhere.
+            left = left[~same & (found != self.none)]
+        return out
+
+
 class WordIds:
-    """Token ids of words by the tokenizers library, with the recent words remembered.
+    """Token ids of words, with the recent words remembered.
 
-    For a vocabulary that drops white space and never joins what white space parts, the ids of a
-    text are those of its words in turn.
+    For a vocabulary that drops white space and never joins what white space parts, the ids of a text
+    are those of its words in turn. Words of Latin letters are merged here, many at a time, by the
+    vocabulary's rules; all others are left to the tokenizers library.
     """
 
     MARK = "0"  # a word of one token; words that hold it are encoded alone
     REMEMBERED = 100_000
+    #: Letters that neither composing nor lower-casing changes, once they are lower case.
+    PLAIN = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
+    END = "</w>"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,10 +84,56 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        ids, rules = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.size = np.int64(1 + max(ids.values()))
+        # Each token comes of one rule alone, so equal pairs of a word may be merged at once.
+        self.mergeable = model.get("end_of_word_suffix") == self.END and len({a + b for a, b in rules}) == len(rules)
+        self.table = PairTable(
+            np.array([ids[a] * self.size + ids[b] for a, b in rules], np.int64), np.array([ids[a + b] for a, b in rules], np.int64))
+        of_byte = byte_characters()
+        self.inner, self.last = (np.zeros(256, np.int64) for _ in range(2))
+        for character, byte in of_byte.items():
+            self.inner[byte], self.last[byte] = ids[character], ids[character + self.END]
+        self.known = pa.array([], pa.large_string())
+        self.known_ids, self.known_lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of plain letters in one array, and how many each has.
+
+        In each round every word merges its pair of lowest rank, wherever it stands.
+        """
+        offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        raw = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        symbols, ends = self.inner[raw], offsets[1:] - offsets[0] - 1
+        symbols[ends] = self.last[raw[ends]]
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(offsets))
+        done, owners = [], []
+        while len(symbols):
+            rank = np.full(len(symbols), self.table.none, np.int32)
+            inside = np.flatnonzero(owner[1:] == owner[:-1])
+            rank[inside] = self.table.ranks(symbols[inside] * self.size + symbols[inside + 1])
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            lowest = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(symbols))))
+            active = lowest != self.table.none
+            hits = np.flatnonzero(active & (rank == lowest))
+            # Of overlapping hits (a run of one symbol) every second stays, from the left.
+            if len(hits):
+                turn = np.arange(len(hits))
+                begin = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(hits) != 1]), turn, 0))
+                hits = hits[(turn - begin) % 2 == 0]
+            symbols[hits] = self.table.merged[rank[hits]]
+            done.append(symbols[~active])
+            owners.append(owner[~active])
+            active[hits + 1] = False
+            symbols, owner = symbols[active], owner[active]
+        owners = np.concatenate([np.zeros(0, np.int32), *owners])
+        flat = np.concatenate([np.zeros(0, np.int64), *done])[np.argsort(owners, kind="stable")]
+        return flat.astype("<u4"), np.bincount(owners, minlength=len(words)).astype(np.int64)
+
+    def by_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any words in one array, and how many each has."""
         plain = [w for w in words if self.MARK not in w]
         out = {}
         for i in range(0, len(plain), 2000):
@@ -56,51 +141,60 @@ class WordIds:
             (whole,) = self.tokenizer.encode_batch_fast([f" {self.MARK} ".join(group)], add_special_tokens=False)
             ids = np.array(whole.ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
-            raw, at = ids.tobytes(), 0
+            at = 0
             for word, end in zip(group, ends):
-                out[word] = raw[4 * at:4 * end]
+                out[word] = ids[at:end]
                 at = end + 1
         marked = [w for w in words if self.MARK in w]
         for word, whole in zip(marked, self.tokenizer.encode_batch_fast(marked, add_special_tokens=False)):
-            out[word] = np.array(whole.ids, "<u4").tobytes()
-        return [out[w] for w in words]
-
-    def of(self, words: list[str], counts: list[int]) -> list[bytes]:
-        """Ids of distinct words; those that recur (here or since lately) are remembered."""
-        found, missing = [self.new.get(w) for w in words], []
-        for i, ids in enumerate(found):
-            if ids is None:
-                ids = found[i] = self.old.get(words[i])
-                if ids is None:
-                    missing.append(i)
-                else:
-                    self.new[words[i]] = ids
-        for i, ids in zip(missing, self._encode([words[i] for i in missing])):
-            found[i] = ids
-            if counts[i] > 1:
-                self.new[words[i]] = ids
-        if len(self.new) > self.REMEMBERED:
-            self.old, self.new = self.new, {}
-        return found
+            out[word] = np.array(whole.ids, "<u4")
+        parts = [out[w] for w in words]
+        return np.concatenate([np.zeros(0, "<u4"), *parts]), np.array([len(p) for p in parts], np.int64)
+
+    def of(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words: an array, and where in it each word's begin and how many they are.
+
+        Words that recur, here or since lately, are remembered.
+        """
+        place = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = np.flatnonzero(place < 0)
+        new = words.take(pa.array(missing))
+        plain = pc.match_substring_regex(new, self.PLAIN).to_numpy(zero_copy_only=False) & self.mergeable
+        order = np.concatenate([missing[plain], missing[~plain]])
+        merged, merged_lengths = self.merge(new.filter(pa.array(plain)))
+        others, other_lengths = self.by_library(new.filter(pa.array(~plain)).to_pylist())
+        flat = np.concatenate([self.known_ids, merged, others])
+        lengths = np.concatenate([self.known_lengths, merged_lengths, other_lengths])
+        place[order] = len(self.known) + np.arange(len(order))
+        starts, own = starts_of(lengths)[place], lengths[place]
+        # Remembered from now on: what was, and new words that recur; if too many, this slice's alone.
+        whole = len(self.known) < self.REMEMBERED
+        kept = np.flatnonzero((counts > 1) & (place >= len(self.known) if whole else True))
+        ids, sizes = gather(flat, starts[kept], own[kept]), own[kept]
+        if whole:
+            self.known = pa.concat_arrays([self.known, words.take(pa.array(kept))])
+            self.known_ids, self.known_lengths = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_lengths, sizes])
+        else:
+            self.known, self.known_ids, self.known_lengths = words.take(pa.array(kept)), ids, sizes
+        return flat, starts, own
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, ``end_id`` after each, in one array, and how many each has."""
-        # A stop or comma after a letter is always a word of its own.
-        split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", r"\1 \2"))
+        # A mark after a letter is always a word of its own, and case does not matter. (The library lowers a
+        # slice of an array wrongly, so this is done on the new array.)
+        parted = pc.replace_substring_regex(texts, r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([.,;:!?&#$%)]+)", r"\1 \2")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(parted))
         coded = split.flatten().dictionary_encode()
         code = coded.indices.to_numpy()
-        spelled = self.of(coded.dictionary.to_pylist(), np.bincount(code).tolist())
+        flat, starts, lengths = self.of(coded.dictionary, np.bincount(code, minlength=len(coded.dictionary)))
         # One more word, of the end id alone, closes each text.
-        flat = np.frombuffer(b"".join(spelled) + np.array([end_id], "<u4").tobytes(), "<u4")
-        lengths = np.array([*map(len, spelled), 4], np.int64) // 4
+        starts, lengths = np.append(starts, len(flat)), np.append(lengths, 1)
+        flat = np.append(flat, np.array([end_id], "<u4"))
         words = np.diff(split.offsets.to_numpy()).astype(np.int64)
-        code = np.insert(code.astype(np.int64), np.cumsum(words), len(spelled))
-        words = words + 1
+        code = np.insert(code.astype(np.int64), np.cumsum(words), len(starts) - 1)
         each = lengths[code]
-        ids = gather(flat, starts_of(lengths)[code], each)
-        ends = np.concatenate([[0], np.cumsum(each)])
-        last = np.cumsum(words)
-        return ids, ends[last] - ends[last - words]
+        ids = gather(flat, starts[code], each)
+        return ids, segment_sums(each, words + 1)
 
 
 @lru_cache(maxsize=1)
@@ -223,6 +317,9 @@ def fill_windows(index: Index, counts: np.ndarray, window: int) -> list[tuple[in
         sequence += 1
 
 
+#: Sequences are numbered within a partition in the lower bits: 2^23 partitions of 2^40 sequences each.
+SEQUENCE_BITS = 40
+
 SCHEMA = ("start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
@@ -344,7 +441,7 @@ def by_likeness(docs: DataFrame, corpus: Corpus, shards: int) -> DataFrame:
             found = profiles.of(numbers(batch.column("ids"), counts), counts)
             yield pa.RecordBatch.from_pydict({"profile": binaries(found.ravel(), np.full(len(counts), DIMENSIONS))})
 
-    shaping = docs.select("doc_tokens", "ids").sample(min(1.0, SHAPING / corpus.n), seed=1).mapInArrow(sketch, "profile binary").toArrow()
+    shaping = docs.select("doc_tokens", "ids").sample(min(1.0, SHAPING / max(corpus.n, 1)), seed=1).mapInArrow(sketch, "profile binary").toArrow()
     found = np.frombuffer(b"".join(shaping.column("profile").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
     tree = Tree(found, max(0, min((shards - 1).bit_length(), (len(found) // 8).bit_length() - 1)))
 
@@ -400,8 +497,8 @@ def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, s
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 16
-        for number, shard in enumerate(in_shards(batches, shard_bytes)):
+        first = TaskContext.get().partitionId() << SEQUENCE_BITS
+        for shard in in_shards(batches, shard_bytes):
             release()
             shard = shard.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
             counts = shard.column("doc_tokens").to_numpy()
@@ -411,12 +508,10 @@ def pack(documents: DataFrame, path: str, window: int = 4096, end_id: int = 2, s
             out = pa.table({
                 "doc_id": shard.column("doc_id").take(pa.array(doc)), "start": start, "length": length,
                 "ids": binaries(gather(ids, starts_of(counts)[doc] + start, length), length), "doc_tokens": counts[doc],
-                "sequence_id": (first + number << 32) + sequence, "offset": offset})
+                "sequence_id": first + sequence, "offset": offset})
+            first += int(sequence.max(initial=-1)) + 1
             yield from out.combine_chunks().to_batches()
 
-    if shards == 1:
-        ordered = docs.coalesce(1)
-    else:
-        order = ["leaf", "place", "doc_id", "doc_tokens"]
-        ordered = by_likeness(docs, corpus, shards).repartitionByRange(-(-shards // 4), *order).sortWithinPartitions(*order, "ids")
+    order = ["leaf", "place", "doc_id", "doc_tokens"]
+    ordered = by_likeness(docs, corpus, shards).repartitionByRange(-(-shards // 4), *order).sortWithinPartitions(*order, "ids")
     return ordered.select("doc_id", "bytes", "doc_tokens", "ids").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
