@@ -256,15 +256,15 @@ class Index:
             doc, term = doc[keep], term[keep]
         self.query_terms = term
         self.query_starts = np.searchsorted(doc, np.arange(n + 1))
-        self.scores = np.zeros(n, np.float32)
+        self.n = n
 
     def score(self, doc: int) -> np.ndarray:
-        """BM25 of every document for the query of ``doc``; valid until the next call."""
-        self.scores[:] = 0
-        for t in self.query_terms[self.query_starts[doc]:self.query_starts[doc + 1]]:
-            a, b = self.starts[t], self.starts[t + 1]
-            self.scores[self.docs[a:b]] += self.weights[a:b]
-        return self.scores
+        """BM25 of every document for the query of ``doc``."""
+        terms = self.query_terms[self.query_starts[doc]:self.query_starts[doc + 1]]
+        starts, held = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
+        at = np.repeat(starts - starts_of(held), held)
+        at += np.arange(len(at))
+        return np.bincount(self.docs[at], weights=self.weights[at], minlength=self.n)
 
 
 def fill_windows(index: Index, counts: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
