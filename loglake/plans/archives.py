@@ -24,6 +24,9 @@ from loglake.sinks.versions import literal_path
 from loglake.sources.archives import MALFORMED, fingerprints, normalise_csv, read_ops_csv
 
 
+NOTHING = {"rows_in": 0, "points_out": 0, "docs_out": 0, "rejected": 0}
+
+
 def csv_records(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
     """Archive files as log records (without an id), with ``file_path``."""
     return normalise_csv(read_ops_csv(spark, paths, **options))
@@ -102,14 +105,17 @@ def _load_files(
         found = ledger.file_states(files, entries, spec.targets, now, lease).select("file_path", "status")
         states = files.join(found, "file_path").where(F.col("status").isin("new", "changed"))
     states = _kept(states, "archive-files")
-    if states.isEmpty():
-        counts = {"rows_in": 0, "points_out": 0, "docs_out": 0, "rejected": 0}
-        write_run_log(spark, lake.run_log, {**run, "level": "INFO", "ok": True, "message": "no file to load", **counts})
-        return counts
+    wanted = states.count()
+    if not wanted:
+        write_run_log(spark, lake.run_log, {**run, "level": "INFO", "ok": True, "message": "no file to load", **NOTHING})
+        return NOTHING.copy()
     fresh = not reinsert and entries.isEmpty()
     held = _kept(ledger.claim(states, lake.ledger, spec.targets, load_id, now, lease), "claimed-files")
     try:
-        chosen = [literal_path(row["path"]) for row in held.select("path").toLocalIterator()]
+        chosen = [literal_path(row["path"]) for row in held.select("path").collect()]  # the files a reader lists anyway
+        if not chosen:
+            write_run_log(spark, lake.run_log, {**run, "level": "INFO", "ok": True, "message": "all files are claimed", **NOTHING})
+            return NOTHING.copy()
         rows = _kept(csv_records(spark, chosen, malformed=True, **options), "archive-rows")
         read = _kept(_with_digests(held, rows), "digests")
         if not reinsert:
@@ -122,10 +128,10 @@ def _load_files(
     except Exception as error:
         ledger.enter(held, lake.ledger, spec.targets, ledger.RELEASED, load_id, now)
         write_run_log(spark, lake.run_log, {
-            **run, "level": "ERROR", "ok": False, "message": f"load of {states.count()} files failed: {type(error).__name__}"})
+            **run, "level": "ERROR", "ok": False, "message": f"load of {wanted} files failed: {type(error).__name__}"})
         raise
     write_run_log(spark, lake.run_log, {
-        **run, "level": "INFO", "ok": True, "message": f"loaded {len(chosen)} of {states.count()} files", **counts})
+        **run, "level": "INFO", "ok": True, "message": f"loaded {len(chosen)} of {wanted} files", **counts})
     return counts
 
 

@@ -104,15 +104,20 @@ def enter(
 def claim(
     files: DataFrame, path: str, targets: Iterable[str], load_id: str, now: datetime, lease: timedelta = LEASE
 ) -> DataFrame:
-    """Claim files for a load; returns those it holds. Of several claims the first holds.
+    """Claim files for a load; returns those it holds. Of several claims the first holds, others are given back.
 
     Two loads whose clocks differ can both hold a file; the keys of what they store absorb that.
     """
     spark, targets = files.sparkSession, list(targets)
     enter(files, path, targets, CLAIMED, load_id, now)
     held = open_claims(read_ledger(spark, path), now, lease).where(F.col("held_by") != load_id)
-    others = held.where(F.col("target").isin(targets)).select("file_path").distinct()
-    return files.join(others, "file_path", "left_anti").select(files.columns)
+    held = held.join(files.select("file_path"), "file_path", "left_semi")
+    others = [row[0] for row in held.where(F.col("target").isin(targets)).select("file_path").distinct().collect()]
+    if not others:
+        return files
+    lost = F.col("file_path").isin(others)  # some of the files that the caller listed
+    enter(files.where(lost), path, targets, RELEASED, load_id, now)
+    return files.where(~lost)
 
 
 def compact_ledger(spark: SparkSession, path: str) -> None:

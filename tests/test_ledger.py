@@ -122,6 +122,16 @@ def test_claims_keep_others_away_until_they_end(spark, tmp_path, lake):
     assert archives.load_csv_docs(spark, paths, lake, NOW + timedelta(hours=2))["docs_out"] == 1
 
 
+def test_a_load_that_loses_all_its_claims(spark, tmp_path, lake):
+    """Another load claims the file between the look and the claim: nothing is loaded, and nothing stays blocked."""
+    path = write(tmp_path, "a.2024-01-05.csv.gz", range(2))
+    ledger.claim(fingerprints(spark, path), lake.ledger, ("docs",), "other", NOW)
+    counts = archives.load_csv_docs(spark, path, lake, NOW + timedelta(minutes=1), reinsert=True)
+    assert counts["docs_out"] == 0
+    ledger.enter(fingerprints(spark, path), lake.ledger, ("docs",), ledger.RELEASED, "other", NOW + timedelta(minutes=2))
+    assert archives.load_csv_docs(spark, path, lake, NOW + timedelta(minutes=3))["docs_out"] == 2
+
+
 def test_a_lake_from_before_its_ledger(spark, tmp_path, lake):
     path = write(tmp_path, "a.2024-01-05.csv.gz", range(3))
     archives.load_csv_docs(spark, path, lake, NOW)
