@@ -16,9 +16,6 @@ from loglake.llm.common import stored, table, text_or_empty
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-#: A value in different texts of more sources than this is a widely copied example.
-WIDELY = 10
-
 #: Rows cannot be told by SQL: the first stage is a trained model, the last a greedy search.
 ORACLE_SQL = None
 
@@ -59,9 +56,9 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with each secret replaced by a mark; examples in texts of more than ``WIDELY`` sources stay."""
+    """Documents with each secret replaced by a mark; widely copied examples stay."""
     live = lambda s: s["live"]
-    found = secret_scan.scan_secrets(docs, max_owners=WIDELY, fold_copies=True)
+    found = secret_scan.scan_secrets(docs)
     found = found.select("doc_id", "text_hash", F.filter("spans", live).alias("spans")).filter(F.size("spans") > 0)
     found = stored(found.dropDuplicates(["doc_id", "text_hash"]), "live")
     marked, clear = _marked(docs, found)
