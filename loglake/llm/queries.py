@@ -226,18 +226,18 @@ from sets s join reach r using (doc_id) group by s.doc_id
 """
 
 ORACLE["op10_secret_scan"] = r"""
-with d as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as owner from documents),
+with d as (select doc_id, coalesce(text, '') as text, md5(coalesce(text, '')) as same, coalesce(source, '') as owner from documents),
 kinds(kind, k, pattern) as (values
   ('assign', 0, '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
   ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]{32,}'), ('live', 3, '[A-Za-z0-9+/_-]{20,}')),
 found as (
-  select doc_id, owner, 'assign' as kind, 0 as k, regexp_extract_all(text, (select pattern from kinds where k = 0)) as hits,
+  select doc_id, same, owner, 'assign' as kind, 0 as k, regexp_extract_all(text, (select pattern from kinds where k = 0)) as hits,
          string_split_regex(text, (select pattern from kinds where k = 0)) as gaps from d
-  union all select doc_id, owner, 'access', 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') from d
-  union all select doc_id, owner, 'hex', 2, regexp_extract_all(text, '[0-9a-f]{32,}'), string_split_regex(text, '[0-9a-f]{32,}') from d
-  union all select doc_id, owner, 'live', 3, regexp_extract_all(text, '[A-Za-z0-9+/_-]{20,}'), string_split_regex(text, '[A-Za-z0-9+/_-]{20,}') from d),
+  union all select doc_id, same, owner, 'access', 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') from d
+  union all select doc_id, same, owner, 'hex', 2, regexp_extract_all(text, '[0-9a-f]{32,}'), string_split_regex(text, '[0-9a-f]{32,}') from d
+  union all select doc_id, same, owner, 'live', 3, regexp_extract_all(text, '[A-Za-z0-9+/_-]{20,}'), string_split_regex(text, '[A-Za-z0-9+/_-]{20,}') from d),
 each as (
-  select doc_id, owner, kind, k, hits[i] as hit,
+  select doc_id, same, owner, kind, k, hits[i] as hit,
          cast(list_sum(list_transform(gaps[1:i], lambda x : length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x : length(x))), 0) as bigint) as a
   from (select *, unnest(range(1, len(hits) + 1)) as i from found where len(hits) > 0)),
 spans as (
@@ -246,9 +246,15 @@ spans as (
   from each),
 base as (select * from spans where k = 0 and length(value) >= 8 or k = 1 and length(value) >= 16 or k = 2),
 tokens as (
-  select * from spans t where k = 3 and regexp_matches(hit, '[0-9]') and regexp_matches(hit, '[A-Za-z]')
+  select * from spans t where k = 3 and (
+    regexp_matches(hit, '^(ghp_|gho_|ghs_|github_pat_|glpat-|xox[bp]-|sk_live_|rk_live_|AIza|npm_|pypi-)[A-Za-z0-9_-]{16,}')
+    or len(list_filter(string_split_regex(hit, '[/_-]'), lambda p :
+      length(p) >= 16 and regexp_matches(p, '[a-z]') and regexp_matches(p, '[A-Z]') and regexp_matches(p, '[0-9].*[A-Za-z].*[0-9]')
+      or length(p) >= 20 and regexp_matches(p, '([0-9]+[A-Za-z]+){4}'))) > 0)
   and not exists (select 1 from base b where b.doc_id = t.doc_id and b.a < t.b and t.a < b.b)),
-owned as (select value, count(distinct owner) <= 1 as live from (select * from base union all select * from tokens) group by value),
+places as (
+  select value, same, min(owner) as owner from (select * from base union all select * from tokens) group by value, same),
+owned as (select value, count(distinct owner) <= 10 as live from places group by value),
 shown as (
   select s.*, o.live from (select * from base union all select * from tokens) s join owned o using (value) where k < 3 or live)
 select d.doc_id, count(*) filter (s.k = 0) as n_assign, count(*) filter (s.k = 1) as n_access, count(*) filter (s.k = 2) as n_hex,
