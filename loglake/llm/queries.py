@@ -61,7 +61,9 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = winnowing.compare_edited(table(spark, sf_dir, "documents"))
     return compared.select(
         "doc_id", "n_chars", "edited_sha256", winnowing.spelled(F.col("hashes")).alias("fingerprint"),
-        winnowing.spelled(F.col("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next")
+        winnowing.spelled(F.col("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next",
+        winnowing.spelled(F.col("positions")).alias("positions"),
+        winnowing.spelled(F.col("edited_positions")).alias("edited_positions"))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,9 +158,11 @@ def compare_edited(documents: DataFrame, k: int = K, window: int = WINDOW) -> Da
     document, or all it has. The next document is that of the next greater id; equal ids follow
     each other by text, a null id comes first, and the first document follows the last.
 
-    ``doc_id, n_chars, edited_sha256, hashes, edited_hashes`` (binary, four bytes each, in text
-    order), ``near_edited, near_next`` (Jaccard similarity of the hash sets). Null texts count as
-    empty; repeated rows stay; other columns are ignored; an empty table gives no rows.
+    ``doc_id, n_chars, edited_sha256, hashes, positions, edited_hashes, edited_positions`` (binary,
+    four bytes each, in text order; a position is the code point where its gram begins),
+    ``near_edited, near_next`` (Jaccard similarity of the hash sets). Null texts count as empty;
+    repeated rows stay; a very long text is whole in one task; other columns are ignored; an empty
+    table gives no rows.
     """
 
     def run(bucket: pa.Table) -> pa.Table:
@@ -177,13 +179,15 @@ def compare_edited(documents: DataFrame, k: int = K, window: int = WINDOW) -> Da
                 end += 1
             here = texts[at:end + 1]
             edited = [t[:len(t) - len(t) // 2] + after[:len(t) // 2] for t, after in zip(here, here[1:])]
-            hashes, _, counts = winnow(here, k, window)
-            new_hashes, _, new_counts = winnow(edited, k, window)
+            hashes, places, counts = winnow(here, k, window)
+            new_hashes, new_places, new_counts = winnow(edited, k, window)
             n, upto = len(edited), counts[:-1].sum()
             columns["doc_id"] += bucket.column("doc_id").slice(at, n).to_pylist()
             columns["n_chars"] += map(len, here[:-1])
             columns["edited_sha256"] += [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in edited]
-            for name, values, many in (("hashes", hashes, counts[:-1]), ("edited_hashes", new_hashes, new_counts)):
+            for name, values, many in (
+                    ("hashes", hashes, counts[:-1]), ("positions", places, counts[:-1]),
+                    ("edited_hashes", new_hashes, new_counts), ("edited_positions", new_places, new_counts)):
                 raw, ends = values.astype(">u4").tobytes(), np.concatenate([[0], np.cumsum(many)]) * 4
                 columns[name] += [raw[a:b] for a, b in zip(ends, ends[1:])]
             columns["near_edited"] += likeness((hashes[:upto], counts[:-1]), (new_hashes, new_counts)).tolist()
@@ -193,14 +197,14 @@ def compare_edited(documents: DataFrame, k: int = K, window: int = WINDOW) -> Da
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return with_next(documents).groupBy("bucket").applyInArrow(
-        run, f"doc_id {kind}, n_chars bigint, edited_sha256 string, hashes binary, edited_hashes binary, "
-             "near_edited double, near_next double")
+        run, f"doc_id {kind}, n_chars bigint, edited_sha256 string, hashes binary, positions binary, "
+             "edited_hashes binary, edited_positions binary, near_edited double, near_next double")
 
 
-NAMES = ("doc_id", "n_chars", "edited_sha256", "hashes", "edited_hashes", "near_edited", "near_next")
-TYPES = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
+NAMES = ("doc_id", "n_chars", "edited_sha256", "hashes", "positions", "edited_hashes", "edited_positions", "near_edited", "near_next")
+TYPES = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
 
 
-def spelled(hashes: Column) -> Column:
-    """A fingerprint as text: eight hexadecimal digits a hash."""
-    return F.lower(F.hex(hashes))
+def spelled(numbers: Column) -> Column:
+    """Hashes or positions as text: eight hexadecimal digits each."""
+    return F.lower(F.hex(numbers))

@@ -235,6 +235,11 @@ def test_edits_follow_ids(spark, size, monkeypatch):
         want.append((i, len(t), hashlib.sha256((t[:len(t) - half] + after[:half]).encode()).hexdigest()))
     key = lambda x: (x[0] is not None, x[0] or 0, x[2])
     assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in rows), key=key) == sorted(want, key=key)
+    text_of = {i: t for i, t in zip(ids, texts) if i is not None}
+    numbers = lambda raw: np.frombuffer(raw, ">u4").tolist()
+    got = {r["doc_id"]: list(zip(numbers(r["hashes"]), numbers(r["positions"]))) for r in rows if r["doc_id"] is not None}
+    assert got == {i: plain_winnow(t, winnowing.K, winnowing.WINDOW) for i, t in text_of.items()}
+    assert all(len(r["edited_hashes"]) == len(r["edited_positions"]) for r in rows)
 
 
 def test_winnowing_odd_rows(spark):
