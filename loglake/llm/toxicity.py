@@ -127,24 +127,32 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
+def examples(documents: DataFrame, known: DataFrame, per_class: int, longest: int) -> DataFrame:
+    """``toxic, text``: one text for each of at most ``per_class`` ids of each class of ``known`` (``doc_id, toxic``)."""
+    fitting = documents.select("doc_id", text_or_empty().alias("text")).filter(F.length("text") <= longest)
+    usable = known.join(fitting.select("doc_id"), "doc_id", "left_semi")
+    picked = None
+    for y in (0, 1):
+        part = usable.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        picked = part if picked is None else picked.unionByName(part)
+    # At most twice per_class ids, so they can go to every task, and one text of each comes back.
+    return fitting.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        F.first("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text")
+
+
 def train(documents: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int = 20_000) -> Model:
     """Learn from the labelled rows that are not held out.
 
-    The sample is bounded: of each class the ``per_class`` ids of smallest hash, without texts over
-    ``longest`` code points. Classes keep the weight they have among all labelled rows. An id with
-    several labels is toxic if any says so; null ids and labels are left out.
+    The sample is bounded: of each class the ``per_class`` ids of smallest hash among those that have
+    a text of at most ``longest`` code points, and of an id with several such texts the smallest one.
+    Classes keep the weight they have among all labelled rows. An id with several labels is toxic if
+    any says so; null ids and labels are left out.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     total = {row["toxic"]: row["count"] for row in known.groupBy("toxic").count().collect()}
-    picked = None
-    for y in (0, 1):
-        part = known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        picked = part if picked is None else picked.unionByName(part)
-    # At most twice per_class ids, so they can go to every task.
-    texts = documents.select("doc_id", text_or_empty().alias("text")).filter(F.length("text") <= longest).join(
-        F.broadcast(picked), "doc_id").select("toxic", "text")
+    texts = examples(documents, known, per_class, longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 1 << 19):

@@ -186,6 +186,16 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.score(documents(spark), nothing).count() == len(TEXTS)
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark):
+    docs = documents(spark, ["tiny"] * 6 + ["b", "a", "b"] + ["x" * 50, "y" * 50, "kept"], [0, 1, 2, 3, 4, 5, 6, 6, 6, 7, 8, 8])
+    known = spark.createDataFrame([(i, int(i > 5)) for i in range(12)], "doc_id long, toxic int")
+    every = toxicity.examples(docs, known, 100, 20).collect()
+    # Ids without a text that fits take no place, and an id with several texts gives one.
+    assert sorted(map(tuple, every)) == [(0, "tiny")] * 6 + [(1, "a"), (1, "kept")]
+    few = toxicity.examples(docs, known, 2, 20).collect()
+    assert sorted(map(tuple, few)) == [(0, "tiny")] * 2 + [(1, "a"), (1, "kept")]
+
+
 # Fingerprints
 
 def plain_winnow(text, k, window):
