@@ -261,7 +261,10 @@ def superfluous(components: DataFrame) -> DataFrame:
 
     The smallest id stays (null last), of equal ids the smallest hash. Documents without shingles stay.
     """
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    grouped = components.filter(F.col("group_id").isNotNull()).select("group_id", order.alias("row"))
-    first = grouped.groupBy("group_id").agg(F.min("row").alias("first"))
-    return grouped.join(first, "group_id").filter(F.col("row") != F.col("first")).select("row.doc_id", "row.text_hash").distinct()
+    grouped = components.filter(F.col("group_id").isNotNull())
+    # A component is named by the id that stays, so only the rows of that id are compared.
+    others = grouped.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("group_id", "doc_id", "text_hash").distinct()
+    first = named.groupBy("group_id").agg(F.min("text_hash").alias("first"))
+    repeated = named.join(first, "group_id").filter(F.col("text_hash") != F.col("first"))
+    return others.select("doc_id", "text_hash").unionByName(repeated.select("doc_id", "text_hash")).distinct()

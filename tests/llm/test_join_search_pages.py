@@ -130,6 +130,13 @@ def plain_top(vectors, queries_, k):
     return sorted(out)
 
 
+def test_repeated_and_null_ids_of_a_group(spark):
+    same = [(5, 1, 9, 5), (5, 2, 9, 5), (5, 2, 9, 5), (7, 3, 9, 5), (None, 4, 9, 5), (None, 8, 3, None), (None, 6, 3, None), (4, 1, None, 4)]
+    rows = ngram_join.superfluous(spark.createDataFrame(same, "doc_id long, text_hash long, group_id long, component_id long")).collect()
+    assert sorted(map(tuple, rows), key=str) == [(5, 2), (7, 3), (None, 4), (None, 8)]
+
+
+
 @pytest.mark.parametrize("seed,spread", [(1, 3), (2, 300), (3, 1 << 40)])
 def test_topk_against_plain(spark, seed, spread):
     r = random.Random(seed)
