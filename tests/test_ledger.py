@@ -9,11 +9,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from loglake.operators import accounting
+from loglake.operators import accounting, files
+from loglake.operators.documents import to_docs
 from loglake.plans import archives
 from loglake.session import new_path
 from loglake.sinks import lake as tables, ledger
 from loglake.sources.archives import fingerprints
+from registry import QUERIES
 
 NOW = datetime(2024, 2, 1)
 GOOD = 'FPAR,2024-01-05 00:00:{:02d},node1,hall1,recorder,1,,HEAT,{},"t {}",,0,,\n'
@@ -173,3 +175,28 @@ def test_a_replayed_micro_batch_rejects_once(spark, tmp_path, lake):
     for _ in range(2):
         present.load_present(stream, lake, new_path(spark, "offsets"), clock=lambda: NOW, every=None).awaitTermination()
     assert tables.read_rejects(spark, lake.rejects).count() == 5
+
+
+def test_a_file_without_rows_is_not_to_load(spark, tmp_path):
+    write(tmp_path, "empty.csv.gz")
+    write(tmp_path, "good.csv.gz", range(3))
+    write(tmp_path, "bad.csv.gz", extra="FPAR,not a time,3\n")
+    records = archives.csv_records(spark, f"{tmp_path}/*.gz", multi_line=False)
+    new = files.files_to_load(files.last_row_per_file(records, untimed=True), to_docs(records))
+    assert [r["file_path"].rsplit("/", 1)[1] for r in new.select("file_path").collect()] == ["bad.csv.gz"]
+
+
+def test_an_empty_first_partition_lists_no_good_file(spark, tmp_path):
+    """The query itself, on a table whose first split holds no row, for which the writer leaves an empty file."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.limit(0).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    events.coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = QUERIES["files_to_load_unreadable"](spark, str(tmp_path)).collect()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert sorted((r["part"], r["listed"]) for r in got) == [("bad", True), ("good", False)]
