@@ -11,9 +11,13 @@ that a third of all documents hold is many rows and never one group.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +27,8 @@ from loglake.operators.search import B, K1, TOP_HITS, term_filter
 from loglake.session import new_path
 from loglake.sinks import versions
 
-#: Documents of a shard, and buckets of terms.
-SHARD_DOCS, BUCKETS = 4096, 16
+#: Documents and words of a shard, and buckets of terms.
+SHARD_DOCS, SHARD_WORDS, BUCKETS = 4096, 1 << 21, 16
 PARTITIONS, SORT = ("bucket",), ("term", "segment", "shard")
 SEGMENTS = T.StructType([T.StructField(n, k) for n, k in (
     ("part", T.IntegerType()), ("segment", T.StringType()), ("docs", T.LongType()), ("tokens", T.LongType()))])
@@ -32,6 +36,35 @@ SEGMENTS = T.StructType([T.StructField(n, k) for n, k in (
 MERGED = ""
 
 
+def _slices(words: pa.ListArray, docs: int) -> Iterator[tuple[int, int]]:
+    """Cuts of a batch into shards: at most ``docs`` documents, and about ``SHARD_WORDS`` words unless one has more."""
+    share = np.maximum(np.diff(words.offsets.to_numpy()), -(-SHARD_WORDS // docs))
+    number = (np.cumsum(share) - share) // SHARD_WORDS
+    ends = [*(np.flatnonzero(np.diff(number)) + 1).tolist(), len(words)]
+    return zip([0, *ends[:-1]], ends)
+
+
+def _shard_blocks(part: pa.RecordBatch, carried: Sequence[str]) -> list[pa.Array]:
+    """``term, n, max_tf, min_len, postings`` of a shard's documents (``id, words`` and ``carried``)."""
+    part = part.take(pc.sort_indices(part, sort_keys=[("id", "ascending")], null_placement="at_start"))
+    words, docs = part.column("words"), part.num_rows
+    size = np.diff(words.offsets.to_numpy()).astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    key = coded.indices.to_numpy().astype(np.int64) * docs + np.repeat(np.arange(docs), size)
+    key, tf = np.unique(key, return_counts=True)
+    term, doc = np.divmod(key, docs)
+    starts = np.flatnonzero(np.diff(term, prepend=-1))
+    ends = np.append(starts[1:], len(term))
+    rows = {"id": part.column("id").take(pa.array(doc)), "tf": pa.array(tf, pa.int64()), "len": pa.array(size[doc])}
+    rows |= {name: part.column(name).take(pa.array(doc)) for name in carried}
+    postings = pa.ListArray.from_arrays(
+        pa.array(np.append(0, ends).astype(np.int32)), pa.StructArray.from_arrays(list(rows.values()), list(rows)))
+    if not len(starts):
+        return []
+    return [coded.dictionary.take(pa.array(term[starts])), pa.array(ends - starts), pa.array(np.maximum.reduceat(tf, starts)),
+            pa.array(np.minimum.reduceat(size[doc], starts)), postings]
+
+
 class TextIndex:
     """The index below ``path`` of the texts of documents told apart by ``key``.
 
@@ -66,13 +99,37 @@ class TextIndex:
     def postings(self) -> DataFrame:
         return self._ended(versions.read(self.spark, self._tables[0], self.schema, PARTITIONS))
 
-    def _blocks(self, rows: DataFrame, shards: Column) -> DataFrame:
-        """Rows ``term, segment, id, tf, len`` and the carried columns, in blocks."""
+    def _in_segment(self, blocks: DataFrame, segment: str) -> DataFrame:
+        bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int")
+        return blocks.withColumns({"segment": F.lit(segment), "bucket": bucket}).select(self.schema.names)
+
+    def _built(self, rows: DataFrame) -> DataFrame:
+        """Blocks of documents (``id, words`` and the carried columns), each shard of which lies in one partition.
+
+        A shard is a stretch of a partition, bounded in documents and words; its postings are counted
+        and sorted as numbers, so that only finished blocks are shuffled.
+        """
+        carried, docs = list(self.carried), SHARD_DOCS
+
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shard = TaskContext.get().partitionId() << 32
+            for batch in batches:
+                for begin, end in _slices(batch.column("words"), docs):
+                    if columns := _shard_blocks(batch.slice(begin, end - begin), carried):
+                        number = pa.array(np.full(len(columns[0]), shard))
+                        yield pa.RecordBatch.from_arrays([number, *columns], ["shard", "term", "n", "max_tf", "min_len", "postings"])
+                        shard += 1
+
+        kinds = T.StructType([self.schema[c] for c in ("shard", "term", "n", "max_tf", "min_len", "postings")])
+        return rows.select("id", "words", *carried).mapInArrow(build, kinds)
+
+    def _regrouped(self, rows: DataFrame, n: int) -> DataFrame:
+        """Blocks of postings ``term, id, tf, len`` and the carried columns of ``n`` documents, dealt into shards by id."""
         members = F.struct("id", "tf", "len", *self.carried)
-        return rows.withColumn("shard", F.pmod(F.xxhash64("id"), shards)).groupBy("term", "segment", "shard").agg(
+        shard = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // SHARD_DOCS))))
+        return rows.withColumn("shard", shard).groupBy("term", "shard").agg(
             F.count(F.lit(1)).alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"),
-            F.sort_array(F.collect_list(members)).alias("postings"),
-        ).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int")).select(self.schema.names)
+            F.sort_array(F.collect_list(members)).alias("postings"))
 
     # --- writing
 
@@ -85,18 +142,18 @@ class TextIndex:
         postings_path, ids_path, segments_path = self._tables
         segment = uuid.uuid4().hex
         known = self._ended(versions.read(self.spark, ids_path, self.ids_schema, ("part",))).select("id")
-        rows = docs.select(F.col(key).alias("id"), *self.carried, tokens(F.coalesce(F.col(column), F.lit(""))).alias("words"))
+        rows = docs.select(F.col(key).alias("id"), *self.carried, F.col(column).alias("text"))
         rows = rows.join(known, "id", "left_anti").groupBy("id").agg(
-            F.first(F.struct(*self.carried, "words")).alias("d")).select("id", "d.*")
+            F.first(F.struct(*self.carried, "text")).alias("d")).select("id", "d.*")
+        words = F.inline(F.array(F.struct(tokens(F.coalesce(F.col("text"), F.lit(""))).alias("words"))))
+        rows = rows.select("id", *self.carried, words).withColumn("len", F.size("words").cast("long"))
         held = new_path(self.spark, "new-texts")
         rows.write.parquet(held)
         rows = self.spark.read.schema(rows.schema).parquet(held)
-        n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+        n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("len"), F.lit(0))).first()
         if not n:
             return 0
-        each = rows.select("id", *self.carried, F.size("words").cast("long").alias("len"), F.explode("words").alias("term"))
-        counted = each.groupBy("id", "len", *self.carried, "term").agg(F.count(F.lit(1)).alias("tf")).withColumn("segment", F.lit(segment))
-        versions.append(self._blocks(counted, F.lit(-(-n // SHARD_DOCS))), postings_path, PARTITIONS, SORT)
+        versions.append(self._in_segment(self._built(rows), segment), postings_path, PARTITIONS, SORT)
         versions.append(rows.select(F.lit(0).alias("part"), F.lit(segment).alias("segment"), "id"), ids_path, ("part",), ("id",))
         one = self.spark.range(1, numPartitions=1).select(
             F.lit(0).alias("part"), F.lit(segment).alias("segment"), F.lit(n).cast("long").alias("docs"), F.lit(total).cast("long").alias("tokens"))
@@ -110,9 +167,9 @@ class TextIndex:
 
         def join(rows: DataFrame) -> DataFrame:
             ended = self._ended(rows)
-            flat = ended.select("term", F.inline("postings")).withColumn("segment", F.lit(MERGED))
+            flat = ended.select("term", F.inline("postings"))
             others = rows.join(self._segments().select("segment").distinct(), "segment", "left_anti").where(F.col("segment") != MERGED)
-            return self._blocks(flat, F.lit(max(1, -(-n // SHARD_DOCS)))).unionByName(others.select(self.schema.names))
+            return self._in_segment(self._regrouped(flat, n), MERGED).unionByName(others.select(self.schema.names))
 
         keys = versions.live_partitions(self.spark, postings_path, PARTITIONS)
         if keys:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,3 +125,26 @@ def test_an_empty_index(spark, index):
     assert index.top("w1").collect() == [] and index.size() == (0, 0)
     assert index.add(texts(spark, 0, 0)) == 0
     index.merge()
+
+
+def test_words_are_counted_without_a_shuffle(spark, index):
+    """Only finished blocks move: words are counted, and postings collected, where the documents lie."""
+    rows = texts(spark, 0, 3000).select(F.col("_id").alias("id"), "kind", F.split(F.coalesce("logtext", F.lit("")), " ").alias("words"))
+    built = index._built(rows.withColumn("words", F.array_remove("words", "")))
+    assert "Exchange" not in plan_of(built)
+    blocks = built.collect()
+    limit = text_index.SHARD_DOCS
+    assert len({(b["term"], b["shard"]) for b in blocks}) == len(blocks) and max(b["n"] for b in blocks) <= limit
+    for b in blocks:
+        ids = [p["id"] for p in b["postings"]]
+        assert b["n"] == len(ids) and ids == sorted(ids)
+        assert b["max_tf"] == max(p["tf"] for p in b["postings"]) and b["min_len"] == min(p["len"] for p in b["postings"])
+
+
+def test_shards_are_bounded_in_documents_and_words(monkeypatch):
+    monkeypatch.setattr(text_index, "SHARD_WORDS", 1000)
+    words = pa.array([["x"] * n for n in [1] * 250 + [400, 400, 400, 5000, 0, 0]])
+    cuts = list(text_index._slices(words, 100))
+    assert [b for b, _ in cuts[1:]] == [e for _, e in cuts[:-1]] and cuts[0][0] == 0 and cuts[-1][1] == 256
+    assert max(e - b for b, e in cuts) == 100
+    assert all(sum(len(words[i]) for i in range(b, e - 1)) <= 1000 for b, e in cuts)
