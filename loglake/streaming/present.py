@@ -66,7 +66,8 @@ def load_present(
     collector = collector or collector_of("present", spec)
 
     def load(batch: DataFrame, _: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # A file that cannot be split is read by one task; its rows are shaped and written by all.
+        batch = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bounds = batch.agg(F.min("timestamp").alias("past"), F.max("timestamp").alias("present"))
             past, last = first_times(bounds, "past", "present")

@@ -9,13 +9,17 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from loglake.functions.times import path_suffix
 from loglake.operators import accounting, files
 from loglake.operators.documents import to_docs
 from loglake.plans import archives
+from loglake.plans.load import LoadSpec
 from loglake.session import new_path
 from loglake.sinks import lake as tables, ledger
 from loglake.sources.archives import fingerprints
+from loglake.streaming import present
 from registry import QUERIES
+from registry.base import alog_of
 
 NOW = datetime(2024, 2, 1)
 GOOD = 'FPAR,2024-01-05 00:00:{:02d},node1,hall1,recorder,1,,HEAT,{},"t {}",,0,,\n'
@@ -200,3 +204,29 @@ def test_an_empty_first_partition_lists_no_good_file(spark, tmp_path):
         for key, value in old.items():
             spark.conf.set(key, value)
     assert sorted((r["part"], r["listed"]) for r in got) == [("bad", True), ("good", False)]
+
+
+def test_the_date_in_a_path_is_searched_once_for_a_suffix(spark):
+    """However many parts a suffix has; paths of every kind keep theirs."""
+    ts = F.lit("2020-02-03 00:00:00").cast("timestamp")
+    paths = spark.createDataFrame([("/a/date=2024-01-05/x",), ("/a/x2024:1/7.gz",), ("/none",), (None,)], "path string")
+    for frequency, want in (("DAILY", ["2024.01.05", "2024.1.7", "2020.02.03", "2020.02.03"]), ("MONTHLY", ["2024.01", "2024.1", "2020.02", "2020.02"]),
+                            ("YEARLY", ["2024", "2024", "2020", "2020"])):
+        found = paths.select(path_suffix(F.col("path"), ts, frequency, whole_word=False).alias("s"))
+        assert [r["s"] for r in found.collect()] == want
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
+
+
+def test_a_micro_batch_of_one_file_is_shaped_by_many_tasks(spark, lake, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.coalesce(1).write.parquet(f"{tmp_path}/log")
+    stream = alog_of(spark, spark.readStream.schema(events.schema).parquet(f"{tmp_path}/log"))
+    tasks = []
+
+    def writer(docs, path, load_time):
+        tasks.append(docs.rdd.getNumPartitions())
+        return docs.count()
+
+    spec = LoadSpec(targets=("docs",), docs_writer=writer)
+    present.load_present(stream, lake, f"{tmp_path}/offsets", spec, clock=lambda: NOW, every=None).awaitTermination()
+    assert tasks == [spark.sparkContext.defaultParallelism]
