@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.llm.common import text_or_empty
+from loglake.llm.common import stored, text_or_empty
 from loglake.llm.ragged import release, slices
 
 SIZES = (3, 4, 5)
@@ -75,8 +75,19 @@ class Model:
 Pieces = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
+#: N-grams of fewer texts, or with a smaller log-count ratio, are left out.
+LEAST_TEXTS, STRENGTH = 4, 1.0
+
+
+def telling(with_it: list[np.ndarray], texts: list[int], least_texts: int = LEAST_TEXTS, strength: float = STRENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Which buckets are learned from, and each one's ratio; ``with_it`` and ``texts`` are counts of toxic and clean texts."""
+    rate = [(c + 0.5) / (n + 1) for c, n in zip(with_it, texts)]
+    ratio = np.log(rate[0] / rate[1])
+    return (with_it[0] + with_it[1] >= least_texts) & (np.abs(ratio) >= strength), ratio
+
+
 def fit(pieces: Pieces, toxic: np.ndarray, weight: np.ndarray,
-        least_texts: int = 4, strength: float = 1.0, penalty: float = 1e-3, rounds: int = 300) -> Model:
+        least_texts: int = LEAST_TEXTS, strength: float = STRENGTH, penalty: float = 1e-3, rounds: int = 300) -> Model:
     """Fit on the n-grams of the training texts; ``toxic`` and ``weight`` by text. Uses the pieces up.
 
     N-grams of fewer than ``least_texts`` texts are left out, and so are those whose ratio is within
@@ -91,9 +102,7 @@ def fit(pieces: Pieces, toxic: np.ndarray, weight: np.ndarray,
     for doc, bucket, _ in pieces:
         for seen, y in zip(with_it, (1, 0)):
             seen += np.bincount(bucket[toxic[doc] == y], minlength=1 << BITS)
-    rate = [(c + 0.5) / ((toxic == y).sum() + 1) for c, y in zip(with_it, (1, 0))]
-    ratio = np.log(rate[0] / rate[1])
-    used = (with_it[0] + with_it[1] >= least_texts) & (np.abs(ratio) >= strength)
+    used, ratio = telling(with_it, [(toxic == y).sum() for y in (1, 0)], least_texts, strength)
     names = np.flatnonzero(used)
     if not len(names):
         return none
@@ -140,6 +149,18 @@ def examples(documents: DataFrame, known: DataFrame, per_class: int, longest: in
         F.first("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text")
 
 
+def _used(grams: DataFrame) -> np.ndarray:
+    """The buckets that a fit on these texts (``toxic, bucket``) uses, found where the texts lie."""
+    sizes = {row["toxic"]: row["count"] for row in grams.groupBy("toxic").count().collect()}
+    each = grams.select("toxic", F.explode("bucket").alias("bucket")).groupBy("bucket").agg(
+        F.sum("toxic").cast("int").alias("with_toxic"), F.count(F.lit(1)).cast("int").alias("texts"))
+    rows = each.filter(F.col("texts") >= LEAST_TEXTS).toArrow()
+    bucket, toxic, texts = (rows.column(c).to_numpy() for c in ("bucket", "with_toxic", "texts"))
+    used = np.zeros(1 << BITS, bool)
+    used[bucket] = telling([toxic, texts - toxic], [sizes.get(y, 0) for y in (1, 0)])[0]
+    return used
+
+
 def train(documents: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int = 20_000) -> Model:
     """Learn from the labelled rows that are not held out.
 
@@ -162,7 +183,23 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = 1000, longes
                 part.column("toxic").cast(pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(bucket.astype(np.int32))),
                 pa.ListArray.from_arrays(offsets, pa.array(value.astype(np.float32)))], ["toxic", "bucket", "value"])
 
-    sample = texts.mapInArrow(run, "toxic int, bucket array<int>, value array<float>").toArrow()
+    kinds = "toxic int, bucket array<int>, value array<float>"
+    grams = stored(texts.mapInArrow(run, kinds), "training-ngrams")
+    used = _used(grams)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("bucket")
+            bucket, value = lists.flatten().to_numpy(), batch.column("value").flatten().to_numpy()
+            kept = used[bucket]
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))[kept]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("toxic"), pa.ListArray.from_arrays(offsets, pa.array(bucket[kept])),
+                pa.ListArray.from_arrays(offsets, pa.array(value[kept]))], ["toxic", "bucket", "value"])
+
+    # Only n-grams that the fit uses come to the driver, with the rows of all texts.
+    sample = grams.mapInArrow(keep, kinds).toArrow()
     toxic = sample.column("toxic").to_numpy().astype(np.int64)
     pieces, done, batch, lists = [], 0, None, None
     for batch in sample.to_batches(max_chunksize=200):
