@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import re
 import time
 from dataclasses import replace
 from datetime import date, datetime, timedelta
@@ -489,3 +490,13 @@ def test_loads_do_not_depend_on_the_zone_of_python(spark, tmp_path, lake):
     ends = tables.read_progress(spark, other.progress).agg(
         F.date_format(F.max("present"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     assert ends == str(START + timedelta(seconds=299 * 600))
+
+
+def test_copies_are_sorted_by_what_tells_them_apart(spark):
+    docs = to_docs(alog(spark, [record()])).withColumn("load_time", F.current_timestamp())
+    assert re.search(r"Sort\n.*\nArguments: \[_id#", plan_of(upsert_docs(docs)))
+
+
+def test_type_and_index_are_worked_out_once_for_a_document(spark):
+    plan = plan_of(load.monthly_docs(alog(spark, [record(), record(keywvalue="nan"), record(typelog="LOG")])))
+    assert plan.count("inf(inity)?|nan)") == 1 and plan.count("date_format(") == 1
